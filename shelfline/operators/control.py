@@ -21,6 +21,13 @@ def audit_start(run_id: Column, pipeline_name: Column, event_time: Column) -> li
     return _event(run_id, pipeline_name, F.lit("RUNNING"), event_time, False, zero, zero, zero, zero, F.lit(None))
 
 
+def audit_progress(
+    run_id: Column, pipeline_name: Column, event_time: Column, *counters: Column
+) -> list[Column]:
+    """Columns of an event that records counters (extracted, loaded, checks passed and failed) so far."""
+    return _event(run_id, pipeline_name, F.lit("RUNNING"), event_time, False, *counters, F.lit(None))
+
+
 def audit_end(
     run_id: Column,
     pipeline_name: Column,
