@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfline.functions.keys import daily_key, movement_key
 
@@ -104,8 +105,8 @@ def daily_fact_upsert(target: DataFrame, daily: DataFrame, as_of: Column) -> Dat
     return merge_upsert(target, daily_rows(daily, as_of), DAILY_KEY)
 
 
-def watermark_rows(spark, pipeline_name: str, day, as_of: Column) -> DataFrame:
-    return spark.range(1).select(
+def watermark_rows(spark: SparkSession, pipeline_name: str, day: date, as_of: Column) -> DataFrame:
+    return spark.range(0, 1, 1, 1).select(
         F.lit(pipeline_name).alias("pipeline_name"),
         F.lit(day).cast("date").alias("last_success_date"),
         as_of.alias("updated_at"),

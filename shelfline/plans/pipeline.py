@@ -73,8 +73,11 @@ def reorder_chain(
 
 def run_transform(spark: SparkSession, config: EngineConfig) -> int:
     """Store the reorder advice of all raw days; days read only as lookback are left out."""
-    raw = {name: scan_set(spark, f"{config.raw_dir}/{name}", schemas.RAW[name]) for name in schemas.RAW}
-    advice = reorder_chain(raw["stock_daily"], raw["purchases"], raw["sales"], raw["adjustments"], config)
+    raw = {
+        name: scan_set(spark, f"{config.raw_dir}/{name}", schemas.RAW[name])
+        for name in ("stock_daily", "purchases", "sales", "adjustments")
+    }
+    advice = reorder_chain(**raw, config=config)
     if config.lookback_days:
         advice = advice.filter(F.col("inventory_date") >= F.lit(warehouse.get_last_success_date(spark, config)))
     return write_set(advice, f"{config.staging_dir}/reorder_recommendation")

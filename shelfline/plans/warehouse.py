@@ -130,7 +130,7 @@ def find_running_run(spark: SparkSession, config: EngineConfig) -> int | None:
 
 
 def _append_event(spark: SparkSession, config: EngineConfig, columns: list[Column]) -> None:
-    write_set(spark.range(1).select(*columns), table_path(config, "etl_audit"), mode="append")
+    write_set(spark.range(0, 1, 1, 1).select(*columns), table_path(config, "etl_audit"), mode="append")
 
 
 def _now() -> Column:

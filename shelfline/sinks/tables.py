@@ -24,17 +24,20 @@ def write_set(
 ) -> int:
     """Write a Parquet set and return its row count, observed while writing.
 
+    The count is taken in the last stage, where a task that runs again is counted once.
+
     Partitioned sets are rebalanced first: rows of one partition meet in few tasks, while AQE splits a
     partition that is large and merges those that are small. Inside the files rows lie in key order, so
     that min/max statistics prune.
     """
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    counter = Observation()
+    df = df.observe(counter, F.count(F.lit(1)).alias("rows"))
     order = [*partition_by, *cluster_by]
     if order:
         df = df.sortWithinPartitions(*order)
-    counter = Observation()
-    writer = df.observe(counter, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+    writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
