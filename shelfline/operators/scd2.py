@@ -9,6 +9,7 @@ from shelfline.functions.keys import with_sequence
 # End of an open version, and the weight difference that counts as a change.
 OPEN_END = "9999-12-31 23:59:59"
 WEIGHT_TOLERANCE = 0.001
+_COMPARED = ("product_name", "category", "barcode", "is_active")
 
 DIMENSION_COLUMNS = [
     "product_sk",
@@ -34,7 +35,7 @@ def product_rows(products: DataFrame) -> DataFrame:
         F.col("name").alias("product_name"),
         "category",
         "barcode",
-        F.col("weight"),
+        "weight",
         F.coalesce(F.col("is_active").cast("boolean"), F.lit(True)).alias("is_active"),
     )
 
@@ -46,24 +47,39 @@ def product_actions(dimension: DataFrame, products: DataFrame) -> DataFrame:
     """
     current = dimension.filter("is_current").select(
         "product_id",
-        F.col("product_sk").alias("_old_sk"),
-        *[F.col(c).alias(f"_old_{c}") for c in ("product_name", "category", "barcode", "weight", "is_active")],
+        F.col("product_sk").alias("old_sk"),
+        *[F.col(c).alias(f"_old_{c}") for c in (*_COMPARED, "weight")],
     )
     joined = product_rows(products).join(current, "product_id", "left")
-    action = F.when(F.col("_old_sk").isNull(), "insert").when(_has_changed(), "change").otherwise("keep")
-    return joined.withColumn("action", action)
+    action = F.when(F.col("old_sk").isNull(), "insert").when(_has_changed(), "change").otherwise("keep")
+    return joined.select(
+        "product_id",
+        "product_code",
+        "product_name",
+        "category",
+        "barcode",
+        F.col("weight").cast("decimal(10,2)").alias("weight"),
+        "is_active",
+        "old_sk",
+        action.alias("action"),
+    )
 
 
-def product_scd2(dimension: DataFrame, products: DataFrame, as_of: Column) -> DataFrame:
-    """The dimension after the feed: changed versions closed at `as_of`, new versions opened at it.
+def product_changes(dimension: DataFrame, products: DataFrame) -> DataFrame:
+    """The part of the feed that opens a version."""
+    return product_actions(dimension, products).filter("action <> 'keep'")
+
+
+def apply_changes(dimension: DataFrame, changes: DataFrame, as_of: Column) -> DataFrame:
+    """The dimension with superseded versions closed at `as_of` and new versions opened at it.
 
     `dimension` needs to hold the current versions; closed ones pass through, and products that the feed
     does not name stay open. Keys continue after the highest current key, which is the highest ever given:
-    a closed version always has a later successor.
+    a closed version always has a later successor. `changes` is read three times, so a load stores it
+    before (it is small beside the dimension).
     """
-    opened = product_actions(dimension, products).filter("action <> 'keep'")
-    superseded = opened.filter("action = 'change'").select(
-        F.col("_old_sk").alias("product_sk"), F.lit(True).alias("_superseded")
+    superseded = changes.filter("action = 'change'").select(
+        F.col("old_sk").alias("product_sk"), F.lit(True).alias("_superseded")
     )
     closing = F.col("_superseded").isNotNull()
     history = dimension.join(superseded, "product_sk", "left").withColumns(
@@ -73,9 +89,8 @@ def product_scd2(dimension: DataFrame, products: DataFrame, as_of: Column) -> Da
         }
     )
     highest = dimension.agg(F.coalesce(F.max("product_sk"), F.lit(0).cast("bigint"))).scalar()
-    versions = with_sequence(opened, "product_id", "product_sk", highest).withColumns(
+    versions = with_sequence(changes, "product_id", "product_sk", highest).withColumns(
         {
-            "weight": F.col("weight").cast("decimal(10,2)"),
             "effective_start_date": as_of,
             "effective_end_date": F.lit(OPEN_END).cast("timestamp_ntz"),
             "is_current": F.lit(True),
@@ -85,6 +100,11 @@ def product_scd2(dimension: DataFrame, products: DataFrame, as_of: Column) -> Da
     return _with_end_day(history).unionByName(_with_end_day(versions))
 
 
+def product_scd2(dimension: DataFrame, products: DataFrame, as_of: Column) -> DataFrame:
+    """The dimension after a product feed, as one plan."""
+    return apply_changes(dimension, product_changes(dimension, products), as_of)
+
+
 def _with_end_day(df: DataFrame) -> DataFrame:
     """Partition by the day a version ends: open versions lie together, each closing day on its own."""
     return df.withColumn("end_day", F.col("effective_end_date").cast("date")).select(*DIMENSION_COLUMNS)
@@ -92,7 +112,7 @@ def _with_end_day(df: DataFrame) -> DataFrame:
 
 def _has_changed() -> Column:
     changed = _weight_changed()
-    for name in ("product_name", "category", "barcode", "is_active"):
+    for name in _COMPARED:
         changed = changed | ~F.col(name).eqNullSafe(F.col(f"_old_{name}"))
     return changed
 

@@ -160,9 +160,11 @@ def load_products_scd2(spark: SparkSession, config: EngineConfig) -> int:
     dimension = read_table(spark, config, "dim_product").filter(
         F.col("end_day").isin(date(9999, 12, 31), config.as_of.date())
     )
-    opened = scd2.product_actions(dimension, feed).filter("action <> 'keep'").count()
+    path = f"{config.staging_dir}/product_changes"
+    opened = write_set(scd2.product_changes(dimension, feed), path)
     if opened:
-        replace_rows(config, "dim_product", scd2.product_scd2(dimension, feed, run_time(config)))
+        changes = scan_set(spark, path, schemas.STAGING["product_changes"])
+        replace_rows(config, "dim_product", scd2.apply_changes(dimension, changes, run_time(config)))
     return opened
 
 

@@ -58,7 +58,13 @@ _MOVEMENT = (
     " unit_price DECIMAL(12,2), total_amount DECIMAL(12,2), source_reference_id BIGINT"
 )
 
-STAGING = {"reorder_recommendation": _ADVICE}
+STAGING = {
+    "reorder_recommendation": _ADVICE,
+    "product_changes": (
+        "product_id INT, product_code STRING, product_name STRING, category STRING, barcode STRING,"
+        " weight DECIMAL(10,2), is_active BOOLEAN, old_sk BIGINT, action STRING"
+    ),
+}
 
 MART = {
     "fact_daily_inventory": _ADVICE,

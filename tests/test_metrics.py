@@ -1,0 +1,122 @@
+from __future__ import annotations
+
+from datetime import date, timedelta
+
+import pytest
+
+from shelfline import schemas
+from shelfline.operators import metrics, reorder
+
+START = date(2026, 1, 1)
+
+
+def timeline(spark, rows):
+    """A ledger of one product from (day offset, sold, closing) tuples."""
+    values = [(START + timedelta(days=d), 1, 0, 0, sold, 0, closing, 0, 0) for d, sold, closing in rows]
+    return spark.createDataFrame(values, schemas._LEDGER)
+
+
+def measured(spark, rows):
+    result = metrics.turnover_metrics(timeline(spark, rows)).orderBy("inventory_date")
+    return result.collect()
+
+
+@pytest.mark.parametrize(
+    ("days", "expected"),
+    [
+        (5.0, "FAST_MOVING"),
+        (14.9, "FAST_MOVING"),
+        (15.0, "SLOW_MOVING"),
+        (30.0, "SLOW_MOVING"),
+        (60.0, "SLOW_MOVING"),
+        (61.0, "STAGNANT"),
+        (999.0, "STAGNANT"),
+    ],
+)
+def test_speed_class_limits(spark, days, expected):
+    frame = spark.createDataFrame([(int(days * 10), 10.0)], "stock_akhir BIGINT, daily_sales_velocity DOUBLE")
+    assert frame.select(metrics.speed_class().alias("c")).first()["c"] == expected
+
+
+def test_frames_count_rows_not_days(spark):
+    rows = [(d * 10, 7 if d < 5 else 0, 100) for d in range(12)]
+    result = measured(spark, rows)
+    assert result[0]["daily_sales_velocity"] == 7.0
+    assert result[6]["daily_sales_velocity"] == 5.0
+    assert result[11]["daily_sales_velocity"] == 0.0
+    assert result[11]["inventory_turnover_rate"] == 0.35
+
+
+def test_month_frame_holds_thirty_rows(spark):
+    result = metrics.moving_metrics(timeline(spark, [(d, 1, d) for d in range(40)])).orderBy("inventory_date").collect()
+    assert result[39]["total_sales_30d"] == 30
+    assert result[39]["avg_stock_30d"] == sum(range(10, 40)) / 30
+
+
+def test_class_uses_the_unrounded_ratio(spark):
+    # 3749 / 250 = 14.996 shows as 15.0.
+    row = measured(spark, [(0, 250, 3749)])[0]
+    assert (row["days_of_inventory"], row["sales_speed_class"]) == (15.0, "FAST_MOVING")
+
+
+def test_negative_closing_stock_is_fast_moving(spark):
+    row = measured(spark, [(0, 10, -50)])[0]
+    assert (row["days_of_inventory"], row["inventory_turnover_rate"]) == (-5.0, -0.2)
+    assert row["sales_speed_class"] == "FAST_MOVING"
+
+
+def test_without_sales_stock_is_stagnant(spark):
+    row = measured(spark, [(0, 0, 80)])[0]
+    assert (row["days_of_inventory"], row["inventory_turnover_rate"]) == (999.0, 0.0)
+    assert row["sales_speed_class"] == "STAGNANT"
+
+
+def test_average_stock_zero_gives_turnover_zero(spark):
+    assert measured(spark, [(0, 5, 10), (1, 5, -10)])[1]["inventory_turnover_rate"] == 0.0
+
+
+def test_velocity_is_rounded_before_use(spark):
+    # 10 / 3 = 3.333.. is used as 3.33: 100 / 3.33 = 30.03.
+    row = measured(spark, [(0, 10, 0), (1, 0, 0), (2, 0, 100)])[2]
+    assert (row["daily_sales_velocity"], row["days_of_inventory"]) == (3.33, 30.03)
+
+
+def test_rounding_works_on_the_binary_value(spark):
+    frame = spark.createDataFrame([(1507, 40.0)], "stock_akhir BIGINT, daily_sales_velocity DOUBLE")
+    assert frame.select(metrics.days_of_inventory().alias("d")).first()["d"] == 37.67
+
+
+def advised(spark, closing, velocity, lead=5, safety=3):
+    frame = spark.createDataFrame(
+        [(START, 1, 0, 0, 0, 0, closing, 0, 0, velocity, 0.0, 0.0, "X")],
+        schemas._LEDGER
+        + ", daily_sales_velocity DOUBLE, days_of_inventory DOUBLE, inventory_turnover_rate DOUBLE, sales_speed_class STRING",
+    )
+    row = reorder.reorder_analysis(frame, lead, safety).first()
+    return row["reorder_alert"], row["recommended_reorder_qty"]
+
+
+@pytest.mark.parametrize(
+    ("closing", "velocity", "expected"),
+    [
+        (100, 5.0, (False, 0)),
+        (25, 5.0, (True, 30)),
+        (40, 5.0, (False, 0)),  # equal to the reorder point: no alert
+        (0, 4.5, (True, 50)),  # 36 + round(13.5) = 36 + 14
+        (0, 1.5, (True, 17)),  # 12 + round(4.5) = 12 + 5: half away from zero
+        (-3, 0.0, (True, 3)),
+    ],
+)
+def test_reorder_advice(spark, closing, velocity, expected):
+    assert advised(spark, closing, velocity) == expected
+
+
+def test_reorder_point_rounds_once(spark):
+    # 1.3 * 5 + 1.3 * 3 = 10.4 -> 10; rounding the parts apart would give 7 + 4.
+    frame = spark.createDataFrame([(1.3,)], "daily_sales_velocity DOUBLE")
+    row = frame.select(reorder.reorder_point(5, 3).alias("p"), reorder.safety_stock(3).alias("s")).first()
+    assert (row["p"], row["s"]) == (10.0, 4.0)
+
+
+def test_lead_and_safety_days_are_parameters(spark):
+    assert advised(spark, 0, 2.0, lead=10, safety=1) == (True, 24)
