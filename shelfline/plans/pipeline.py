@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,9 +16,10 @@ from shelfline.operators.metrics import turnover_metrics
 from shelfline.operators.quality import DataQualityError
 from shelfline.operators.reorder import reorder_analysis
 from shelfline.plans import warehouse
+from shelfline.plans.concurrent import run_together
 from shelfline.sinks.tables import write_set
 from shelfline.sources import feeds
-from shelfline.sources.files import scan_or_empty, scan_set
+from shelfline.sources.files import conform, scan_or_empty, scan_set
 
 logger = logging.getLogger(__name__)
 
@@ -50,9 +52,13 @@ def run_extract(spark: SparkSession, tables: dict[str, DataFrame], config: Engin
     warehouse.recover(spark, config)
     run_id = warehouse.log_audit_start(spark, config)
     since = config.read_since(warehouse.get_last_success_date(spark, config))
-    counts = {
-        name: write_set(feed, f"{config.raw_dir}/{name}") for name, feed in extract_feeds(tables, since).items()
-    }
+    counts = run_together(
+        spark,
+        {
+            name: partial(write_set, conform(feed, schemas.RAW[name]), f"{config.raw_dir}/{name}")
+            for name, feed in extract_feeds(tables, since).items()
+        },
+    )
     warehouse.log_audit_progress(spark, config, run_id, records_extracted=sum(counts.values()))
     return counts
 
@@ -121,11 +127,14 @@ def reorder_mart(advice: DataFrame) -> DataFrame:
 
 def run_quality_check(spark: SparkSession, config: EngineConfig) -> dict[str, dict[str, int]]:
     """Build the three marts; raises if a critical check failed, so that nothing is loaded."""
-    results = {
-        "fact_daily_inventory": generate_daily_inventory_fact(spark, config),
-        "fact_inventory_movement": generate_inventory_movement_fact(spark, config),
-        "reorder_recommendations": generate_reorder_recommendations_mart(spark, config),
-    }
+    results = run_together(
+        spark,
+        {
+            "fact_daily_inventory": partial(generate_daily_inventory_fact, spark, config),
+            "fact_inventory_movement": partial(generate_inventory_movement_fact, spark, config),
+            "reorder_recommendations": partial(generate_reorder_recommendations_mart, spark, config),
+        },
+    )
     failed = [name for name, (_, passed, _) in results.items() if not passed]
     reports = {name: counts for name, (_, _, counts) in results.items()}
     run_id = warehouse.find_running_run(spark, config)
@@ -150,12 +159,16 @@ def run_load(spark: SparkSession, config: EngineConfig) -> int:
     run_id = warehouse.find_running_run(spark, config)
     try:
         warehouse.recover(spark, config)
-        loaded = (
-            warehouse.load_suppliers(spark, config)
-            + warehouse.load_products_scd2(spark, config)
-            + warehouse.load_fact_inventory_movement(spark, config)
-            + warehouse.load_fact_daily_inventory(spark, config)
+        counts = run_together(
+            spark,
+            {
+                "dim_supplier": partial(warehouse.load_suppliers, spark, config),
+                "dim_product": partial(warehouse.load_products_scd2, spark, config),
+                "fact_inventory_movement": partial(warehouse.load_fact_inventory_movement, spark, config),
+                "fact_daily_inventory": partial(warehouse.load_fact_daily_inventory, spark, config),
+            },
         )
+        loaded = sum(counts.values())
         warehouse.update_last_success_date(spark, config, config.next_watermark)
     except Exception as error:
         _close_run(spark, config, run_id, "FAILED", error=error)

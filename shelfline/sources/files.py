@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -20,3 +21,8 @@ def scan_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     if path_exists(spark, path):
         return scan_set(spark, path, schema)
     return spark.createDataFrame([], schema)
+
+
+def conform(df: DataFrame, schema: str) -> DataFrame:
+    """The declared columns in their declared types; a value that does not fit raises."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(schema)])

@@ -34,6 +34,7 @@ def _options(kind: str, env: Mapping[str, str]) -> dict[str, str]:
         "url": f"jdbc:{kind}://{host}:{env.get(f'{prefix}_PORT', port)}/{env.get(f'{prefix}_DATABASE', database)}",
         "driver": driver,
         "fetchsize": FETCH_ROWS,
+        "preferTimestampNTZ": "true",
     }
     for option, name in (("user", f"{prefix}_USER"), ("password", f"{prefix}_PASSWORD")):
         if name in env:
