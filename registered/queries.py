@@ -11,9 +11,9 @@ from shelfline import schemas
 from shelfline.config import EngineConfig
 from shelfline.operators import control, ledger, merge, metrics, movements, quality, reorder, scd2
 from shelfline.plans import pipeline, warehouse
-from shelfline.sinks.tables import shared_folder
+from shelfline.sinks.tables import shared_folder, write_set
 from shelfline.sources import feeds, sample
-from shelfline.sources.files import scan_or_empty
+from shelfline.sources.files import conform, scan_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -184,7 +184,7 @@ def dq_null_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_duplicate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lines = sample.table(spark, sf_dir, "lineitem")
     return quality.duplicate_report(lines, ["l_orderkey", "l_linenumber"])
 
 
@@ -211,12 +211,15 @@ def supplier_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def product_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads of the product dimension: the first fills it, the second changes it."""
-    nothing = spark.createDataFrame([], schemas.WAREHOUSE["dim_product"])
-    first = scd2.product_scd2(nothing, sample.product(spark, sf_dir), _at(FIRST_RUN))
-    second = scd2.product_scd2(first, sample.changed_product(spark, sf_dir), _at(SECOND_RUN))
+    folder = shared_folder(spark)
+    for moment, feed in ((FIRST_RUN, sample.product), (SECOND_RUN, sample.changed_product)):
+        config = EngineConfig.under(folder, moment)
+        write_set(conform(feed(spark, sf_dir), schemas.RAW["products"]), f"{config.raw_dir}/products")
+        warehouse.load_products_scd2(spark, config)
+    dimension = warehouse.read_table(spark, config, "dim_product")
     # Shown as text: the open end lies outside the range of nanosecond clients.
     shown = F.date_format("effective_end_date", "yyyy-MM-dd HH:mm:ss")
-    return second.withColumn("effective_end_date", shown).drop("end_day")
+    return dimension.withColumn("effective_end_date", shown).drop("end_day")
 
 
 def product_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,9 +241,13 @@ def movement_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_fact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full history, then an incremental run over it that sees only the days from its watermark on."""
     tables = sample.dense(spark, sf_dir)
-    recent = pipeline.extract_feeds(tables, WATERMARK)
     clipped = metrics.turnover_metrics(
-        ledger.inventory_snapshot(recent["stock_daily"], recent["purchases"], recent["sales"], recent["adjustments"])
+        ledger.inventory_snapshot(
+            feeds.incremental_stock_daily(tables["stock_daily"], WATERMARK),
+            feeds.incremental_purchases(tables["purchase_order_detail"], tables["purchase_order_header"], WATERMARK),
+            feeds.incremental_sales(tables["sales_transaction"], WATERMARK),
+            feeds.incremental_adjustments(tables["stock_adjustment"], WATERMARK),
+        )
     )
     known = _advice(tables).filter(F.col("inventory_date") < F.lit(CHANGE_DAY))
     target = merge.daily_rows(known, _at(FIRST_RUN))
@@ -252,7 +259,7 @@ def daily_fact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _user_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One watermark per user of the event log."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = sample.table(spark, sf_dir, "events")
     return events.groupBy(F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("pipeline_name")).agg(
         F.max(F.col("ts").cast("date")).alias("last_success_date"), F.max("ts").alias("updated_at")
     )
@@ -260,9 +267,9 @@ def _user_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _order_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order as a run: open orders run, filled ones succeeded with their lines, others failed."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = sample.table(spark, sf_dir, "orders")
     lines = (
-        spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+        sample.table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(F.count(F.lit(1)).alias("lines"))
     )
@@ -314,7 +321,7 @@ def latest_running_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 def two_daily_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs of all stages into an empty warehouse; the daily fact they leave behind."""
     folder = shared_folder(spark)
-    tables = sample.dense(spark, sf_dir)
+    tables = sample.with_dimensions(spark, sf_dir, sample.dense(spark, sf_dir))
     for moment in (FIRST_RUN, SECOND_RUN):
         pipeline.run_pipeline(spark, tables, EngineConfig.under(folder, moment))
     return warehouse.read_table(spark, EngineConfig.under(folder, SECOND_RUN), "fact_daily_inventory")

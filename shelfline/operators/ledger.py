@@ -109,16 +109,16 @@ def _lane(
     feed: DataFrame, event_column: str, measure: str, quantity_column: str, on_spine: bool = False
 ) -> DataFrame:
     """A feed in the common shape, with 0 in the measures it does not have."""
-    has_key = F.col("product_id").isNotNull() & F.col(event_column).isNotNull()
-    quantity = F.coalesce(F.col(quantity_column).cast("bigint"), F.lit(0))
+    keyed = f"product_id IS NOT NULL AND {event_column} IS NOT NULL"
+    quantity = f"coalesce(bigint({quantity_column}), 0L)"
     if on_spine:
         # A log without a key keeps its ledger row, but nothing ever matches it: all its figures are 0.
-        quantity = F.when(has_key, quantity).otherwise(F.lit(0))
+        quantity = f"CASE WHEN {keyed} THEN {quantity} ELSE 0L END"
     else:
-        feed = feed.filter(has_key)
-    return feed.select(
+        feed = feed.filter(keyed)
+    return feed.selectExpr(
         "product_id",
-        F.col(event_column).cast("date").alias("inventory_date"),
-        *[(quantity if m == measure else F.lit(0).cast("bigint")).alias(m) for m in _MEASURES],
-        F.lit(1 if on_spine else 0).alias("_on_spine"),
+        f"date({event_column}) AS inventory_date",
+        *[f"{quantity if m == measure else '0L'} AS {m}" for m in _MEASURES],
+        f"{int(on_spine)} AS _on_spine",
     )

@@ -53,7 +53,9 @@ def recover(spark: SparkSession, config: EngineConfig) -> list[str]:
     return [
         name
         for name, layout in LAYOUTS.items()
-        if finish_pending(spark, table_path(config, name), schemas.WAREHOUSE[name], layout.partition_by)
+        if finish_pending(
+            spark, table_path(config, name), schemas.WAREHOUSE[name], layout.partition_by, layout.cluster_by
+        )
     ]
 
 

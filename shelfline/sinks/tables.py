@@ -21,6 +21,7 @@ def write_set(
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
     mode: str = "overwrite",
+    partition_overwrite: str = "static",
 ) -> int:
     """Write a Parquet set and return its row count, observed while writing.
 
@@ -39,7 +40,7 @@ def write_set(
         df = df.sortWithinPartitions(*order)
     writer = df.write.mode(mode)
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", partition_overwrite)
     writer.parquet(path)
     return counter.get["rows"]
 
@@ -66,24 +67,23 @@ def replace_partitions(
 ) -> int:
     """Replace the partitions that `rows` holds (or the whole table, if it has none), all or nothing.
 
-    The plan of `rows` may read the table itself, so it is first written beside it. Only a complete copy
-    carries a success marker; from then on the change is decided, and `finish_pending` completes it even
-    if the driver dies half-way through replacing.
+    The plan of `rows` may read the table itself, so its result is first written beside it, flat and
+    without a shuffle. Only a complete copy carries a success marker; from then on the change is decided,
+    and `finish_pending` completes it even if the driver dies half-way through replacing.
     """
-    count = write_set(rows, _pending(path), partition_by, cluster_by)
-    finish_pending(rows.sparkSession, path, schema, partition_by)
+    count = write_set(rows, _pending(path))
+    finish_pending(rows.sparkSession, path, schema, partition_by, cluster_by)
     return count
 
 
-def finish_pending(spark: SparkSession, path: str, schema: str, partition_by: Sequence[str] = ()) -> bool:
+def finish_pending(
+    spark: SparkSession, path: str, schema: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()
+) -> bool:
     """Roll forward a replacement that was fully written but not fully put in place. Safe to repeat."""
     pending = _pending(path)
     if not path_exists(spark, f"{pending}/_SUCCESS"):
         return False
-    writer = scan_set(spark, pending, schema).write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    write_set(scan_set(spark, pending, schema), path, partition_by, cluster_by, partition_overwrite="dynamic")
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(pending)
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
     return True

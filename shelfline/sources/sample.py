@@ -1,185 +1,199 @@
 """Domain tables as views over the sample Parquet tables, used by the registered queries, tests and bench.
 
 `dense` reads `events`: few products, many rows per product and day. `wide` reads `lineitem`: many products,
-about one row per product and day. Both give the seven source tables of `shelfline.schemas.SOURCE`.
+about one row per product and day. Each gives the trade and stock tables of `shelfline.schemas.SOURCE`;
+`with_dimensions` adds products and suppliers.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from shelfline.sources.files import scan_set
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Columns of the sample tables. Stating them saves the pass that infers them.
+SAMPLE = {
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,"
+        " o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ),
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE,"
+        " l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING,"
+        " l_shipdate TIMESTAMP_NTZ"
+    ),
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return scan_set(spark, f"{sf_dir}/{name}.parquet", SAMPLE[name])
 
 
 def product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("p_partkey")
-    return _table(spark, sf_dir, "part").select(
-        key.cast("int").alias("product_id"),
-        F.concat(F.lit("PRD-"), key.cast("string")).alias("code"),
-        F.col("p_name").alias("name"),
-        F.col("p_type").alias("category"),
-        F.col("p_brand").alias("barcode"),
-        F.col("p_size").cast("decimal(10,2)").alias("weight"),
-        (key % 10 != 0).alias("is_active"),
-        _stamp("2024-01-01 00:00:00").alias("created_at"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "int(p_partkey) AS product_id",
+        "concat('PRD-', p_partkey) AS code",
+        "p_name AS name",
+        "p_type AS category",
+        "p_brand AS barcode",
+        "cast(p_size AS DECIMAL(10,2)) AS weight",
+        "p_partkey % 10 <> 0 AS is_active",
+        "timestamp_ntz'2024-01-01 00:00:00' AS created_at",
     )
 
 
 def changed_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A later product feed: weights, categories and flags changed, some products gone, new ones added."""
     base = product(spark, sf_dir)
-    key = F.col("product_id")
-    kept = base.filter(key % 13 != 0).withColumns(
-        {
-            "weight": F.when(key % 7 == 0, F.col("weight") + 1).when(key % 17 == 0, None).otherwise(F.col("weight")),
-            "category": F.when(key % 11 == 0, F.concat("category", F.lit(" II"))).otherwise(F.col("category")),
-            "is_active": F.when(key % 19 == 0, ~F.col("is_active")).otherwise(F.col("is_active")),
-        }
+    kept = base.filter("product_id % 13 <> 0").selectExpr(
+        "product_id",
+        "code",
+        "name",
+        "CASE WHEN product_id % 11 = 0 THEN concat(category, ' II') ELSE category END AS category",
+        "barcode",
+        "CASE WHEN product_id % 7 = 0 THEN weight + 1 WHEN product_id % 17 <> 0 THEN weight END AS weight",
+        "CASE WHEN product_id % 19 = 0 THEN NOT is_active ELSE is_active END AS is_active",
+        "created_at",
     )
-    added = base.filter(key % 20 == 0).withColumns(
-        {"product_id": key + 1_000_000, "code": F.concat(F.lit("PRD-"), (key + 1_000_000).cast("string"))}
+    added = base.filter("product_id % 20 = 0").selectExpr(
+        "product_id + 1000000 AS product_id",
+        "concat('PRD-', product_id + 1000000) AS code",
+        "name",
+        "category",
+        "barcode",
+        "weight",
+        "is_active",
+        "created_at",
     )
-    return kept.unionByName(added.select(*kept.columns).withColumn("weight", F.col("weight").cast("decimal(11,2)")))
+    return kept.unionByName(added)
 
 
 def supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    nation = table(spark, sf_dir, "nation").selectExpr("n_nationkey AS s_nationkey", "n_name")
     return (
-        _table(spark, sf_dir, "supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
-        .select(
-            key.cast("int").alias("supplier_id"),
-            F.concat(F.lit("SUP-"), key.cast("string")).alias("code"),
-            F.col("s_name").alias("name"),
-            F.when(key % 5 != 0, F.concat(F.lit("s"), key.cast("string"), F.lit("@example.com"))).alias("email"),
-            F.col("n_name").alias("country"),
-            _stamp("2024-01-01 00:00:00").alias("created_at"),
+        table(spark, sf_dir, "supplier")
+        .join(nation, "s_nationkey", "left")
+        .selectExpr(
+            "int(s_suppkey) AS supplier_id",
+            "concat('SUP-', s_suppkey) AS code",
+            "s_name AS name",
+            "CASE WHEN s_suppkey % 5 <> 0 THEN concat('s', s_suppkey, '@example.com') END AS email",
+            "n_name AS country",
+            "timestamp_ntz'2024-01-01 00:00:00' AS created_at",
         )
     )
 
 
+def _cents(amount: str) -> str:
+    return f"cast(cast({amount} AS DECIMAL(10,0)) * 0.01 AS DECIMAL(12,2))"
+
+
 def dense(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    events = _table(spark, sf_dir, "events")
-    key, units = F.col("event_id"), F.floor("value").cast("int")
-    price = _cents(key % 9000 + 500)
-    discount = F.when(key % 4 == 0, _cents(F.lit(50))).otherwise(_cents(F.lit(0)))
-    item = F.col("user_id").cast("int").alias("product_id")
+    events = table(spark, sf_dir, "events")
+    units, item, price = "int(floor(value))", "int(user_id) AS product_id", _cents("event_id % 9000 + 500")
+    discount = f"CASE WHEN event_id % 4 = 0 THEN {_cents('50')} ELSE {_cents('0')} END"
     receipts = events.filter("event_type = 'signup'")
     return {
-        "product": product(spark, sf_dir),
-        "supplier": supplier(spark, sf_dir),
-        "purchase_order_header": receipts.select(
-            key.alias("po_header_id"),
-            F.concat(F.lit("PO-"), key.cast("string")).alias("po_number"),
-            (F.col("user_id") % 5 + 1).cast("int").alias("supplier_id"),
-            F.col("ts").cast("date").alias("order_date"),
-            F.lit("COMPLETED").alias("status"),
-            F.col("ts").alias("created_at"),
+        "purchase_order_header": receipts.selectExpr(
+            "event_id AS po_header_id",
+            "concat('PO-', event_id) AS po_number",
+            "int(user_id % 5 + 1) AS supplier_id",
+            "date(ts) AS order_date",
+            "'COMPLETED' AS status",
+            "ts AS created_at",
         ),
-        "purchase_order_detail": receipts.select(
-            key.alias("po_detail_id"),
-            key.alias("po_header_id"),
+        "purchase_order_detail": receipts.selectExpr(
+            "event_id AS po_detail_id",
+            "event_id AS po_header_id",
             item,
-            units.alias("quantity"),
-            price.alias("unit_price"),
-            units.alias("received_quantity"),
-            F.col("ts").alias("received_date"),
+            f"{units} AS quantity",
+            f"{price} AS unit_price",
+            f"{units} AS received_quantity",
+            "ts AS received_date",
         ),
-        "sales_transaction": events.filter("event_type = 'purchase'").select(
-            key.alias("transaction_id"),
-            F.concat(F.lit("TX-"), key.cast("string")).alias("transaction_number"),
-            F.col("ts").alias("transaction_date"),
+        "sales_transaction": events.filter("event_type = 'purchase'").selectExpr(
+            "event_id AS transaction_id",
+            "concat('TX-', event_id) AS transaction_number",
+            "ts AS transaction_date",
             item,
-            units.alias("quantity"),
-            price.alias("unit_price"),
-            discount.cast("decimal(5,2)").alias("discount"),
-            (units * (price - discount)).cast("decimal(12,2)").alias("total_amount"),
-            F.col("ts").alias("created_at"),
+            f"{units} AS quantity",
+            f"{price} AS unit_price",
+            f"cast({discount} AS DECIMAL(5,2)) AS discount",
+            f"cast({units} * ({price} - {discount}) AS DECIMAL(12,2)) AS total_amount",
+            "ts AS created_at",
         ),
-        "stock_adjustment": events.filter("event_type = 'error'").select(
-            key.alias("adjustment_id"),
-            F.concat(F.lit("ADJ-"), key.cast("string")).alias("adjustment_number"),
-            F.col("ts").alias("adjustment_date"),
+        "stock_adjustment": events.filter("event_type = 'error'").selectExpr(
+            "event_id AS adjustment_id",
+            "concat('ADJ-', event_id) AS adjustment_number",
+            "ts AS adjustment_date",
             item,
-            (key % 7 - 3).cast("int").alias("quantity"),
-            F.lit("count").alias("reason"),
-            F.col("ts").alias("created_at"),
+            "int(event_id % 7 - 3) AS quantity",
+            "'count' AS reason",
+            "ts AS created_at",
         ),
-        "stock_daily": events.filter("event_type IN ('view', 'click')").select(
-            item,
-            F.col("event_type").alias("location_code"),
-            (units + 40).alias("onhand_quantity"),
-            F.col("ts").alias("created_date"),
+        "stock_daily": events.filter("event_type IN ('view', 'click')").selectExpr(
+            item, "event_type AS location_code", f"{units} + 40 AS onhand_quantity", "ts AS created_date"
         ),
     }
 
 
 def wide(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    lines, orders = _table(spark, sf_dir, "lineitem"), _table(spark, sf_dir, "orders")
-    key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    units, price = F.col("l_quantity").cast("int"), _cents(F.floor("l_extendedprice"))
-    item, shipped = F.col("l_partkey").cast("int").alias("product_id"), F.col("l_shipdate")
+    lines = table(spark, sf_dir, "lineitem")
+    key, units, item = "l_orderkey * 8 + l_linenumber", "int(l_quantity)", "int(l_partkey) AS product_id"
+    price = _cents("floor(l_extendedprice)")
     return {
-        "product": product(spark, sf_dir),
-        "supplier": supplier(spark, sf_dir),
-        "purchase_order_header": orders.select(
-            F.col("o_orderkey").alias("po_header_id"),
-            F.concat(F.lit("PO-"), F.col("o_orderkey").cast("string")).alias("po_number"),
-            (F.col("o_custkey") % 100).cast("int").alias("supplier_id"),
-            F.col("o_orderdate").cast("date").alias("order_date"),
-            F.lit("COMPLETED").alias("status"),
-            F.col("o_orderdate").alias("created_at"),
+        "purchase_order_header": table(spark, sf_dir, "orders").selectExpr(
+            "o_orderkey AS po_header_id",
+            "concat('PO-', o_orderkey) AS po_number",
+            "int(o_custkey % 100) AS supplier_id",
+            "date(o_orderdate) AS order_date",
+            "'COMPLETED' AS status",
+            "o_orderdate AS created_at",
         ),
-        "purchase_order_detail": lines.filter("l_linestatus = 'F'").select(
-            key.alias("po_detail_id"),
-            F.col("l_orderkey").alias("po_header_id"),
+        "purchase_order_detail": lines.filter("l_linestatus = 'F'").selectExpr(
+            f"{key} AS po_detail_id",
+            "l_orderkey AS po_header_id",
             item,
-            units.alias("quantity"),
-            price.alias("unit_price"),
-            units.alias("received_quantity"),
-            shipped.alias("received_date"),
+            f"{units} AS quantity",
+            f"{price} AS unit_price",
+            f"{units} AS received_quantity",
+            "l_shipdate AS received_date",
         ),
-        "sales_transaction": lines.filter("l_linestatus = 'O' AND l_returnflag <> 'R'").select(
-            key.alias("transaction_id"),
-            F.concat(F.lit("TX-"), key.cast("string")).alias("transaction_number"),
-            shipped.alias("transaction_date"),
+        "sales_transaction": lines.filter("l_linestatus = 'O' AND l_returnflag <> 'R'").selectExpr(
+            f"{key} AS transaction_id",
+            f"concat('TX-', {key}) AS transaction_number",
+            "l_shipdate AS transaction_date",
             item,
-            units.alias("quantity"),
-            price.alias("unit_price"),
-            F.lit(0).cast("decimal(5,2)").alias("discount"),
-            (units * price).cast("decimal(12,2)").alias("total_amount"),
-            shipped.alias("created_at"),
+            f"{units} AS quantity",
+            f"{price} AS unit_price",
+            "cast(0 AS DECIMAL(5,2)) AS discount",
+            f"cast({units} * {price} AS DECIMAL(12,2)) AS total_amount",
+            "l_shipdate AS created_at",
         ),
-        "stock_adjustment": lines.filter("l_linestatus = 'O' AND l_returnflag = 'R'").select(
-            key.alias("adjustment_id"),
-            F.concat(F.lit("ADJ-"), key.cast("string")).alias("adjustment_number"),
-            shipped.alias("adjustment_date"),
+        "stock_adjustment": lines.filter("l_linestatus = 'O' AND l_returnflag = 'R'").selectExpr(
+            f"{key} AS adjustment_id",
+            f"concat('ADJ-', {key}) AS adjustment_number",
+            "l_shipdate AS adjustment_date",
             item,
-            (F.lit(-1) - units % 3).cast("int").alias("quantity"),
-            F.lit("returned").alias("reason"),
-            shipped.alias("created_at"),
+            f"-1 - {units} % 3 AS quantity",
+            "'returned' AS reason",
+            "l_shipdate AS created_at",
         ),
-        "stock_daily": lines.select(
-            item,
-            F.col("l_returnflag").alias("location_code"),
-            (units + 40).alias("onhand_quantity"),
-            shipped.alias("created_date"),
+        "stock_daily": lines.selectExpr(
+            item, "l_returnflag AS location_code", f"{units} + 40 AS onhand_quantity", "l_shipdate AS created_date"
         ),
     }
 
 
+def with_dimensions(spark: SparkSession, sf_dir: str, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {"product": product(spark, sf_dir), "supplier": supplier(spark, sf_dir), **tables}
+
+
 def raw_purchases(tables: dict[str, DataFrame]) -> DataFrame:
     """The whole joined purchase feed, without a watermark."""
     headers = tables["purchase_order_header"].select("po_header_id", "po_number", "supplier_id", "order_date")
     return tables["purchase_order_detail"].join(headers, "po_header_id")
-
-
-def _cents(amount: Column) -> Column:
-    return (amount.cast("decimal(10,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(12,2)")
-
-
-def _stamp(text: str) -> Column:
-    return F.lit(text).cast("timestamp_ntz")

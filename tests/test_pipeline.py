@@ -25,7 +25,7 @@ def rows_of(spark, config, name, without=()):
 
 @pytest.fixture(scope="module")
 def source(spark):
-    return sample.dense(spark, SMALL)
+    return sample.with_dimensions(spark, SMALL, sample.dense(spark, SMALL))
 
 
 @pytest.fixture(scope="module")
@@ -157,9 +157,9 @@ def test_a_complete_pending_write_is_rolled_forward(spark, tmp_path):
     new = spark.createDataFrame([(date(2026, 1, 2), 2, 2), (date(2026, 1, 3), 3, 2)], schema)
     sink.replace_partitions(old, path, schema, ["d"], ["k"])
     # The driver dies after the copy is complete, before it is in place.
-    sink.write_set(new, f"{path}.pending", ["d"], ["k"])
-    assert sink.finish_pending(spark, path, schema, ["d"])
-    assert not sink.finish_pending(spark, path, schema, ["d"])
+    sink.write_set(new, f"{path}.pending")
+    assert sink.finish_pending(spark, path, schema, ["d"], ["k"])
+    assert not sink.finish_pending(spark, path, schema, ["d"], ["k"])
     read = spark.read.schema(schema).parquet(path)
     assert sorted((r["k"], r["v"]) for r in read.collect()) == [(1, 1), (2, 2), (3, 2)]
 
