@@ -13,6 +13,7 @@ from shelfline.operators import merge
 from shelfline.operators.movements import outbound
 from shelfline.sinks import tables
 from shelfline.sinks.tables import touched_partitions, write_set
+from shelfline.sources.feeds import incremental_purchases
 from tests.conftest import SF_DIR
 
 
@@ -81,3 +82,57 @@ def test_many_touched_partitions_fall_back_to_a_semi_join(spark, monkeypatch):
     assert tables.touched_partitions(table, feed, ["p"]).count() == 50
     assert tables.touched_partitions(table, feed.filter("p < 2"), ["p"]).count() == 20
     assert tables.touched_partitions(table, feed.filter("p < 0"), ["p"]).count() == 0
+
+
+def test_a_large_partition_is_split_while_small_ones_are_merged(spark, tmp_path):
+    """Two thirds of the rows fall on one day; its files are bounded, the other days share tasks."""
+    path = str(tmp_path / "hot")
+    day = F.when(F.col("id") % 3 == 0, F.col("id") % 30).otherwise(F.lit(7)).cast("int")
+    rows = spark.range(300_000).select(F.date_add(F.lit(date(2026, 1, 1)), day).alias("d"), F.xxhash64("id").alias("k"))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "512KB")
+    try:
+        assert write_set(rows, path, ["d"], ["k"]) == 300_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "hot").glob("d=*")}
+    assert files["d=2026-01-08"] >= 4
+    assert all(count == 1 for name, count in files.items() if name != "d=2026-01-08")
+    assert spark.read.schema("d DATE, k BIGINT").parquet(path).count() == 300_000
+
+
+def test_an_order_with_a_third_of_all_lines_is_split(spark):
+    """Thresholds are lowered to the size of the test; the shuffled join splits the hot order."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    order = F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 5000)
+    detail = spark.range(0, 300_000, 1, 16).select(
+        F.col("id").alias("po_detail_id"),
+        order.cast("bigint").alias("po_header_id"),
+        (F.col("id") % 97).cast("int").alias("product_id"),
+        F.lit(1).alias("quantity"),
+        F.lit(1).cast("decimal(12,2)").alias("unit_price"),
+        F.lit(1).alias("received_quantity"),
+        F.lit("2026-01-02 00:00:00").cast("timestamp_ntz").alias("received_date"),
+    )
+    header = spark.range(5000).select(
+        F.col("id").alias("po_header_id"),
+        F.concat(F.lit("PO-"), F.col("id").cast("string")).alias("po_number"),
+        F.lit(1).alias("supplier_id"),
+        F.lit(date(2026, 1, 1)).alias("order_date"),
+    )
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = incremental_purchases(detail, header, date(2026, 1, 1))
+        assert len(joined.collect()) == 300_000
+        assert "SortMergeJoin(skew=true)" in plan(joined)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
