@@ -331,3 +331,21 @@ ORACLES: dict[str, str] = {
         {_daily_rows("(SELECT * FROM advised WHERE inventory_date < DATE '2024-01-20')", _TX)}
         UNION ALL {_daily_rows("advised_new", _TY)}""",
 }
+
+# Money and rates are compared as doubles, as the registered queries show them.
+_DECIMALS = {
+    ("scan_products", "product_scd2"): ["weight"],
+    ("incremental_sales",): ["unit_price", "discount", "total_amount"],
+    ("incremental_purchases",): ["unit_price"],
+    ("movement_fact", "movement_with_missing_feed", "movement_upsert"): ["unit_price", "total_amount"],
+    ("daily_inventory_fact", "daily_fact_upsert", "two_daily_runs"): [
+        "daily_sales_velocity",
+        "days_of_inventory",
+        "inventory_turnover_rate",
+    ],
+}
+
+for _names, _columns in _DECIMALS.items():
+    _casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _columns)
+    for _name in _names:
+        ORACLES[_name] = f"SELECT * REPLACE ({_casts}) FROM ({ORACLES[_name]}) AS exact"

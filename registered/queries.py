@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -327,8 +328,20 @@ def two_daily_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.read_table(spark, EngineConfig.under(folder, SECOND_RUN), "fact_daily_inventory")
 
 
+def _shown(query: Query) -> Query:
+    """Decimals as doubles: exact here (two places, far below 2^53), and a type that every client has."""
+
+    @wraps(query)
+    def shown(spark: SparkSession, sf_dir: str) -> DataFrame:
+        result = query(spark, sf_dir)
+        decimals = [name for name, kind in result.dtypes if kind.startswith("decimal")]
+        return result.withColumns({name: F.col(name).cast("double") for name in decimals}) if decimals else result
+
+    return shown
+
+
 QUERIES: dict[str, Query] = {
-    query.__name__: query
+    query.__name__: _shown(query)
     for query in (
         scan_products,
         scan_suppliers,

@@ -95,19 +95,24 @@ def run_inventory_business_validation(df: DataFrame) -> tuple[bool, int]:
 
 def rule_report(df: DataFrame, rules: MartRules) -> DataFrame:
     """One row (row_count, nulls, duplicates, biz_warnings): every rule of a mart in one scan."""
-    nulls = _sum_of_flags([missing(df, c) for c in _present(df, rules.not_null)])
-    negatives = _sum_of_flags([F.coalesce(F.col(c) < 0, F.lit(False)) for c in _present(df, rules.not_negative)])
-    counted = [
-        F.count(F.lit(1)).alias("_rows"),
-        F.sum(nulls).alias("_nulls"),
-        F.sum(negatives).alias("_negatives"),
-    ]
-    grouped = _key_groups(df, rules.key).agg(*counted) if rules.key else df.agg(*counted)
+    none = F.lit(0).cast("bigint")
+    flags = {
+        "_nulls": [missing(df, c) for c in _present(df, rules.not_null)],
+        "_negatives": [F.coalesce(F.col(c) < 0, F.lit(False)) for c in _present(df, rules.not_negative)],
+    }
+    # A rule without columns adds nothing to what is shuffled per key.
+    counted = [F.sum(_sum_of_flags(tests)).alias(name) for name, tests in flags.items() if tests]
+    per_key = _key_groups(df, rules.key) if rules.key else df.groupBy()
+    grouped = per_key.agg(F.count(F.lit(1)).alias("_rows"), *counted)
+
+    def total(name: str) -> Column:
+        return F.coalesce(F.sum(name), none) if name in grouped.columns else none
+
     return grouped.agg(
-        F.coalesce(F.sum("_rows"), F.lit(0)).alias("row_count"),
-        F.coalesce(F.sum("_nulls"), F.lit(0)).alias("nulls"),
-        (_repeated("_rows") if rules.key else F.lit(0).cast("bigint")).alias("duplicates"),
-        F.coalesce(F.sum("_negatives"), F.lit(0)).alias("biz_warnings"),
+        total("_rows").alias("row_count"),
+        total("_nulls").alias("nulls"),
+        (_repeated("_rows") if rules.key else none).alias("duplicates"),
+        total("_negatives").alias("biz_warnings"),
     )
 
 

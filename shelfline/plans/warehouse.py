@@ -201,4 +201,6 @@ def _feed(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     if not path_exists(spark, path):
         logger.warning("%s is absent, its load is skipped", path)
         return None
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        raise ValueError(f"{path} was not written to its end")
     return scan_set(spark, path, schema)

@@ -43,13 +43,13 @@ RAW = {
     "stock_daily": SOURCE["stock_daily"],
 }
 
-_LEDGER = (
+LEDGER = (
     "inventory_date DATE, product_id INT, stock_awal BIGINT, quantity_received BIGINT, quantity_sold BIGINT,"
     " quantity_adjusted BIGINT, stock_akhir BIGINT, stock_aktual_system BIGINT, selisih BIGINT"
 )
 
 _ADVICE = (
-    f"{_LEDGER}, daily_sales_velocity DOUBLE, days_of_inventory DOUBLE, inventory_turnover_rate DOUBLE,"
+    f"{LEDGER}, daily_sales_velocity DOUBLE, days_of_inventory DOUBLE, inventory_turnover_rate DOUBLE,"
     " sales_speed_class STRING, reorder_alert BOOLEAN, recommended_reorder_qty INT"
 )
 

@@ -17,6 +17,9 @@ _CONNECTIONS = {
 }
 FETCH_ROWS = "10000"
 
+# Scans of the stock log that one read may split into.
+MAX_LOG_SCANS = 512
+
 
 def mysql_options(env: Mapping[str, str] = os.environ) -> dict[str, str]:
     return _options("mysql", env)
@@ -62,19 +65,21 @@ def purchases_query(since: date) -> str:
     )
 
 
-def stock_predicates(since: date, until: date, product_splits: int) -> list[str]:
-    """One predicate per log day and product remainder; the last day is open-ended.
+def stock_predicates(since: date, until: date, product_splits: int, most: int = MAX_LOG_SCANS) -> list[str]:
+    """One predicate per span of log days and product remainder; the last span is open-ended.
 
     The log has no row id to split on. Two splits keep a partition small when one product or one day holds
-    a large part of the log. The predicates are disjoint and cover every row from `since` on.
+    a large part of the log. The predicates are disjoint and cover every row from `since` on; a span grows
+    from one day to as many as keep the number of scans within `most`.
     """
-    days = max((until - since).days, 0)
+    days = max((until - since).days, 0) + 1
+    step = -(-days // max(most // product_splits, 1))
+    starts = [since + timedelta(days=offset) for offset in range(0, days, step)]
     predicates = []
-    for offset in range(days + 1):
-        day = since + timedelta(days=offset)
-        span = since_clause("created_date", day)
-        if offset < days:
-            span += f" AND created_date < '{(day + timedelta(days=1)).isoformat()}'"
+    for start, end in zip(starts, [*starts[1:], None]):
+        span = since_clause("created_date", start)
+        if end is not None:
+            span += f" AND created_date < '{end.isoformat()}'"
         predicates += [f"{span} AND MOD(ABS(product_id), {product_splits}) = {k}" for k in range(product_splits)]
     return predicates
 

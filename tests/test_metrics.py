@@ -13,7 +13,7 @@ START = date(2026, 1, 1)
 def timeline(spark, rows):
     """A ledger of one product from (day offset, sold, closing) tuples."""
     values = [(START + timedelta(days=d), 1, 0, 0, sold, 0, closing, 0, 0) for d, sold, closing in rows]
-    return spark.createDataFrame(values, schemas._LEDGER)
+    return spark.createDataFrame(values, schemas.LEDGER)
 
 
 def measured(spark, rows):
@@ -89,7 +89,7 @@ def test_rounding_works_on_the_binary_value(spark):
 def advised(spark, closing, velocity, lead=5, safety=3):
     frame = spark.createDataFrame(
         [(START, 1, 0, 0, 0, 0, closing, 0, 0, velocity, 0.0, 0.0, "X")],
-        schemas._LEDGER
+        schemas.LEDGER
         + ", daily_sales_velocity DOUBLE, days_of_inventory DOUBLE, inventory_turnover_rate DOUBLE, sales_speed_class STRING",
     )
     row = reorder.reorder_analysis(frame, lead, safety).first()

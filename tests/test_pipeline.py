@@ -142,6 +142,15 @@ def test_missing_inputs(spark, tmp_path):
     assert warehouse.load_fact_daily_inventory(spark, config) == 0
 
 
+def test_a_half_written_feed_is_not_loaded(spark, source, tmp_path):
+    config = EngineConfig.under(str(tmp_path), FIRST)
+    source["supplier"].write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
+        f"{config.raw_dir}/suppliers"
+    )
+    with pytest.raises(ValueError, match="not written to its end"):
+        warehouse.load_suppliers(spark, config)
+
+
 def test_watermark_defaults_to_thirty_days_before_the_run(spark, tmp_path):
     config = EngineConfig.under(str(tmp_path), datetime(2026, 6, 30, 3))
     assert warehouse.get_last_success_date(spark, config) == date(2026, 5, 31)
