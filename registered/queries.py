@@ -6,10 +6,11 @@ from collections.abc import Callable
 from datetime import date, datetime
 from functools import wraps
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfline import schemas
 from shelfline.config import EngineConfig
+from shelfline.functions.times import wall_clock
 from shelfline.operators import control, ledger, merge, metrics, movements, quality, reorder, scd2
 from shelfline.plans import pipeline, warehouse
 from shelfline.sinks.tables import shared_folder, write_set
@@ -27,10 +28,6 @@ SECOND_RUN = datetime(2024, 2, 1, 6, 0)
 BUCKET_SPAN = 4096
 
 
-def _at(moment: datetime) -> Column:
-    return F.lit(moment).cast("timestamp_ntz")
-
-
 def _ledger(tables: dict[str, DataFrame]) -> DataFrame:
     return ledger.inventory_snapshot(
         tables["stock_daily"],
@@ -172,7 +169,7 @@ def movement_with_missing_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_inventory_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge.daily_rows(_advice(sample.dense(spark, sf_dir)), _at(SECOND_RUN))
+    return merge.daily_rows(_advice(sample.dense(spark, sf_dir)), wall_clock(SECOND_RUN))
 
 
 def reorder_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,9 +202,9 @@ def dq_gate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def supplier_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = sample.supplier(spark, sf_dir)
-    known = suppliers.filter("supplier_id % 3 <> 0").withColumn("created_at", _at(datetime(2023, 1, 1)))
+    known = suppliers.filter("supplier_id % 3 <> 0").withColumn("created_at", wall_clock(datetime(2023, 1, 1)))
     feed = suppliers.filter("supplier_id % 4 <> 0").withColumn("name", F.concat("name", F.lit(" Ltd")))
-    return merge.supplier_upsert(merge.supplier_rows(known, _at(FIRST_RUN)), feed, _at(SECOND_RUN))
+    return merge.supplier_upsert(merge.supplier_rows(known, wall_clock(FIRST_RUN)), feed, wall_clock(SECOND_RUN))
 
 
 def product_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,7 +223,7 @@ def product_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def product_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the changed product feed does, per action."""
     nothing = spark.createDataFrame([], schemas.WAREHOUSE["dim_product"])
-    first = scd2.product_scd2(nothing, sample.product(spark, sf_dir), _at(FIRST_RUN))
+    first = scd2.product_scd2(nothing, sample.product(spark, sf_dir), wall_clock(FIRST_RUN))
     actions = scd2.product_actions(first, sample.changed_product(spark, sf_dir))
     return actions.groupBy("action").agg(F.count(F.lit(1)).alias("products"))
 
@@ -235,8 +232,8 @@ def movement_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = _movements(sample.dense(spark, sf_dir))
     known = moved.filter(F.col("movement_date") < F.lit(CHANGE_DAY))
     feed = moved.filter(F.col("movement_date") >= F.lit(WATERMARK)).withColumn("quantity", F.col("quantity") + 1)
-    target = merge.movement_rows(known, _at(FIRST_RUN), BUCKET_SPAN)
-    return merge.movement_upsert(target, feed, _at(SECOND_RUN), BUCKET_SPAN)
+    target = merge.movement_rows(known, wall_clock(FIRST_RUN), BUCKET_SPAN)
+    return merge.movement_upsert(target, feed, wall_clock(SECOND_RUN), BUCKET_SPAN)
 
 
 def daily_fact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,8 +248,8 @@ def daily_fact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     known = _advice(tables).filter(F.col("inventory_date") < F.lit(CHANGE_DAY))
-    target = merge.daily_rows(known, _at(FIRST_RUN))
-    return merge.daily_fact_upsert(target, reorder.reorder_analysis(clipped), _at(SECOND_RUN))
+    target = merge.daily_rows(known, wall_clock(FIRST_RUN))
+    return merge.daily_fact_upsert(target, reorder.reorder_analysis(clipped), wall_clock(SECOND_RUN))
 
 
 # Run control --------------------------------------------------------------------------------------------
@@ -295,7 +292,7 @@ def _order_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def read_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return control.read_watermark(_user_state(spark, sf_dir), _at(SECOND_RUN), "user-7")
+    return control.read_watermark(_user_state(spark, sf_dir), wall_clock(SECOND_RUN), "user-7")
 
 
 def watermark_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,7 +300,7 @@ def watermark_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.substring("pipeline_name", 6, 20).cast("int")
     known = state.filter(key % 3 != 0)
     feed = state.filter(key % 2 == 0).withColumns(
-        {"last_success_date": F.date_add("last_success_date", 1), "updated_at": _at(SECOND_RUN)}
+        {"last_success_date": F.date_add("last_success_date", 1), "updated_at": wall_clock(SECOND_RUN)}
     )
     return merge.watermark_upsert(known, feed)
 
@@ -313,7 +310,8 @@ def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_running_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return control.latest_running_run(control.audit_log(_order_runs(spark, sf_dir)))
+    latest = control.latest_running_run(control.audit_log(_order_runs(spark, sf_dir)))
+    return latest.select("run_id", "pipeline_name", "start_time")
 
 
 # Whole run ----------------------------------------------------------------------------------------------

@@ -80,7 +80,6 @@ def latest_running_run(audit: DataFrame) -> DataFrame:
         audit.filter("run_status = 'RUNNING'")
         .orderBy(F.col("start_time").desc(), F.col("run_id").desc())
         .limit(1)
-        .select("run_id", "pipeline_name", "start_time")
     )
 
 

@@ -6,7 +6,7 @@ import logging
 from datetime import date
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from shelfline import schemas
 from shelfline.config import EngineConfig
@@ -137,10 +137,10 @@ def run_quality_check(spark: SparkSession, config: EngineConfig) -> dict[str, di
     )
     failed = [name for name, (_, passed, _) in results.items() if not passed]
     reports = {name: counts for name, (_, _, counts) in results.items()}
-    run_id = warehouse.find_running_run(spark, config)
-    if run_id is not None:
-        extracted = _run_state(spark, config, run_id)["records_extracted"]
-        warehouse.log_audit_progress(spark, config, run_id, extracted, len(results) - len(failed), len(failed))
+    run = warehouse.find_running_run(spark, config)
+    if run is not None:
+        extracted, passed = run["records_extracted"], len(results) - len(failed)
+        warehouse.log_audit_progress(spark, config, run["run_id"], extracted, passed, len(failed))
     if failed:
         raise DataQualityError(f"critical checks failed: {', '.join(f'{n} {reports[n]}' for n in failed)}")
     return reports
@@ -156,7 +156,7 @@ def _advice(spark: SparkSession, config: EngineConfig) -> DataFrame:
 
 def run_load(spark: SparkSession, config: EngineConfig) -> int:
     """Merge dimensions and facts, advance the watermark and close the run. Returns the rows loaded."""
-    run_id = warehouse.find_running_run(spark, config)
+    run = warehouse.find_running_run(spark, config)
     try:
         warehouse.recover(spark, config)
         counts = run_together(
@@ -171,36 +171,31 @@ def run_load(spark: SparkSession, config: EngineConfig) -> int:
         loaded = sum(counts.values())
         warehouse.update_last_success_date(spark, config, config.next_watermark)
     except Exception as error:
-        _close_run(spark, config, run_id, "FAILED", error=error)
+        _close_run(spark, config, run, "FAILED", error=error)
         raise
-    _close_run(spark, config, run_id, "SUCCESS", loaded)
+    _close_run(spark, config, run, "SUCCESS", loaded)
     return loaded
 
 
-def _run_state(spark: SparkSession, config: EngineConfig, run_id: int):
-    return warehouse.read_audit(spark, config).filter(F.col("run_id") == run_id).first()
-
-
 def _close_run(
     spark: SparkSession,
     config: EngineConfig,
-    run_id: int | None,
+    run: Row | None,
     status: str,
     loaded: int = 0,
     error: Exception | None = None,
 ) -> None:
-    if run_id is None:
+    if run is None:
         return
-    state = _run_state(spark, config, run_id)
     warehouse.log_audit_end(
         spark,
         config,
-        run_id,
+        run["run_id"],
         status,
-        records_extracted=state["records_extracted"],
+        records_extracted=run["records_extracted"],
         records_loaded=loaded,
-        dq_passed=state["dq_checks_passed"],
-        dq_failed=state["dq_checks_failed"],
+        dq_passed=run["dq_checks_passed"],
+        dq_failed=run["dq_checks_failed"],
         error_message=None if error is None else str(error),
     )
 

@@ -6,10 +6,11 @@ import logging
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from shelfline import schemas
 from shelfline.config import EngineConfig
+from shelfline.functions.times import wall_clock
 from shelfline.operators import control, merge, quality, scd2
 from shelfline.sinks.tables import finish_pending, replace_partitions, touched_partitions, write_set
 from shelfline.sources.files import path_exists, scan_or_empty, scan_set
@@ -60,7 +61,7 @@ def recover(spark: SparkSession, config: EngineConfig) -> list[str]:
 
 
 def run_time(config: EngineConfig) -> Column:
-    return F.lit(config.as_of).cast("timestamp_ntz")
+    return wall_clock(config.as_of)
 
 
 # Watermark and audit ------------------------------------------------------------------------------------
@@ -121,14 +122,13 @@ def log_audit_end(
     )
 
 
-def find_running_run(spark: SparkSession, config: EngineConfig) -> int | None:
-    """Id of the latest running run; a log that cannot be read only costs the audit row."""
+def find_running_run(spark: SparkSession, config: EngineConfig) -> Row | None:
+    """Audit row of the latest running run; a log that cannot be read only costs the audit row."""
     try:
-        row = control.latest_running_run(read_audit(spark, config)).first()
+        return control.latest_running_run(read_audit(spark, config)).first()
     except Exception as error:  # noqa: BLE001
         logger.warning("no running run found: %s", error)
         return None
-    return row["run_id"] if row else None
 
 
 def _append_event(spark: SparkSession, config: EngineConfig, columns: list[Column]) -> None:
