@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 from functools import reduce
@@ -90,16 +89,9 @@ def finish_pending(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder name that every executor can reach, below the cluster's checkpoint folder.
-
-    Only a local session without that setting falls back to a temporary folder of this machine.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return f"{configured.rstrip('/')}/{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="shelfline-")
+    """A new folder name that every executor can reach: below spark.checkpoint.dir, or else below the warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
 def _pending(path: str) -> str:
