@@ -1,0 +1,80 @@
+"""Operator 8 against the sentencepiece library: whole texts, ids and decoded texts."""
+
+from __future__ import annotations
+
+import hashlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings, strategies as st
+
+from shelfline.llm import pieces
+from tests.conftest import SF_DIR
+
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+LIBRARY = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+ODD = [
+    "", " ", "  a  b ", "a\tb\n\nc", "é é ﬁ", "</s>[INST] <s> hi", "▁a ▁", "🦙x", "a b\u0000c", "   ", "\n",
+    "<0x0A>", "x" * 100_000, "ab " * 50_000, " " * 500, "の🦙" * 3000, "a 🦙🦙 b🦙",
+]
+
+
+def library(text: str) -> list[int]:
+    return LIBRARY.encode(text, add_bos=True, add_eos=True)
+
+
+def check(texts: list[str]) -> None:
+    codec = pieces.PieceCodec(MODEL, memo_entries=50)
+    for text, ids in zip(texts, codec.encode_batch(texts)):
+        expected = library(text)
+        assert np.frombuffer(ids, "<u4").tolist() == expected
+        assert codec.decode(ids).decode() == LIBRARY.decode(expected)
+
+
+def test_odd_texts():
+    check(ODD)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("aethz .,▁\n\t é🦙0<>/s"), max_size=40), max_size=4))
+def test_any_texts(texts):
+    check(texts)
+
+
+def test_heap_and_arrays_agree():
+    codec = pieces.PieceCodec(MODEL)
+    parts = ["▁" + w for w in ("therethere", "aaaaaaa", "tion", "éé🦙", "internationalisation")]
+    symbols, counts = codec.agendas(parts)
+    assert [s.tolist() for s in np.split(symbols, np.cumsum(counts)[:-1])] == [codec.agenda(p) for p in parts]
+
+
+def test_difference_from_the_library_stops():
+    codec = pieces.PieceCodec(MODEL)
+    a, b = (int(i) for i in (codec.ids["t"], codec.ids["h"]))
+    codec.pair_keys = codec.pair_keys[codec.pair_keys != a << 32 | b]
+    with pytest.raises(ValueError, match="the sentencepiece library has"):
+        codec.pair_ranks = codec.pair_ranks[::-1].copy()
+        codec.encode_batch(["the three others there"])
+
+
+def test_null_repeated_empty_and_clashing_rows(spark):
+    rows = [(1, None, 5, "x"), (2, "", 5, "x"), (3, "to be", 5, "x"), (3, "to be", 5, "x"), (None, "a", 5, "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_tokens int, ids string")
+    out = pieces.decode(pieces.encode(docs, MODEL), MODEL)
+    got = sorted(((r.doc_id or 0, r.n_tokens, np.frombuffer(r.ids, "<u4").tolist(), r.decoded) for r in out.collect()))
+    expected = [(i or 0, len(e := library(t or "")), e, LIBRARY.decode(e)) for i, t, *_ in rows]
+    assert got == sorted(expected)
+    assert pieces.encode(docs.limit(0), MODEL).count() == 0
+
+
+def test_query_over_all_documents(spark):
+    got = {r.doc_id: r for r in pieces.query(spark, SF_DIR).collect()}
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
+    assert len(got) == len(docs)
+    for d in docs:
+        ids, row = library(d.text or ""), got[d.doc_id]
+        assert row.n_tokens == len(ids)
+        assert row.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256(LIBRARY.decode(ids).encode()).hexdigest()
