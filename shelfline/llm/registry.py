@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import pieces
+from shelfline.llm import chat, pieces, rules
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_format": chat.query,
+    "op5_quality_rules": rules.query,
     "op8_sentencepiece": pieces.query,
 }
 
-LLM_ORACLES: dict[str, str] = {}
+LLM_ORACLES: dict[str, str] = {"op1_chat_format": chat.ORACLE}

@@ -11,6 +11,7 @@ import sentencepiece
 from hypothesis import given, settings, strategies as st
 
 from shelfline.llm import pieces
+from shelfline.llm.common import Memo
 from tests.conftest import SF_DIR
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -26,7 +27,8 @@ def library(text: str) -> list[int]:
 
 
 def check(texts: list[str]) -> None:
-    codec = pieces.PieceCodec(MODEL, memo_entries=50)
+    codec = pieces.codec(MODEL)
+    codec.memo = Memo(50)
     for text, ids in zip(texts, codec.encode_batch(texts)):
         expected = library(text)
         assert np.frombuffer(ids, "<u4").tolist() == expected
