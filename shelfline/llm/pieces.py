@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shelfline.llm.common import Memo, slices, table, texts
 
 MARK = "▁"
-MEMO_ENTRIES = 600_000
-BATCH_BYTES = 8 << 20
+MEMO_ENTRIES = 200_000
+BATCH_BYTES = 2 << 20
 #: Characters of a part whose agenda is kept in arrays beside others.
 SHORT = 24
 #: Above every place of a pair.
