@@ -1,9 +1,9 @@
 """Quality rules by weak supervision (operator 5), in DataFrame functions only.
 
 Each rule looks at a text and votes good (1) or bad (-1), or abstains (0). Nobody says how far a rule can be trusted:
-expectation-maximisation finds, from how often the votes agree, each rule's accuracy (how often it is right when it
-votes) and the share of good texts. The votes of a text, weighted by the log odds of those accuracies, give the
-posterior probability that it is good; the text is kept from `KEEP` on, unless the base checks failed.
+expectation-maximisation finds, from how often the votes agree, how accurate each rule is on good and on bad texts, and
+the share of good texts. The votes of a text, weighted by the log odds that those rates give, make the posterior
+probability that it is good; the text is kept from `KEEP` on, unless the base checks failed.
 
 What EM needs is the number of texts per vote pattern: at most 3 ** len(RULES) rows, whatever the input. They are
 counted over all documents in one aggregation, and are all that reaches the driver.
@@ -28,6 +28,8 @@ LEAST_WORDS = 20
 MOST_REPEATED = 30  # per cent of the words
 KEEP = 0.5
 ROUNDS = 200
+#: Start of EM: share of good texts; how good and bad ones are voted on (abstention, good, bad); weight of all this in texts.
+START_PRIOR, START_RATES, SMOOTH = 0.9, ((0.5, 0.48, 0.02), (0.5, 0.1, 0.4)), 2.0
 SYMBOLS = "#*$%&|<>"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Frequent function words of the four languages of the corpus.
@@ -111,22 +113,23 @@ def measured(docs: DataFrame, into: str = "_m") -> DataFrame:
     return docs.withColumn(into, _counts(F.coalesce(F.col("text").cast("string"), F.lit(""))))
 
 
-def _vote(bad: Column, good: Column) -> Column:
-    return F.when(bad, -1).when(good, 1).otherwise(0).cast("tinyint")
+def _vote(bad: Column, good: Column | None) -> Column:
+    vote = F.when(bad, -1)
+    return (vote if good is None else vote.when(good, 1)).otherwise(0).cast("tinyint")
 
 
-#: Rule name: (votes bad, votes good), of the struct of counts. In neither case it abstains.
-RULES: dict[str, Callable[[Column], tuple[Column, Column]]] = {
-    "length": lambda m: (m["n_words"] < LEAST_WORDS, m["n_words"] >= 60),
-    "symbols": lambda m: (10 * m["n_symbols"] > m["n_words"], 100 * m["n_symbols"] <= m["n_words"]),
-    "lines": lambda m: (10 * m["lines"]["dup"] > 3 * m["lines"]["lines"], m["lines"]["dup"] == 0),
-    "repeats": lambda m: (10 * m["n_repeat_words"] > m["n_words"], m["n_repeat_words"] == 0),
-    "capitals": lambda m: (10 * m["n_upper"] > 3 * m["word_chars"], 10 * m["n_upper"] <= m["word_chars"]),
-    "function_words": lambda m: ((m["n_words"] >= LEAST_WORDS) & (m["n_function"] < 2), m["n_function"] >= 4),
-    "variety": lambda m: (
-        (m["n_words"] >= LEAST_WORDS) & (5 * m["n_distinct"] < m["n_words"]),
-        (m["n_words"] >= LEAST_WORDS) & (5 * m["n_distinct"] >= 2 * m["n_words"]),
+#: Rule name: (votes bad, votes good), of the struct of counts. In neither case it abstains; most only ever find faults.
+RULES: dict[str, Callable[[Column], tuple[Column, Column | None]]] = {
+    "length": lambda m: (m["n_words"] < LEAST_WORDS, m["n_words"] >= LEAST_WORDS),
+    "symbols": lambda m: (10 * m["n_symbols"] > m["n_words"], None),
+    "lines": lambda m: ((m["lines"]["dup"] > 2) & (10 * m["lines"]["dup"] > 3 * m["lines"]["lines"]), None),
+    "repeats": lambda m: (5 * m["n_repeat_words"] > m["n_words"], None),
+    "capitals": lambda m: (10 * m["n_upper"] > 3 * m["word_chars"], None),
+    "function_words": lambda m: (
+        (m["n_words"] >= LEAST_WORDS) & (m["n_function"] < 2),
+        (m["n_function"] >= 4) | ((m["n_words"] < 60) & (m["n_function"] >= 2)),
     ),
+    "variety": lambda m: ((m["n_words"] >= LEAST_WORDS) & (5 * m["n_distinct"] < m["n_words"]), None),
     "word_length": lambda m: (
         (m["word_chars"] < 2 * m["n_words"]) | (m["word_chars"] > 12 * m["n_words"]),
         (m["word_chars"] >= 3 * m["n_words"]) & (m["word_chars"] <= 9 * m["n_words"]),
@@ -138,40 +141,45 @@ def votes(m: Column) -> list[Column]:
     return [_vote(*rule(m)).alias(name) for name, rule in RULES.items()]
 
 
-def fit(patterns: Sequence[tuple[Sequence[int], int]], rounds: int = ROUNDS) -> tuple[float, list[float]]:
-    """Share of good texts and accuracy of each rule, by EM over vote patterns and their counts.
+#: Per rule, for good and for bad texts: how often it abstains, votes good, votes bad (the place of a vote v is v).
+Rates = list[list[float]]
 
-    Counts are smoothed by one right and one wrong vote, accuracies stay from 0.5 (a coin) to 0.995.
+
+def fit(patterns: Sequence[tuple[Sequence[int], int]], rounds: int = ROUNDS) -> tuple[float, list[Rates]]:
+    """Share of good texts and the accuracy of each rule, by EM over vote patterns and their counts.
+
+    Good and bad texts have rates of their own: nearly all texts are good, so a rule that hardly ever cries wolf
+    says much when it does. Every sum starts with `SMOOTH` texts that vote as the start values say.
     """
-    prior, accuracy = 0.8, [0.8] * len(RULES)
     total = sum(n for _, n in patterns)
+    prior, rates = START_PRIOR, [[list(r) for r in START_RATES] for _ in RULES]
     for _ in range(rounds):
-        good, right, voted = 0.0, [1.0] * len(accuracy), [2.0] * len(accuracy)
+        good = SMOOTH * START_PRIOR
+        sums = [[[SMOOTH * x for x in r] for r in START_RATES] for _ in RULES]
         for pattern, n in patterns:
-            p = posterior(pattern, prior, accuracy)
+            p = posterior(pattern, prior, rates)
             good += n * p
             for j, v in enumerate(pattern):
-                if v:
-                    voted[j] += n
-                    right[j] += n * (p if v > 0 else 1 - p)
-        last = [prior, *accuracy]
-        prior = (good + 1) / (total + 2)
-        accuracy = [min(max(a / b, 0.5), 0.995) for a, b in zip(right, voted)]
-        if max(abs(a - b) for a, b in zip(last, [prior, *accuracy])) < 1e-9:
+                sums[j][0][v] += n * p
+                sums[j][1][v] += n * (1 - p)
+        last, prior = prior, good / (total + SMOOTH)
+        rates = [[[x / sum(r) for x in r] for r in pair] for pair in sums]
+        if abs(prior - last) < 1e-10:
             break
-    return prior, accuracy
+    return prior, rates
 
 
-def posterior(pattern: Sequence[int], prior: float, accuracy: Sequence[float]) -> float:
-    odds = sum(v * weight(a) for v, a in zip(pattern, accuracy)) + weight(prior)
-    return 1 / (1 + math.exp(-odds))
+def weights(rates: Rates) -> list[float]:
+    """What abstention, a good and a bad vote add to the log odds that a text is good."""
+    return [math.log(g / b) for g, b in zip(*rates)]
 
 
-def weight(probability: float) -> float:
-    return math.log(probability / (1 - probability))
+def posterior(pattern: Sequence[int], prior: float, rates: Sequence[Rates]) -> float:
+    odds = math.log(prior / (1 - prior)) + sum(weights(r)[v] for v, r in zip(pattern, rates))
+    return 1 / (1 + math.exp(-odds))
 
 
-def fit_votes(voted: DataFrame) -> tuple[float, list[float]]:
+def fit_votes(voted: DataFrame) -> tuple[float, list[Rates]]:
     """EM over the vote columns of all rows: their patterns are counted on the cluster."""
     found = voted.groupBy(*RULES).agg(F.count(F.lit(1)).alias("n")).collect()
     return fit(sorted((tuple(r[name] for name in RULES), r["n"]) for r in found))
@@ -181,8 +189,12 @@ def _base_failed(m: Column) -> Column:
     return (m["n_words"] < LEAST_WORDS) | (100 * m["n_repeat_words"] > MOST_REPEATED * m["n_words"])
 
 
-def _posterior(m: Sequence[Column], prior: float, accuracy: Sequence[float]) -> Column:
-    odds = reduce(lambda a, b: a + b, (v * F.lit(weight(a)) for v, a in zip(m, accuracy)), F.lit(weight(prior)))
+def _posterior(m: Sequence[Column], prior: float, rates: Sequence[Rates]) -> Column:
+    def added(vote: Column, r: Rates) -> Column:
+        none, good, bad = weights(r)
+        return F.when(vote > 0, good).when(vote < 0, bad).otherwise(none)
+
+    odds = reduce(lambda x, y: x + y, (added(v, r) for v, r in zip(m, rates)), F.lit(math.log(prior / (1 - prior))))
     return 1 / (1 + F.exp(-odds))
 
 
@@ -190,8 +202,8 @@ def judge(docs: DataFrame) -> DataFrame:
     """Counts, votes, posterior and verdict of each document."""
     seen = measured(docs.select(F.col("doc_id").cast("bigint"), "text")).select("doc_id", "_m")
     seen = stored(seen.select("doc_id", "_m", *votes(F.col("_m"))), "votes")
-    prior, accuracy = fit_votes(seen)
-    m, good = F.col("_m"), _posterior([F.col(name) for name in RULES], prior, accuracy)
+    prior, rates = fit_votes(seen)
+    m, good = F.col("_m"), _posterior([F.col(name) for name in RULES], prior, rates)
     return seen.select(
         "doc_id",
         m["n_words"].alias("n_words"),
@@ -208,10 +220,10 @@ def judge(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of good documents, with all their columns and nothing else. Reads the documents twice, moves none."""
-    prior, accuracy = fit_votes(measured(docs.select("text")).select(*votes(F.col("_m"))))
+    prior, rates = fit_votes(measured(docs.select("text")).select(*votes(F.col("_m"))))
     seen = measured(docs, "_verdict_of_rules")
     m = F.col("_verdict_of_rules")
-    good = ~_base_failed(m) & (_posterior(votes(m), prior, accuracy) >= KEEP)
+    good = ~_base_failed(m) & (_posterior(votes(m), prior, rates) >= KEEP)
     return seen.filter(good).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 

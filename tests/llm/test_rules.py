@@ -60,14 +60,17 @@ def test_keep_good_agrees_with_judge_and_passes_columns(spark):
 
 def test_em_finds_planted_accuracies():
     rng = random.Random(1)
-    planted = [0.95, 0.9, 0.85, 0.8, 0.75, 0.7, 0.9, 0.6]
+    planted = [(0.97, 0.8), (0.95, 0.7), (0.9, 0.6), (0.8, 0.9), (0.98, 0.75), (0.9, 0.7), (0.85, 0.85), (0.7, 0.6)]
     patterns = Counter()
     for _ in range(40_000):
-        y = 1 if rng.random() < 0.7 else -1
-        patterns[tuple(0 if rng.random() < 0.2 else y if rng.random() < a else -y for a in planted)] += 1
-    prior, accuracy = rules.fit(sorted(patterns.items()))
-    assert prior == pytest.approx(0.7, abs=0.02)
-    assert accuracy == pytest.approx(planted, abs=0.02)
+        good = rng.random() < 0.85
+        vote = lambda a: rng.random() < (a[0] if good else 1 - a[1])
+        patterns[tuple(0 if rng.random() < 0.2 else 1 if vote(a) else -1 for a in planted)] += 1
+    prior, rates = rules.fit(sorted(patterns.items()))
+    assert prior == pytest.approx(0.85, abs=0.02)
+    for (good, bad), (a, b) in zip(rates, planted):
+        assert good == pytest.approx([0.2, 0.8 * a, 0.8 * (1 - a)], abs=0.03)
+        assert bad == pytest.approx([0.2, 0.8 * (1 - b), 0.8 * b], abs=0.03)
 
 
 def test_verdicts_follow_the_labels(spark):
