@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import chat, pieces, rules
+from shelfline.llm import chat, packing, pieces, rules
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": chat.query,
+    "op3_packing": packing.query,
     "op5_quality_rules": rules.query,
     "op8_sentencepiece": pieces.query,
 }
