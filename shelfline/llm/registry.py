@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import chat, packing, pieces, rules
+from shelfline.llm import chat, packing, pieces, rules, simhash
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": chat.query,
     "op3_packing": packing.query,
     "op5_quality_rules": rules.query,
     "op8_sentencepiece": pieces.query,
+    "op9_simhash": simhash.query,
 }
 
 LLM_ORACLES: dict[str, str] = {"op1_chat_format": chat.ORACLE}
