@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import chat, packing, pieces, rules, simhash
+from shelfline.llm import chat, chunks, packing, pieces, rules, simhash
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": chat.query,
@@ -14,6 +14,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": rules.query,
     "op8_sentencepiece": pieces.query,
     "op9_simhash": simhash.query,
+    "op10_substring_dedup": chunks.query,
 }
 
 LLM_ORACLES: dict[str, str] = {"op1_chat_format": chat.ORACLE}
