@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import chat, chunks, packing, pieces, rules, separators, simhash
+from shelfline.llm import chat, chunks, kneser_ney, packing, pieces, rules, separators, simhash
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": chat.query,
+    "op2_quality_classifier": kneser_ney.query,
     "op3_packing": packing.query,
     "op4_token_counts": separators.query,
     "op5_quality_rules": rules.query,
