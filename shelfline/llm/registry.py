@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from shelfline.llm import chat, chunks, kneser_ney, packing, permutations, pieces, rules, separators, simhash
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -18,6 +19,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": pieces.query,
     "op9_simhash": simhash.query,
     "op10_substring_dedup": chunks.query,
+    "pipeline": corpus_pipeline.run,
 }
 
 LLM_ORACLES: dict[str, str] = {"op1_chat_format": chat.ORACLE}
