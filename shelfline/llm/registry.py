@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from shelfline.llm import chat, chunks, kneser_ney, packing, permutations, pieces, rules, separators, simhash
+from shelfline.llm import brown, chat, chunks, kneser_ney, packing, permutations, pieces, rules, separators, simhash
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": chat.query,
@@ -16,6 +16,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": separators.query,
     "op5_quality_rules": rules.query,
     "op6_nearest_neighbours": permutations.query,
+    "op7_class_lm": brown.query,
     "op8_sentencepiece": pieces.query,
     "op9_simhash": simhash.query,
     "op10_substring_dedup": chunks.query,
