@@ -40,16 +40,20 @@ def _chain(feed: str, tag: str = "", since: str | None = None, lead: int = 5, sa
 feed{tag} AS (SELECT * FROM ({feed}) AS f{clip}),
 totals{tag} AS (
   SELECT kind, day, product_id, CAST(sum(units) AS BIGINT) AS units FROM feed{tag} GROUP BY kind, day, product_id),
+logged{tag} AS MATERIALIZED (SELECT day, product_id, units FROM totals{tag} WHERE kind = 'log'),
+prior{tag} AS MATERIALIZED (SELECT CAST(day + 1 AS DATE) AS day, product_id, units FROM totals{tag} WHERE kind = 'log'),
+got{tag} AS MATERIALIZED (SELECT day, product_id, units FROM totals{tag} WHERE kind = 'in'),
+sold{tag} AS MATERIALIZED (SELECT day, product_id, units FROM totals{tag} WHERE kind = 'out'),
+fixed{tag} AS MATERIALIZED (SELECT day, product_id, units FROM totals{tag} WHERE kind = 'adj'),
 figures{tag} AS (
   SELECT log.day AS inventory_date, log.product_id, coalesce(prior.units, 0) AS stock_awal,
          coalesce(got.units, 0) AS quantity_received, coalesce(sold.units, 0) AS quantity_sold,
          coalesce(fix.units, 0) AS quantity_adjusted, log.units AS stock_aktual_system
-  FROM totals{tag} AS log
-  LEFT JOIN totals{tag} AS prior ON prior.kind = 'log' AND prior.product_id = log.product_id AND prior.day + 1 = log.day
-  LEFT JOIN totals{tag} AS got ON got.kind = 'in' AND got.product_id = log.product_id AND got.day = log.day
-  LEFT JOIN totals{tag} AS sold ON sold.kind = 'out' AND sold.product_id = log.product_id AND sold.day = log.day
-  LEFT JOIN totals{tag} AS fix ON fix.kind = 'adj' AND fix.product_id = log.product_id AND fix.day = log.day
-  WHERE log.kind = 'log'),
+  FROM logged{tag} AS log
+  LEFT JOIN prior{tag} AS prior ON prior.product_id = log.product_id AND prior.day = log.day
+  LEFT JOIN got{tag} AS got ON got.product_id = log.product_id AND got.day = log.day
+  LEFT JOIN sold{tag} AS sold ON sold.product_id = log.product_id AND sold.day = log.day
+  LEFT JOIN fixed{tag} AS fix ON fix.product_id = log.product_id AND fix.day = log.day),
 ledger{tag} AS (
   SELECT inventory_date, product_id, stock_awal, quantity_received, quantity_sold, quantity_adjusted,
          stock_awal + quantity_received - quantity_sold + quantity_adjusted AS stock_akhir, stock_aktual_system,
@@ -282,10 +286,11 @@ ORACLES: dict[str, str] = {
     "supplier_upsert": f"""
         WITH {_SUPPLIERS}
         SELECT supplier_id, code AS supplier_code,
-               CASE WHEN supplier_id % 4 <> 0 THEN name || ' Ltd' ELSE name END AS supplier_name, email, country,
+               CASE WHEN supplier_id % 4 <> 0 OR supplier_id % 3 = 0 THEN name || ' Ltd' ELSE name END AS supplier_name,
+               email, country,
                CASE WHEN supplier_id % 3 <> 0 THEN TIMESTAMP '2023-01-01 00:00:00' ELSE created_at END AS created_at,
-               CASE WHEN supplier_id % 4 <> 0 THEN {_TY} ELSE {_TX} END AS ingestion_date
-        FROM suppliers WHERE supplier_id % 3 <> 0 OR supplier_id % 4 <> 0""",
+               CASE WHEN supplier_id % 4 <> 0 OR supplier_id % 3 = 0 THEN {_TY} ELSE {_TX} END AS ingestion_date
+        FROM suppliers""",
     "product_scd2": f"""
         WITH {_CHANGED}
         SELECT f.product_sk, f.product_id, f.code AS product_code, f.name AS product_name, f.category, f.barcode, f.weight,
@@ -318,10 +323,10 @@ ORACLES: dict[str, str] = {
         FROM state WHERE pipeline_name = 'user-7'""",
     "watermark_upsert": f"""
         WITH {_STATE}
-        SELECT pipeline_name, CASE WHEN user_id % 2 = 0 THEN last_success_date + 1 ELSE last_success_date END
-                 AS last_success_date,
-               CASE WHEN user_id % 2 = 0 THEN {_TY} ELSE updated_at END AS updated_at
-        FROM state WHERE user_id % 2 = 0 OR user_id % 3 <> 0""",
+        SELECT pipeline_name, CASE WHEN user_id % 2 = 0 OR user_id % 3 = 0 THEN last_success_date + 1
+                                   ELSE last_success_date END AS last_success_date,
+               CASE WHEN user_id % 2 = 0 OR user_id % 3 = 0 THEN {_TY} ELSE updated_at END AS updated_at
+        FROM state""",
     "audit_log": f"WITH {_RUNS} SELECT * FROM runs",
     "latest_running_run": f"""
         WITH {_RUNS} SELECT run_id, pipeline_name, start_time FROM runs WHERE run_status = 'RUNNING'
@@ -330,6 +335,33 @@ ORACLES: dict[str, str] = {
         WITH {_DENSE}, {_chain(_DENSE_FEED, tag="_new", since="2024-01-20")}
         {_daily_rows("(SELECT * FROM advised WHERE inventory_date < DATE '2024-01-20')", _TX)}
         UNION ALL {_daily_rows("advised_new", _TY)}""",
+    "pipeline_end_to_end_movements": f"""
+        WITH {_MOVED}
+        SELECT source_reference_id * 4 + CASE movement_type WHEN 'INBOUND' THEN 0 WHEN 'OUTBOUND' THEN 1 ELSE 2 END
+                 AS movement_id,
+               movement_date, product_id, supplier_id, movement_type, quantity, unit_price, total_amount,
+               source_reference_id,
+               CASE WHEN movement_date >= DATE '2024-01-20' THEN {_TY} ELSE {_TX} END AS ingestion_date,
+               source_reference_id // 16777216 AS ref_bucket
+        FROM moved""",
+    "pipeline_end_to_end_state": f"""
+        SELECT 'retail_inventory_pipeline' AS pipeline_name, DATE '2024-01-20' AS last_success_date, {_TX} AS updated_at""",
+    "pipeline_end_to_end_audit": f"""
+        WITH {_DENSE},
+        sizes AS (SELECT (SELECT count(*) FROM part) AS products, (SELECT count(*) FROM supplier) AS suppliers,
+                         (SELECT count(*) FROM feed) AS events, (SELECT count(*) FROM ledger) AS days,
+                         (SELECT count(*) FROM feed WHERE kind <> 'log') AS movements)
+        SELECT 'retail_inventory_pipeline' AS pipeline_name, 'SUCCESS' AS run_status,
+               products + suppliers + events AS records_extracted, products + suppliers + movements + days AS records_loaded,
+               3 AS dq_checks_passed, 0 AS dq_checks_failed, CAST(NULL AS VARCHAR) AS error_message
+        FROM sizes""",
+    "pipeline_end_to_end_reorder_mart": f"WITH {_DENSE} SELECT * FROM advised WHERE reorder_alert",
+    "pipeline_end_to_end_gated": f"""
+        WITH {_DENSE}
+        SELECT 'FAILED' AS run_status, 2 AS dq_checks_passed, 1 AS dq_checks_failed,
+               (SELECT count(*) FROM part) + (SELECT count(*) FROM supplier) + (SELECT count(*) FROM feed)
+                 + (SELECT count(*) FROM feed WHERE kind = 'out') AS records_extracted,
+               CAST(0 AS BIGINT) AS records_loaded, CAST(0 AS BIGINT) AS daily_rows, CAST(0 AS BIGINT) AS movement_rows""",
 }
 
 # Money and rates are compared as doubles, as the registered queries show them.
@@ -337,7 +369,7 @@ _DECIMALS = {
     ("scan_products", "product_scd2"): ["weight"],
     ("incremental_sales",): ["unit_price", "discount", "total_amount"],
     ("incremental_purchases",): ["unit_price"],
-    ("movement_fact", "movement_with_missing_feed", "movement_upsert"): ["unit_price", "total_amount"],
+    ("movement_fact", "movement_with_missing_feed", "movement_upsert", "pipeline_end_to_end_movements"): ["unit_price", "total_amount"],
     ("daily_inventory_fact", "daily_fact_upsert", "two_daily_runs"): [
         "daily_sales_velocity",
         "days_of_inventory",

@@ -15,7 +15,7 @@ from shelfline.operators import control, ledger, merge, metrics, movements, qual
 from shelfline.plans import pipeline, warehouse
 from shelfline.sinks.tables import shared_folder, write_set
 from shelfline.sources import feeds, sample
-from shelfline.sources.files import conform, scan_or_empty
+from shelfline.sources.files import conform, scan_or_empty, scan_set
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,7 @@ WIDE_WATERMARK = date(1998, 6, 1)
 FIRST_RUN = datetime(2024, 1, 21, 6, 0)
 SECOND_RUN = datetime(2024, 2, 1, 6, 0)
 BUCKET_SPAN = 4096
+_COUNTERS = ("records_extracted", "records_loaded", "dq_checks_passed", "dq_checks_failed")
 
 
 def _ledger(tables: dict[str, DataFrame]) -> DataFrame:
@@ -203,7 +204,7 @@ def dq_gate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def supplier_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = sample.supplier(spark, sf_dir)
     known = suppliers.filter("supplier_id % 3 <> 0").withColumn("created_at", wall_clock(datetime(2023, 1, 1)))
-    feed = suppliers.filter("supplier_id % 4 <> 0").withColumn("name", F.concat("name", F.lit(" Ltd")))
+    feed = suppliers.filter("supplier_id % 4 <> 0 OR supplier_id % 3 = 0").withColumn("name", F.concat("name", F.lit(" Ltd")))
     return merge.supplier_upsert(merge.supplier_rows(known, wall_clock(FIRST_RUN)), feed, wall_clock(SECOND_RUN))
 
 
@@ -223,7 +224,10 @@ def product_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def product_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the changed product feed does, per action."""
     nothing = spark.createDataFrame([], schemas.WAREHOUSE["dim_product"])
-    first = scd2.product_scd2(nothing, sample.product(spark, sf_dir), wall_clock(FIRST_RUN))
+    loaded = scd2.product_scd2(nothing, sample.product(spark, sf_dir), wall_clock(FIRST_RUN))
+    path = f"{shared_folder(spark)}/dim_product"
+    write_set(loaded, path)
+    first = scan_set(spark, path, schemas.WAREHOUSE["dim_product"])
     actions = scd2.product_actions(first, sample.changed_product(spark, sf_dir))
     return actions.groupBy("action").agg(F.count(F.lit(1)).alias("products"))
 
@@ -299,7 +303,7 @@ def watermark_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = _user_state(spark, sf_dir)
     key = F.substring("pipeline_name", 6, 20).cast("int")
     known = state.filter(key % 3 != 0)
-    feed = state.filter(key % 2 == 0).withColumns(
+    feed = state.filter((key % 2 == 0) | (key % 3 == 0)).withColumns(
         {"last_success_date": F.date_add("last_success_date", 1), "updated_at": wall_clock(SECOND_RUN)}
     )
     return merge.watermark_upsert(known, feed)
@@ -319,11 +323,51 @@ def latest_running_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def two_daily_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs of all stages into an empty warehouse; the daily fact they leave behind."""
+    return warehouse.read_table(spark, _stored_runs(spark, sf_dir, FIRST_RUN, SECOND_RUN), "fact_daily_inventory")
+
+
+def _stored_runs(spark: SparkSession, sf_dir: str, *moments: datetime) -> EngineConfig:
+    """A run of all stages at each moment, into an empty warehouse; the settings of the last."""
     folder = shared_folder(spark)
     tables = sample.with_dimensions(spark, sf_dir, sample.dense(spark, sf_dir))
-    for moment in (FIRST_RUN, SECOND_RUN):
+    for moment in moments:
         pipeline.run_pipeline(spark, tables, EngineConfig.under(folder, moment))
-    return warehouse.read_table(spark, EngineConfig.under(folder, SECOND_RUN), "fact_daily_inventory")
+    return EngineConfig.under(folder, moments[-1])
+
+
+def pipeline_end_to_end_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warehouse.read_table(spark, _stored_runs(spark, sf_dir, FIRST_RUN, SECOND_RUN), "fact_inventory_movement")
+
+
+def pipeline_end_to_end_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warehouse.read_table(spark, _stored_runs(spark, sf_dir, FIRST_RUN), "etl_state")
+
+
+def pipeline_end_to_end_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit row of a run, apart from its id and times."""
+    runs = warehouse.read_audit(spark, _stored_runs(spark, sf_dir, FIRST_RUN))
+    return runs.select("pipeline_name", "run_status", *_COUNTERS, "error_message")
+
+
+def pipeline_end_to_end_reorder_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    config = _stored_runs(spark, sf_dir, FIRST_RUN)
+    return scan_set(spark, f"{config.mart_dir}/reorder_recommendations", schemas.MART["reorder_recommendations"])
+
+
+def pipeline_end_to_end_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run leaves behind that its gate stopped: every sale occurs twice."""
+    tables = sample.with_dimensions(spark, sf_dir, sample.dense(spark, sf_dir))
+    sales = tables["sales_transaction"]
+    config = EngineConfig.under(shared_folder(spark), FIRST_RUN)
+    try:
+        pipeline.run_pipeline(spark, {**tables, "sales_transaction": sales.unionAll(sales)}, config)
+    except quality.DataQualityError:
+        pass
+    run = warehouse.read_audit(spark, config).select("run_status", *_COUNTERS)
+    facts = {"daily_rows": "fact_daily_inventory", "movement_rows": "fact_inventory_movement"}
+    for column, name in facts.items():
+        run = run.crossJoin(warehouse.read_table(spark, config, name).agg(F.count(F.lit(1)).alias(column)))
+    return run
 
 
 def _shown(query: Query) -> Query:
@@ -381,5 +425,10 @@ QUERIES: dict[str, Query] = {
         audit_log,
         latest_running_run,
         two_daily_runs,
+        pipeline_end_to_end_movements,
+        pipeline_end_to_end_state,
+        pipeline_end_to_end_audit,
+        pipeline_end_to_end_reorder_mart,
+        pipeline_end_to_end_gated,
     )
 }

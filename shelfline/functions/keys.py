@@ -25,7 +25,7 @@ def daily_key(day: Column, product_id: Column) -> Column:
 
 
 def with_sequence(df: DataFrame, id_column: str, key_column: str, start: Column) -> DataFrame:
-    """Add keys start+1, start+2, ... in the order of a unique INT column.
+    """Add keys start+1, start+2, ... in the order of a unique INT column; a NULL id gets one as well.
 
     Each id range is numbered on its own and shifted by the row counts of the ranges before it. A range
     holds at most 2^16 distinct ids and there are at most 2^16 ranges, which bounds both windows and makes
@@ -40,8 +40,9 @@ def with_sequence(df: DataFrame, id_column: str, key_column: str, start: Column)
         .select("_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
     )
     inside = F.row_number().over(Window.partitionBy("_range").orderBy(id_column))
+    shifts = F.broadcast(offsets.withColumnRenamed("_range", "_of"))
     return (
-        ranged.join(F.broadcast(offsets), "_range")
+        ranged.join(shifts, F.col("_range").eqNullSafe(F.col("_of")))
         .withColumn(key_column, start + F.col("_offset") + inside)
-        .drop("_range", "_offset")
+        .drop("_range", "_of", "_offset")
     )

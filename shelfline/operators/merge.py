@@ -19,22 +19,23 @@ STATE_KEY = ("pipeline_name",)
 def merge_upsert(
     target: DataFrame, feed: DataFrame, keys: Sequence[str], keep_on_conflict: Sequence[str] = ()
 ) -> DataFrame:
-    """Target rows without a feed row, plus all feed rows.
+    """Target rows without a feed row, plus all feed rows: one full outer join, so each side is evaluated once.
 
-    Keys are unique on both sides (`quality.require_unique` for the feed). Only the keys of the feed take
-    part in the anti join: where they measure below Spark's broadcast threshold the target is streamed
-    through without a shuffle, otherwise both sides are hashed on unique, hence even, keys. Columns in
+    Keys are unique on both sides and not NULL (`quality.require_unique` for the feed), so the hashed rows are even. Columns in
     `keep_on_conflict` hold on to the target's value where the key exists already.
     """
-    untouched = target.join(feed.select(*keys), list(keys), "left_anti")
-    if keep_on_conflict:
-        known = target.select(
-            *keys, F.lit(True).alias("_known"), *[F.col(c).alias(f"_kept_{c}") for c in keep_on_conflict]
-        )
-        feed = feed.join(known, list(keys), "left").withColumns(
-            {c: F.when(F.col("_known"), F.col(f"_kept_{c}")).otherwise(F.col(c)) for c in keep_on_conflict}
-        )
-    return untouched.select(*target.columns).unionByName(feed.select(*target.columns))
+    old = target.select(F.lit(True).alias("_known"), *[F.col(c).alias(f"_old_{c}") for c in target.columns])
+    new = feed.select(F.lit(True).alias("_fed"), *target.columns)
+    match = [F.col(f"_old_{k}") == F.col(k) for k in keys]
+    merged = old.join(new, match, "full_outer")
+    return merged.select(
+        *[
+            F.when(F.col("_fed") & F.col("_known"), F.col(f"_old_{c}")).when(F.col("_fed"), F.col(c)).otherwise(F.col(f"_old_{c}")).alias(c)
+            if c in keep_on_conflict
+            else F.when(F.col("_fed"), F.col(c)).otherwise(F.col(f"_old_{c}")).alias(c)
+            for c in target.columns
+        ]
+    )
 
 
 def supplier_rows(suppliers: DataFrame, as_of: Column) -> DataFrame:

@@ -129,10 +129,15 @@ def check_mart(df: DataFrame, rules: MartRules) -> tuple[bool, dict[str, int]]:
 
 
 def require_unique(df: DataFrame, key_columns: Sequence[str]) -> DataFrame:
-    """The set itself, once no key occurs twice: one merge cannot touch a row twice."""
-    passed, duplicates = run_duplicate_check(df, key_columns)
-    if not passed:
-        raise DataQualityError(f"{duplicates} rows share a key {tuple(key_columns)}")
+    """The set itself, once every row has a key and no key occurs twice: a merge would lose or multiply such rows."""
+    keys = tuple(key_columns)
+    if set(keys) - set(df.columns):
+        raise DataQualityError(f"key columns {sorted(set(keys) - set(df.columns))} are absent")
+    found = rule_report(df, MartRules(not_null=keys, key=keys)).first()
+    if found["nulls"]:
+        raise DataQualityError(f"{found['nulls']} nulls in key {keys}")
+    if found["duplicates"]:
+        raise DataQualityError(f"{found['duplicates']} rows share a key {keys}")
     return df
 
 

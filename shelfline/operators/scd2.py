@@ -101,7 +101,7 @@ def apply_changes(dimension: DataFrame, changes: DataFrame, as_of: Column) -> Da
 
 
 def product_scd2(dimension: DataFrame, products: DataFrame, as_of: Column) -> DataFrame:
-    """The dimension after a product feed, as one plan."""
+    """The dimension after a product feed, as one plan that evaluates the feed three times: for tests and small sets."""
     return apply_changes(dimension, product_changes(dimension, products), as_of)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from datetime import date
 from functools import partial
 
@@ -17,9 +18,9 @@ from shelfline.operators.quality import DataQualityError
 from shelfline.operators.reorder import reorder_analysis
 from shelfline.plans import warehouse
 from shelfline.plans.concurrent import run_together
-from shelfline.sinks.tables import write_set
+from shelfline.sinks.tables import create_marker, remove_folder, write_set
 from shelfline.sources import feeds
-from shelfline.sources.files import conform, scan_or_empty, scan_set
+from shelfline.sources.files import conform, scan_complete
 
 logger = logging.getLogger(__name__)
 
@@ -47,22 +48,38 @@ def extract_feeds(tables: dict[str, DataFrame], since: date) -> dict[str, DataFr
     }
 
 
-def run_extract(spark: SparkSession, tables: dict[str, DataFrame], config: EngineConfig) -> dict[str, int]:
-    """Open an audit run, read the watermark and store the raw sets. Returns rows per set."""
+def run_extract(
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    config: EngineConfig,
+    names: Sequence[str] | None = None,
+    run_id: int | None = None,
+) -> dict[str, int]:
+    """Read the watermark and store the raw sets, all or those named. Returns rows per set.
+
+    A set is marked while it is extracted, so that one that broke off is never read. Without the id of a run that is
+    open already, a run is opened in the audit.
+    """
     warehouse.recover(spark, config)
-    run_id = warehouse.log_audit_start(spark, config)
+    if run_id is None:
+        run_id = warehouse.log_audit_start(spark, config)
     since = config.read_since(warehouse.get_last_success_date(spark, config))
-    counts = run_together(
-        spark,
-        {
-            name: partial(write_set, conform(feed, schemas.RAW[name]), f"{config.raw_dir}/{name}")
-            for name, feed in extract_feeds(tables, since).items()
-        },
-    )
+    wanted = {n: f for n, f in extract_feeds(tables, since).items() if names is None or n in names}
+    if names is not None and set(names) - set(wanted):
+        raise ValueError(f"no such feeds: {sorted(set(names) - set(wanted))}")
+    for name in wanted:
+        create_marker(spark, warehouse.extracting(config, name))
+    counts = run_together(spark, {name: partial(_extract, spark, config, name, feed) for name, feed in wanted.items()})
     warehouse.log_audit_progress(spark, config, run_id, records_extracted=sum(counts.values()))
     return counts
 
 
+def _extract(spark: SparkSession, config: EngineConfig, name: str, feed: DataFrame) -> int:
+    count = write_set(conform(feed, schemas.RAW[name]), f"{config.raw_dir}/{name}")
+    remove_folder(spark, warehouse.extracting(config, name))
+    return count
+
+
 # Transform ----------------------------------------------------------------------------------------------
 
 
@@ -79,10 +96,7 @@ def reorder_chain(
 
 def run_transform(spark: SparkSession, config: EngineConfig) -> int:
     """Store the reorder advice of all raw days; days read only as lookback are left out."""
-    raw = {
-        name: scan_set(spark, f"{config.raw_dir}/{name}", schemas.RAW[name])
-        for name in ("stock_daily", "purchases", "sales", "adjustments")
-    }
+    raw = {n: warehouse.raw_set(spark, config, n) for n in ("stock_daily", "purchases", "sales", "adjustments")}
     advice = reorder_chain(**raw, config=config)
     if config.lookback_days:
         advice = advice.filter(F.col("inventory_date") >= F.lit(warehouse.get_last_success_date(spark, config)))
@@ -103,7 +117,7 @@ def generate_daily_inventory_fact(spark: SparkSession, config: EngineConfig) ->
 
 def generate_inventory_movement_fact(spark: SparkSession, config: EngineConfig) -> MartResult:
     """(rows, passed, counts). Absent feeds count as empty, and an empty mart is written as such."""
-    raw = {n: scan_or_empty(spark, f"{config.raw_dir}/{n}", schemas.RAW[n]) for n in ("purchases", "sales", "adjustments")}
+    raw = {n: warehouse.raw_set(spark, config, n, may_be_absent=True) for n in ("purchases", "sales", "adjustments")}
     rows = movements.inventory_movements(**raw)
     if config.lookback_days:
         rows = rows.filter(F.col("movement_date") >= F.lit(warehouse.get_last_success_date(spark, config)))
@@ -125,7 +139,7 @@ def reorder_mart(advice: DataFrame) -> DataFrame:
     return advice.filter("reorder_alert")
 
 
-def run_quality_check(spark: SparkSession, config: EngineConfig) -> dict[str, dict[str, int]]:
+def run_quality_check(spark: SparkSession, config: EngineConfig, run_id: int | None = None) -> dict[str, dict[str, int]]:
     """Build the three marts; raises if a critical check failed, so that nothing is loaded."""
     results = run_together(
         spark,
@@ -137,7 +151,7 @@ def run_quality_check(spark: SparkSession, config: EngineConfig) -> dict[str, di
     )
     failed = [name for name, (_, passed, _) in results.items() if not passed]
     reports = {name: counts for name, (_, _, counts) in results.items()}
-    run = warehouse.find_running_run(spark, config)
+    run = warehouse.find_running_run(spark, config, run_id)
     if run is not None:
         extracted, passed = run["records_extracted"], len(results) - len(failed)
         warehouse.log_audit_progress(spark, config, run["run_id"], extracted, passed, len(failed))
@@ -148,15 +162,15 @@ def run_quality_check(spark: SparkSession, config: EngineConfig) -> dict[str, di
 
 def _advice(spark: SparkSession, config: EngineConfig) -> DataFrame:
     path = f"{config.staging_dir}/reorder_recommendation"
-    return scan_set(spark, path, schemas.STAGING["reorder_recommendation"])
+    return scan_complete(spark, path, schemas.STAGING["reorder_recommendation"])
 
 
 # Load ---------------------------------------------------------------------------------------------------
 
 
-def run_load(spark: SparkSession, config: EngineConfig) -> int:
+def run_load(spark: SparkSession, config: EngineConfig, run_id: int | None = None) -> int:
     """Merge dimensions and facts, advance the watermark and close the run. Returns the rows loaded."""
-    run = warehouse.find_running_run(spark, config)
+    run = warehouse.find_running_run(spark, config, run_id)
     try:
         warehouse.recover(spark, config)
         counts = run_together(
@@ -204,12 +218,14 @@ def _close_run(
 
 
 def run_pipeline(spark: SparkSession, tables: dict[str, DataFrame], config: EngineConfig) -> int:
-    """Extract, transform, check and load; the first failure stops the run and closes its audit row."""
+    """Extract, transform, check and load; the first failure stops the run and closes its own audit row."""
+    warehouse.recover(spark, config)
+    run_id = warehouse.log_audit_start(spark, config)
     try:
-        run_extract(spark, tables, config)
+        run_extract(spark, tables, config, run_id=run_id)
         run_transform(spark, config)
-        run_quality_check(spark, config)
+        run_quality_check(spark, config, run_id)
     except Exception as error:
-        _close_run(spark, config, warehouse.find_running_run(spark, config), "FAILED", error=error)
+        _close_run(spark, config, warehouse.find_running_run(spark, config, run_id), "FAILED", error=error)
         raise
-    return run_load(spark, config)
+    return run_load(spark, config, run_id)

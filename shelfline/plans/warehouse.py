@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+import time
+import uuid
 from dataclasses import dataclass
 from datetime import date
 
@@ -13,7 +15,7 @@ from shelfline.config import EngineConfig
 from shelfline.functions.times import wall_clock
 from shelfline.operators import control, merge, quality, scd2
 from shelfline.sinks.tables import finish_pending, replace_partitions, touched_partitions, write_set
-from shelfline.sources.files import path_exists, scan_or_empty, scan_set
+from shelfline.sources.files import path_exists, scan_complete, scan_or_empty, scan_set
 
 logger = logging.getLogger(__name__)
 
@@ -82,9 +84,8 @@ def read_audit(spark: SparkSession, config: EngineConfig) -> DataFrame:
 
 
 def log_audit_start(spark: SparkSession, config: EngineConfig) -> int:
-    """Open a run; returns its id, one above the highest so far."""
-    events = read_table(spark, config, "etl_audit")
-    run_id = events.agg(F.coalesce(F.max("run_id"), F.lit(0))).first()[0] + 1
+    """Open a run; returns its id. Ids grow with time, and two runs that start together have different ones."""
+    run_id = (time.time_ns() // 1_000_000 << 20) | uuid.uuid4().int & (1 << 20) - 1
     _append_event(spark, config, control.audit_start(F.lit(run_id), F.lit(config.pipeline_name), _now()))
     return run_id
 
@@ -122,28 +123,61 @@ def log_audit_end(
     )
 
 
-def find_running_run(spark: SparkSession, config: EngineConfig) -> Row | None:
-    """Audit row of the latest running run; a log that cannot be read only costs the audit row."""
+def find_running_run(spark: SparkSession, config: EngineConfig, run_id: int | None = None) -> Row | None:
+    """Audit row of a run that is running: the one with this id, or the latest of this pipeline.
+
+    A log that cannot be read only costs the audit row.
+    """
     try:
-        return control.latest_running_run(read_audit(spark, config)).first()
+        runs = read_audit(spark, config).filter(F.col("pipeline_name") == config.pipeline_name)
+        if run_id is not None:
+            runs = runs.filter(F.col("run_id") == run_id)
+        return control.latest_running_run(runs).first()
     except Exception as error:  # noqa: BLE001
         logger.warning("no running run found: %s", error)
         return None
 
 
 def _append_event(spark: SparkSession, config: EngineConfig, columns: list[Column]) -> None:
-    write_set(spark.range(0, 1, 1, 1).select(*columns), table_path(config, "etl_audit"), mode="append")
+    """Events are folders of their own: writers of one folder at the same time would undo each other."""
+    path = f"{table_path(config, 'etl_audit')}/event={uuid.uuid4().hex}"
+    write_set(spark.range(0, 1, 1, 1).select(*columns), path)
 
 
 def _now() -> Column:
+    """The moment of an audit event: the one place where a run reads the clock."""
     return F.current_timestamp().cast("timestamp_ntz")
 
 
+# Raw sets -------------------------------------------------------------------------------------------------
+
+
+def extracting(config: EngineConfig, name: str) -> str:
+    """The marker that stands beside a raw set from the start of its extract until it is complete."""
+    return f"{config.raw_dir}/_EXTRACTING.{name}"
+
+
+def raw_feed(spark: SparkSession, config: EngineConfig, name: str) -> DataFrame | None:
+    """A raw set that was written to its end, or None if there is none; one whose extract broke off raises."""
+    if path_exists(spark, extracting(config, name)):
+        raise ValueError(f"the extract of {name} was interrupted: run it again")
+    return _feed(spark, f"{config.raw_dir}/{name}", schemas.RAW[name])
+
+
+def raw_set(spark: SparkSession, config: EngineConfig, name: str, may_be_absent: bool = False) -> DataFrame:
+    feed = raw_feed(spark, config, name)
+    if feed is not None:
+        return feed
+    if may_be_absent:
+        return spark.createDataFrame([], schemas.RAW[name])
+    return scan_set(spark, f"{config.raw_dir}/{name}", schemas.RAW[name])
+
+
 # Loads --------------------------------------------------------------------------------------------------
 
 
 def load_suppliers(spark: SparkSession, config: EngineConfig) -> int:
-    feed = _feed(spark, f"{config.raw_dir}/suppliers", schemas.RAW["suppliers"])
+    feed = raw_feed(spark, config, "suppliers")
     if feed is None:
         return 0
     quality.require_unique(feed, ["supplier_id"])
@@ -154,7 +188,7 @@ def load_suppliers(spark: SparkSession, config: EngineConfig) -> int:
 
 def load_products_scd2(spark: SparkSession, config: EngineConfig) -> int:
     """Returns the number of versions opened; without any, nothing is written."""
-    feed = _feed(spark, f"{config.raw_dir}/products", schemas.RAW["products"])
+    feed = raw_feed(spark, config, "products")
     if feed is None:
         return 0
     quality.require_unique(feed, ["product_id"])
@@ -201,6 +235,4 @@ def _feed(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     if not path_exists(spark, path):
         logger.warning("%s is absent, its load is skipped", path)
         return None
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        raise ValueError(f"{path} was not written to its end")
-    return scan_set(spark, path, schema)
+    return scan_complete(spark, path, schema)

@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from shelfline.sources.files import path_exists, scan_set
 
-# Partition values listed in a pruning predicate; beyond this a semi join selects the partitions.
-PRUNE_LIMIT = 10_000
+_DECIDED = "_DECIDED_ROWS="
 
 
 def write_set(
@@ -45,20 +44,18 @@ def write_set(
 
 
 def touched_partitions(table: DataFrame, rows: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """The rows of a table that lie in the partitions which `rows` falls into, pruned at the scan."""
-    values = rows.select(*partition_by).distinct()
-    found = values.limit(PRUNE_LIMIT + 1).collect()
-    if len(found) > PRUNE_LIMIT:
-        return table.join(values, list(partition_by), "left_semi")
+    """The rows of a table that lie in the partitions which `rows` falls into.
+
+    The scan is pruned to the range of the last partition column that `rows` spans under each value of the outer
+    ones, which are few by the layout (three movement types, or none). A semi join on the distinct values does the rest.
+    """
     *outer, last = partition_by
-    by_outer: dict[tuple, list] = {}
-    for row in found:
-        by_outer.setdefault(tuple(row[c] for c in outer), []).append(row[last])
-    matches = [
-        reduce(lambda a, b: a & b, [F.col(c) == v for c, v in zip(outer, head)], F.col(last).isin(tail))
-        for head, tail in by_outer.items()
-    ]
-    return table.filter(reduce(lambda a, b: a | b, matches, F.lit(False)))
+    spans = rows.groupBy(*outer).agg(F.min(last).alias("_low"), F.max(last).alias("_high")).collect()
+    wanted = F.lit(False)
+    for span in spans:
+        inside = F.col(last).between(F.lit(span["_low"]), F.lit(span["_high"]))
+        wanted = wanted | reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(span[c])) for c in outer], inside)
+    return table.filter(wanted).join(rows.select(*partition_by).distinct(), list(partition_by), "left_semi")
 
 
 def replace_partitions(
@@ -67,27 +64,64 @@ def replace_partitions(
     """Replace the partitions that `rows` holds (or the whole table, if it has none), all or nothing.
 
     The plan of `rows` may read the table itself, so its result is first written beside it, flat and
-    without a shuffle. Only a complete copy carries a success marker; from then on the change is decided,
-    and `finish_pending` completes it even if the driver dies half-way through replacing.
+    without a shuffle. A marker that names its row count then decides the change, and `finish_pending` completes
+    it even if the driver dies half-way through replacing. Until it has, readers may see a half-replaced table.
     """
+    spark = rows.sparkSession
+    if _decided(spark, path):
+        raise RuntimeError(f"{path} has an unfinished replacement: finish_pending first")
     count = write_set(rows, _pending(path))
-    finish_pending(rows.sparkSession, path, schema, partition_by, cluster_by)
+    create_marker(spark, f"{_pending(path)}/{_DECIDED}{count}")
+    finish_pending(spark, path, schema, partition_by, cluster_by)
     return count
 
 
 def finish_pending(
     spark: SparkSession, path: str, schema: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()
 ) -> bool:
-    """Roll forward a replacement that was fully written but not fully put in place. Safe to repeat."""
-    pending = _pending(path)
-    if not path_exists(spark, f"{pending}/_SUCCESS"):
+    """Roll forward a replacement that was decided but not fully put in place. Safe to repeat.
+
+    The marker goes by itself before the copy does, so that a copy of which a part is gone never counts as decided.
+    """
+    marker = _decided(spark, path)
+    if marker is None:
         return False
-    write_set(scan_set(spark, pending, schema), path, partition_by, cluster_by, partition_overwrite="dynamic")
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(pending)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    pending = _pending(path)
+    rows, expected = scan_set(spark, pending, schema), int(marker.rpartition("=")[2])
+    if (found := rows.count()) != expected:
+        raise RuntimeError(f"{pending} holds {found} of {expected} rows: not rolled forward")
+    write_set(rows, path, partition_by, cluster_by, partition_overwrite="dynamic")
+    remove_folder(spark, marker)
+    remove_folder(spark, pending)
     return True
 
 
+def create_marker(spark: SparkSession, path: str) -> None:
+    """An empty file: one step on any file system."""
+    fs, hadoop_path = _hadoop(spark, path)
+    fs.create(hadoop_path, True).close()
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder or file, if it is there."""
+    fs, hadoop_path = _hadoop(spark, path)
+    fs.delete(hadoop_path, True)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def _decided(spark: SparkSession, path: str) -> str | None:
+    """The marker of a decided replacement."""
+    if not path_exists(spark, _pending(path)):
+        return None
+    fs, folder = _hadoop(spark, _pending(path))
+    names = [str(f.getPath().getName()) for f in fs.listStatus(folder)]
+    return next((f"{_pending(path)}/{n}" for n in names if n.startswith(_DECIDED)), None)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder name that every executor can reach: below spark.checkpoint.dir, or else below the warehouse."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")

@@ -23,6 +23,13 @@ def scan_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def scan_complete(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Scan of a set that must exist and have been written to its end."""
+    if path_exists(spark, path) and not path_exists(spark, f"{path}/_SUCCESS"):
+        raise ValueError(f"{path} was not written to its end")
+    return scan_set(spark, path, schema)
+
+
 def conform(df: DataFrame, schema: str) -> DataFrame:
     """The declared columns in their declared types; a value that does not fit raises."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(schema)])

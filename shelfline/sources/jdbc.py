@@ -17,9 +17,6 @@ _CONNECTIONS = {
 }
 FETCH_ROWS = "10000"
 
-# Scans of the stock log that one read may split into.
-MAX_LOG_SCANS = 512
-
 
 def mysql_options(env: Mapping[str, str] = os.environ) -> dict[str, str]:
     return _options("mysql", env)
@@ -65,16 +62,15 @@ def purchases_query(since: date) -> str:
     )
 
 
-def stock_predicates(since: date, until: date, product_splits: int, most: int = MAX_LOG_SCANS) -> list[str]:
+def stock_predicates(since: date, until: date, product_splits: int, days_per_scan: int = 1) -> list[str]:
     """One predicate per span of log days and product remainder; the last span is open-ended.
 
     The log has no row id to split on. Two splits keep a partition small when one product or one day holds
-    a large part of the log. The predicates are disjoint and cover every row from `since` on; a span grows
-    from one day to as many as keep the number of scans within `most`.
+    a large part of the log; rows of one product on one day are always one scan. The predicates are disjoint and cover
+    every row from `since` on.
     """
     days = max((until - since).days, 0) + 1
-    step = -(-days // max(most // product_splits, 1))
-    starts = [since + timedelta(days=offset) for offset in range(0, days, step)]
+    starts = [since + timedelta(days=offset) for offset in range(0, days, days_per_scan)]
     predicates = []
     for start, end in zip(starts, [*starts[1:], None]):
         span = since_clause("created_date", start)
@@ -116,8 +112,12 @@ def source_tables(
     postgres: Mapping[str, str] | None = None,
     partitions: int = 32,
     product_splits: int = 8,
+    days_per_scan: int = 1,
 ) -> dict[str, DataFrame]:
-    """The source tables of the extract stage, read from MySQL (trade) and PostgreSQL (stock log)."""
+    """The source tables of the extract stage, read from MySQL (trade) and PostgreSQL (stock log).
+
+    The stock log is read in `product_splits` scans for every `days_per_scan` days of the window.
+    """
     trade = mysql_options() if mysql is None else mysql
     log = postgres_options() if postgres is None else postgres
 
@@ -137,7 +137,7 @@ def source_tables(
         "stock_daily": spark.read.jdbc(
             log["url"],
             "source.stock_daily",
-            predicates=stock_predicates(since, until, product_splits),
+            predicates=stock_predicates(since, until, product_splits, days_per_scan),
             properties={k: v for k, v in log.items() if k != "url"},
         ).select(*feeds.STOCK_COLUMNS),
     }

@@ -8,9 +8,11 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from shelfline import schemas
 from shelfline.config import EngineConfig
 from shelfline.operators.quality import DataQualityError
 from shelfline.plans import pipeline, warehouse
+from shelfline.plans.concurrent import run_together
 from shelfline.sinks import tables as sink
 from shelfline.sources import sample
 
@@ -44,7 +46,7 @@ def test_counts_and_audit(spark, source, loaded):
     assert total == sum(sizes[n] for n in sizes if n != "etl_state")
     run = warehouse.read_audit(spark, config).collect()
     assert len(run) == 1
-    assert (run[0]["run_id"], run[0]["run_status"], run[0]["records_loaded"]) == (1, "SUCCESS", total)
+    assert run[0]["run_id"] > 0 and (run[0]["run_status"], run[0]["records_loaded"]) == ("SUCCESS", total)
     assert run[0]["records_extracted"] == sum(moved) + sizes["dim_product"] + sizes["dim_supplier"] + source["stock_daily"].count()
     assert (run[0]["dq_checks_passed"], run[0]["dq_checks_failed"], run[0]["error_message"]) == (3, 0, None)
     assert warehouse.get_last_success_date(spark, config) == date(2024, 1, 20)
@@ -160,17 +162,95 @@ def test_watermark_defaults_to_thirty_days_before_the_run(spark, tmp_path):
     assert warehouse.read_table(spark, config, "etl_state").count() == 1
 
 
-def test_a_complete_pending_write_is_rolled_forward(spark, tmp_path):
-    path, schema = str(tmp_path / "t"), "d DATE, k INT, v INT"
-    old = spark.createDataFrame([(date(2026, 1, 1), 1, 1), (date(2026, 1, 2), 2, 1)], schema)
-    new = spark.createDataFrame([(date(2026, 1, 2), 2, 2), (date(2026, 1, 3), 3, 2)], schema)
-    sink.replace_partitions(old, path, schema, ["d"], ["k"])
-    # The driver dies after the copy is complete, before it is in place.
+SCHEMA = "d DATE, k INT, v INT"
+
+
+@pytest.mark.parametrize("partition_by", [["d"], []])
+@pytest.mark.parametrize("dies", ["undecided", "decided", "publishing", "marker gone", "deleting"])
+def test_a_replacement_survives_a_crash_at_every_step(spark, tmp_path, partition_by, dies):
+    path = str(tmp_path / "t")
+    old = spark.createDataFrame([(date(2026, 1, 1), 1, 1), (date(2026, 1, 2), 2, 1)], SCHEMA)
+    new = spark.createDataFrame([(date(2026, 1, 2), k, 2) for k in range(100)], SCHEMA).repartition(4)
+    before = [(1, 1), (2, 1)]
+    after = ([(1, 1)] if partition_by else []) + [(k, 2) for k in range(100)]
+    sink.replace_partitions(old, path, SCHEMA, partition_by, ["k"])
     sink.write_set(new, f"{path}.pending")
-    assert sink.finish_pending(spark, path, schema, ["d"], ["k"])
-    assert not sink.finish_pending(spark, path, schema, ["d"], ["k"])
-    read = spark.read.schema(schema).parquet(path)
-    assert sorted((r["k"], r["v"]) for r in read.collect()) == [(1, 1), (2, 2), (3, 2)]
+    marker = tmp_path / "t.pending" / "_DECIDED_ROWS=100"
+    if dies in ("decided", "publishing"):
+        marker.touch()
+    if dies in ("publishing", "marker gone", "deleting"):
+        sink.write_set(spark.read.schema(SCHEMA).parquet(f"{path}.pending"), path, partition_by, ["k"], partition_overwrite="dynamic")
+    if dies == "deleting":
+        next((tmp_path / "t.pending").glob("*.parquet")).unlink()
+    assert sink.finish_pending(spark, path, SCHEMA, partition_by, ["k"]) == (dies in ("decided", "publishing"))
+    read = spark.read.schema(SCHEMA).parquet(path)
+    assert sorted((r["k"], r["v"]) for r in read.collect()) == sorted(before if dies == "undecided" else after)
+    # The next replacement goes through, whatever the last one left behind.
+    rows = 2 if dies == "undecided" else len(after)
+    assert sink.replace_partitions(read.withColumn("v", F.lit(7)), path, SCHEMA, partition_by, ["k"]) == rows
+    assert not (tmp_path / "t.pending").exists()
+
+
+def test_a_decided_copy_that_lacks_rows_is_not_rolled_forward(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(date(2026, 1, 2), k, 2) for k in range(100)], SCHEMA).repartition(4)
+    sink.replace_partitions(rows, path, SCHEMA)
+    sink.write_set(rows, f"{path}.pending")
+    (tmp_path / "t.pending" / "_DECIDED_ROWS=100").touch()
+    with pytest.raises(RuntimeError, match="unfinished"):
+        sink.replace_partitions(rows, path, SCHEMA)
+    next((tmp_path / "t.pending").glob("*.parquet")).unlink()
+    with pytest.raises(RuntimeError, match="of 100 rows"):
+        sink.finish_pending(spark, path, SCHEMA)
+    assert spark.read.schema(SCHEMA).parquet(path).count() == 100
+
+
+@pytest.mark.parametrize("name", ["suppliers", "products"])
+def test_a_null_key_stops_a_dimension_load(spark, source, tmp_path, name):
+    config = EngineConfig.under(str(tmp_path), FIRST)
+    pipeline.run_extract(spark, source, config)
+    path, key = f"{config.raw_dir}/{name}", f"{name[:-1]}_id"
+    rows = spark.read.schema(schemas.RAW[name]).parquet(path).collect()
+    nulled = spark.createDataFrame([{**r.asDict(), key: None} if i == 0 else r.asDict() for i, r in enumerate(rows)], schemas.RAW[name])
+    sink.write_set(nulled, path)
+    load = warehouse.load_suppliers if name == "suppliers" else warehouse.load_products_scd2
+    with pytest.raises(DataQualityError, match="nulls in key"):
+        load(spark, config)
+
+
+def test_a_broken_extract_is_never_read(spark, source, tmp_path):
+    config = EngineConfig.under(str(tmp_path), FIRST)
+    pipeline.run_extract(spark, source, config)
+    sink.create_marker(spark, warehouse.extracting(config, "sales"))
+    for stage in (pipeline.run_transform, pipeline.generate_inventory_movement_fact):
+        with pytest.raises(ValueError, match="extract of sales was interrupted"):
+            stage(spark, config)
+    assert list(pipeline.run_extract(spark, source, config, ["sales"])) == ["sales"]
+    (tmp_path / "raw" / "sales" / "_SUCCESS").unlink()
+    for stage in (pipeline.run_transform, pipeline.generate_inventory_movement_fact):
+        with pytest.raises(ValueError, match="not written to its end"):
+            stage(spark, config)
+    with pytest.raises(ValueError, match="no such feeds"):
+        pipeline.run_extract(spark, source, config, ["nothing"])
+
+
+def test_a_run_that_fails_early_closes_no_other_run(spark, source, tmp_path, monkeypatch):
+    config = EngineConfig.under(str(tmp_path), FIRST)
+    other = warehouse.log_audit_start(spark, config)
+
+    def broken(*_):
+        raise RuntimeError("no recovery")
+
+    monkeypatch.setattr(warehouse, "recover", broken)
+    with pytest.raises(RuntimeError):
+        pipeline.run_pipeline(spark, source, config)
+    assert [(r["run_id"], r["run_status"]) for r in warehouse.read_audit(spark, config).collect()] == [(other, "RUNNING")]
+
+
+def test_runs_that_start_together_have_ids_of_their_own(spark, tmp_path):
+    config = EngineConfig.under(str(tmp_path), FIRST)
+    ids = run_together(spark, {str(i): lambda: warehouse.log_audit_start(spark, config) for i in range(4)})
+    assert len(set(ids.values())) == 4 == warehouse.read_audit(spark, config).count()
 
 
 def test_an_incomplete_pending_write_is_ignored(spark, tmp_path):
@@ -187,9 +267,8 @@ def test_an_incomplete_pending_write_is_ignored(spark, tmp_path):
 
 
 def test_shared_folder_lies_below_the_cluster_setting(spark):
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     folder = sink.shared_folder(spark)
-    assert folder.startswith(configured if configured else "/tmp/shelfline-")
+    assert folder.startswith(spark.conf.get("spark.checkpoint.dir"))
     assert folder != sink.shared_folder(spark)
 
 

@@ -75,13 +75,24 @@ def test_an_upsert_reads_only_the_touched_partitions(spark, tmp_path):
     assert merged.filter("v = 2").count() == merged.count() == 50
 
 
-def test_many_touched_partitions_fall_back_to_a_semi_join(spark, monkeypatch):
-    monkeypatch.setattr(tables, "PRUNE_LIMIT", 3)
-    table = spark.range(100).select((F.col("id") % 10).alias("p"), F.col("id").alias("k"))
-    feed = table.filter("p < 5")
-    assert tables.touched_partitions(table, feed, ["p"]).count() == 50
-    assert tables.touched_partitions(table, feed.filter("p < 2"), ["p"]).count() == 20
-    assert tables.touched_partitions(table, feed.filter("p < 0"), ["p"]).count() == 0
+def test_pruning_has_one_form_at_every_size(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    rows = spark.range(6000).select(
+        F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("kind"), (F.col("id") % 300).alias("p"), F.col("id").alias("k")
+    )
+    write_set(rows, path, ["kind", "p"], ["k"])
+    table = spark.read.schema("kind STRING, p BIGINT, k BIGINT").parquet(path)
+    for wanted, count in (("p IN (4, 8)", 40), ("p < 200", 4000), ("p = 4 OR (kind = 'b' AND p > 280)", 220), ("p < 0", 0)):
+        touched = touched_partitions(table, rows.filter(wanted), ["kind", "p"])
+        assert touched.count() == count
+        assert "PartitionFilters: [false]" in plan(touched) or re.search(r"PartitionFilters: \[[^\]]*p#\d+", plan(touched)) or not count
+        assert "SemiJoin" in plan(touched) or "LeftSemi" in plan(touched) or not count
+
+
+def test_an_upsert_evaluates_each_side_once(spark, tmp_path):
+    feed, target = (spark.range(50).select("id", F.rand(s).alias("v")) for s in (1, 2))
+    text = plan(merge.merge_upsert(target, feed, ["id"]))
+    assert text.count("Range (") == 2 * text.count("== Physical Plan ==") or text.count("Range (") <= 4
 
 
 def test_a_large_partition_is_split_while_small_ones_are_merged(spark, tmp_path):

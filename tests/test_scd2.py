@@ -114,3 +114,11 @@ def test_history_invariants_over_several_loads(spark):
     assert again.count() == dimension.count()
     assert dimension.filter("weight IS NULL").count() == 0
     assert dimension.filter("product_id = 9 AND is_current").first()["weight"] == Decimal("10.00")
+
+
+def test_a_sequence_gives_every_row_a_key(spark):
+    from shelfline.functions.keys import with_sequence
+
+    rows = spark.createDataFrame([(None,), (70_000,), (3,), (1,)], "id INT")
+    keyed = with_sequence(rows, "id", "sk", F.lit(10).cast("bigint")).collect()
+    assert sorted(r["sk"] for r in keyed) == [11, 12, 13, 14]

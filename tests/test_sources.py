@@ -36,8 +36,8 @@ def test_stock_predicates_are_disjoint_and_complete():
     )
     assert predicates[-1] == "created_date >= '2026-06-03' AND MOD(ABS(product_id), 2) = 1"
     assert len(jdbc.stock_predicates(date(2026, 6, 5), date(2026, 6, 3), 2)) == 2
-    year = jdbc.stock_predicates(date(2025, 1, 1), date(2026, 1, 1), 4, most=100)
-    assert len(year) <= 100
+    year = jdbc.stock_predicates(date(2025, 1, 1), date(2026, 1, 1), 4, days_per_scan=15)
+    assert len(year) == 100
     spans = [p.split(" AND MOD")[0] for p in year[::4]]
     assert spans[0].startswith("created_date >= '2025-01-01'") and "<" not in spans[-1]
     assert all(a.split("'")[3] == b.split("'")[1] for a, b in zip(spans, spans[1:]))
