@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -50,12 +52,14 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
+    shared = tempfile.mkdtemp(prefix="shelfline-bench-")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("shelfline-bench")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", f"file://{shared}")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
         .getOrCreate()
     )
@@ -66,6 +70,7 @@ def main() -> None:
         seconds(spark, name, sf_dir)
         timings[name] = round(statistics.median(seconds(spark, name, sf_dir) for _ in range(runs)), 3)
     spark.stop()
+    shutil.rmtree(shared)
     scale = Path(sf_dir).name.removeprefix("sf")
     print(
         json.dumps(

@@ -3,6 +3,8 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from registered.oracles import ORACLES
+from registered.queries import QUERIES
 from tests.conftest import SF_DIR
 from tests.parity import differences, oracle_connection
 
@@ -15,12 +17,13 @@ def oracle():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= queries().items() and ORACLES.items() <= oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_parity(spark, oracle, name):
-    assert differences(queries()[name](spark, SF_DIR), oracle, oracle_sql()[name]) == []
+    assert differences(QUERIES[name](spark, SF_DIR), oracle, ORACLES[name]) == []
 
 
 def test_entry_has_rows(spark):
