@@ -111,7 +111,7 @@ def search(
     rows = vectors.groupBy(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard")).agg(
         F.collect_list(F.struct("vec_id", "v")).alias("vectors")
     )
-    asked = queries.groupBy(F.pmod(F.xxhash64(F.col("vec_id") + 1), F.lit(-(-count // QUERIES))).cast("int").alias("block"))
+    asked = queries.groupBy(F.pmod(F.xxhash64(F.col("vec_id") + 1), F.lit(-(-queries.count() // QUERIES) or 1)).alias("block"))
     blocks = asked.agg(F.collect_list(F.struct("vec_id", "v")).alias("queries"))
     blocks = blocks.select("queries", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
     met = stored(rows, "shards").join(blocks, "shard").select("shard", "vectors", "queries")
