@@ -11,7 +11,6 @@ from registered.queries import QUERIES
 from shelfline import schemas
 from shelfline.operators import merge
 from shelfline.operators.movements import outbound
-from shelfline.sinks import tables
 from shelfline.sinks.tables import touched_partitions, write_set
 from shelfline.sources.feeds import incremental_purchases
 from tests.conftest import SF_DIR
