@@ -13,6 +13,9 @@ see the pivots in nearly the same order.
 4.  The `CANDIDATES` share of a shard with the smallest footrule is ranked again by the exact inner product in double
     precision. The nearest of all shards are the answer.
 
+Equal vectors are indexed once, with the `most` + 1 smallest of their ids: no answer can hold a larger one. A shard's
+vectors that tie with the last candidate are candidates as well, so nothing depends on the order of rows.
+
 The query set goes against all shards in blocks of bounded size; a task holds one shard and one block. Every vector is
 indexed. A share of each shard, not a fixed number, is ranked again, so recall doesn't fall as the table grows.
 
@@ -49,6 +52,31 @@ def valid(vectors: DataFrame) -> DataFrame:
     return rows.filter(F.size("v") == sizes["n"]).groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
+def distinct(vectors: DataFrame, most: int) -> DataFrame:
+    """(v, ids): each vector once, with the `most` smallest of its ids in order.
+
+    A batch sends a vector once with so many ids at most, so a vector that a third of all rows share is no hot spot.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = batch.column(0).to_numpy()
+            data = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1) + 0.0  # no -0.0
+            _, first, of = np.unique(data.view(f"V{8 * data.shape[1]}").ravel(), return_index=True, return_inverse=True)
+            order = np.lexsort((ids, of))
+            starts = np.searchsorted(of[order], np.arange(len(first)))
+            kept = order[np.arange(len(ids)) - starts[of[order]] < most]
+            ends = np.r_[0, np.cumsum(np.bincount(of[kept]))].astype(np.int32)
+            one = pa.ListArray.from_arrays(np.arange(0, data.size + 1, data.shape[1], np.int32)[: len(first) + 1], data[first].ravel())
+            yield pa.RecordBatch.from_arrays([one, pa.ListArray.from_arrays(ends, ids[kept])], ["v", "ids"])
+
+    found = vectors.select("vec_id", "v").mapInArrow(run, "v array<double>, ids array<bigint>")
+    ids = F.slice(F.sort_array(F.flatten(F.collect_list("ids"))), 1, most)
+    return found.groupBy("v").agg(ids.alias("ids"))
+
+
 def norm2(v: Column) -> Column:
     return F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x)
 
@@ -99,17 +127,19 @@ def search(
     shard: int = SHARD,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the nearest vectors of each query (both inputs: vec_id, v)."""
-    count, longest = vectors.agg(F.count(F.lit(1)), F.max(norm2(F.col("v")))).first()
+    known = stored(distinct(vectors, most + 1), "distinct")
+    count, longest = known.agg(F.count(F.lit(1)), F.max(norm2(F.col("v")))).first()
     if not count:
         return vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    drawn = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).toPandas()
+    first = F.col("ids")[0]
+    drawn = known.orderBy(F.xxhash64(first), first).limit(pivots).toPandas()
     sight = lengthened(np.array(drawn["v"].tolist()), longest)
     sight /= np.sqrt((sight * sight).sum(axis=1))[:, None]
     prefix = min(prefix, len(sight))
 
     shards = -(-count // shard)
-    rows = vectors.groupBy(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard")).agg(
-        F.collect_list(F.struct("vec_id", "v")).alias("vectors")
+    rows = known.groupBy(F.pmod(F.xxhash64(first), F.lit(shards)).cast("int").alias("shard")).agg(
+        F.collect_list(F.struct("ids", "v")).alias("vectors")
     )
     asked = queries.groupBy(F.pmod(F.xxhash64(F.col("vec_id") + 1), F.lit(-(-queries.count() // QUERIES) or 1)).alias("block"))
     blocks = asked.agg(F.collect_list(F.struct("vec_id", "v")).alias("queries"))
@@ -117,25 +147,30 @@ def search(
     met = stored(rows, "shards").join(blocks, "shard").select("shard", "vectors", "queries")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, files, ids, data = None, None, None, None
+        known, files, ids, of, data = None, None, None, None, None
         for batch in batches:
             for i in range(batch.num_rows):
                 name = batch.column(0)[i].as_py()
                 if name != known:
-                    ids, data = _arrays(batch.column(1)[i].values)
+                    lists, data = _arrays(batch.column(1)[i].values, "ids")
+                    ids, of = lists.flatten().to_numpy(), np.r_[0, np.cumsum(lists.value_lengths().to_numpy())]
                     files = InvertedFiles(orders(lengthened(data, longest), sight, prefix), len(sight))
                     known = name
-                query_ids, wanted = _arrays(batch.column(2)[i].values)
+                asking, wanted = _arrays(batch.column(2)[i].values, "vec_id")
                 seen = orders(np.column_stack([wanted, np.zeros(len(wanted))]), sight, prefix)
-                again = min(len(ids), max(LEAST_CANDIDATES, round(candidates * len(ids))))
+                again = min(len(data), max(LEAST_CANDIDATES, round(candidates * len(data))))
                 out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-                for query, v, order in zip(query_ids, wanted, seen):
+                for query, v, order in zip(asking.to_numpy(), wanted, seen):
                     apart = files.footrule(order)
-                    near = np.argpartition(apart, again - 1)[:again]
-                    near = near[ids[near] != query]
+                    near = np.flatnonzero(apart <= np.partition(apart, again - 1)[again - 1])
                     scores = (data[near] * v).sum(axis=1)
-                    best = nearest(scores, ids[near], most)
-                    out.append((np.full(len(best), query), ids[near][best], scores[best]))
+                    # One more than asked for, as the query itself may be the first id of one of them.
+                    best = nearest(scores, ids[of[near]], most + 1)
+                    spans = [ids[of[k] : of[k + 1]] for k in near[best]]
+                    scores, found = np.repeat(scores[best], [len(x) for x in spans]), np.concatenate(spans)
+                    scores, found = scores[found != query], found[found != query]
+                    best = nearest(scores, found, most)
+                    out.append((np.full(len(best), query), found[best], scores[best]))
                 columns = [np.concatenate(x) for x in zip(*out)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "vec_id", "score"])
 
@@ -145,9 +180,9 @@ def search(
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
-def _arrays(structs: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
-    ids = structs.field("vec_id").to_numpy(zero_copy_only=False)
-    return ids, structs.field("v").flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+def _arrays(structs: pa.StructArray, name: str) -> tuple[pa.Array, np.ndarray]:
+    """A field of structs, and their vectors as rows."""
+    return structs.field(name), structs.field("v").flatten().to_numpy(zero_copy_only=False).reshape(len(structs), -1)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

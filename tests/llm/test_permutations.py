@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from shelfline.llm import permutations as pm
 from tests.conftest import SF_DIR
@@ -83,3 +84,17 @@ def test_query_over_all_embeddings(spark):
         assert rows == sorted(rows, key=lambda r: (-r[1], r[0]))
         hits += len({i for i, _ in rows} & set(list(expected)[:20]))
     assert hits >= 0.95 * 20 * len(got)
+
+
+def test_many_copies_of_one_vector_give_the_smallest_ids(spark):
+    rng = np.random.default_rng(4)
+    data = rng.normal(size=(3000, 8))
+    copies = np.sort(rng.permutation(3000)[:1000])
+    data[copies] = data[copies[0]] * 3
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id bigint, v array<double>")
+    asked = [int(copies[3]), int(copies[-1])]
+    for order in ("vec_id", "-vec_id"):
+        rows = frame.orderBy(F.expr(order)).coalesce(3)
+        got = rows_of(pm.search(rows, frame.filter(F.col("vec_id").isin(asked))))
+        for q in asked:
+            assert got[q] == brute(np.arange(3000), data, q, 20)
