@@ -7,11 +7,12 @@ its start. The bytes before a passage change its first cut, those after it its l
 of a repeated passage isn't seen as repeated.
 
 The first chunk of each digest (by doc_id, then place) stays, the others are copies. Copies that follow each other in a
-text make a run; a run of at least `LEAST_BYTES` is removed, shorter ones are common phrases and stay. Runs are cut back
+text make a run, as long as each stood behind the one before it in an earlier place too: a chunk carries 32 bits of the
+digest before it, so where that pair is new the run breaks, and snippets from unrelated documents don't join. A run of at least `LEAST_BYTES` is removed, shorter ones are common phrases and stay. Runs are cut back
 to whole words, so what is left isn't torn.
 
 A digest has 64 bits; a chunk that is wrongly taken for a copy matters only if its neighbours are as well. Of equal
-chunks of a batch of texts only the first one is shuffled, the others are copies in any case: so a passage that a third
+chunks behind equal ones, only the first one of a batch of texts is shuffled, the others are copies in any case: so a passage that a third
 of all documents share sends a row per batch. Then only copies go back to their texts.
 
 Null text stays null and has no chunks; an empty text likewise. A text that is removed entirely becomes empty
@@ -43,7 +44,7 @@ BATCH_BYTES = 4 << 20
 
 #: A 32-bit number for each byte, from a hash of it.
 GEAR = np.array([xxhash.xxh32_intdigest(bytes([b]), 10) for b in range(256)], np.uint32)
-CHUNKS = "row bigint, doc bigint, start int, stop int, digest bigint, first boolean"
+CHUNKS = "row bigint, doc bigint, start int, stop int, digest bigint, behind int, first boolean"
 
 
 def cuts(data: bytes, bits: int = BITS, longest: int = LONGEST) -> np.ndarray:
@@ -69,8 +70,8 @@ def cuts(data: bytes, bits: int = BITS, longest: int = LONGEST) -> np.ndarray:
 
 
 def chunked(rows: DataFrame, bits: int = BITS, longest: int = LONGEST) -> DataFrame:
-    """The chunks of each row (row, doc, text): where they start and stop, in bytes, their digests, and whether they
-    are the first ones of their digest in their batch."""
+    """The chunks of each row (row, doc, text): where they start and stop, in bytes, their digests, a part of the
+    digest before, and whether they are the first ones of both in their batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
@@ -86,10 +87,13 @@ def chunked(rows: DataFrame, bits: int = BITS, longest: int = LONGEST) -> DataFr
                     digests += [digest(data[a:b]) for a, b in zip(begins, ends)]
                 row, doc = (np.repeat(batch.column(i).to_numpy(), lengths) for i in (0, 1))
                 found, start = np.array(digests, np.uint64), np.array(starts, np.int32)
-                order = np.lexsort((start, row, doc))
+                # At the start of a text there is nothing before: 0.
+                behind = np.where(start > 0, np.r_[np.uint64(0), found[:-1]][: len(found)], np.uint64(0)).astype(np.uint32)
+                order = np.lexsort((start, row, doc, behind, found))
                 first = np.zeros(len(found), bool)
-                first[order[np.unique(found[order], return_index=True)[1]]] = True
-                arrays = row, doc, start, np.array(stops, np.int32), found.view(np.int64), first
+                by, before = found[order], behind[order]
+                first[order] = np.r_[True, (by[1:] != by[:-1]) | (before[1:] != before[:-1])][: len(found)]
+                arrays = row, doc, start, np.array(stops, np.int32), found.view(np.int64), behind.view(np.int32), first
                 names = [f.split()[0] for f in CHUNKS.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names)
 
@@ -97,18 +101,23 @@ def chunked(rows: DataFrame, bits: int = BITS, longest: int = LONGEST) -> DataFr
 
 
 def copies(chunks: DataFrame) -> DataFrame:
-    """(row, spans): the spans of each text whose chunks stand earlier, there or elsewhere."""
-    earlier = Window.partitionBy("digest").orderBy("doc", "row", "start")
-    firsts = chunks.filter("first").withColumn("n", F.row_number().over(earlier)).filter("n > 1")
-    later = firsts.select("row", "start", "stop").union(chunks.filter("not first").select("row", "start", "stop"))
-    return later.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
+    """(row, spans): the spans of each text whose chunks stand earlier, there or elsewhere, and whether each stood
+    behind the chunk before it there."""
+    digest = Window.partitionBy("digest").orderBy("doc", "row", "start")
+    pair = Window.partitionBy("digest", "behind").orderBy("doc", "row", "start")
+    places = {"n": F.row_number().over(digest), "joined": F.row_number().over(pair) > 1}
+    firsts = chunks.filter("first").withColumns(places).filter("n > 1")
+    later = firsts.select("row", "start", "stop", "joined").union(
+        chunks.filter("not first").select("row", "start", "stop", F.lit(True).alias("joined"))
+    )
+    return later.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "joined"))).alias("spans"))
 
 
-def runs(spans: list[tuple[int, int]], least: int) -> list[tuple[int, int]]:
-    """Touching spans joined, those of at least `least` bytes."""
+def runs(spans: list[tuple], least: int) -> list[tuple[int, int]]:
+    """Touching spans joined, those of at least `least` bytes. A span (start, stop, False) isn't joined to the one before."""
     out: list[list[int]] = []
-    for start, stop in spans:
-        if out and out[-1][1] == start:
+    for start, stop, *joined in spans:
+        if out and out[-1][1] == start and all(joined):
             out[-1][1] = stop
         else:
             out.append([start, stop])
@@ -118,7 +127,7 @@ def runs(spans: list[tuple[int, int]], least: int) -> list[tuple[int, int]]:
 _WHITE = re.compile(rb"[ \t-\r]")
 
 
-def removed(data: bytes, spans: list[tuple[int, int]], least: int = LEAST_BYTES) -> list[tuple[int, int]]:
+def removed(data: bytes, spans: list[tuple], least: int = LEAST_BYTES) -> list[tuple[int, int]]:
     """What goes of a text: its runs, cut back to whole words."""
     out = []
     for start, stop in runs(spans, least):
@@ -153,7 +162,7 @@ def deduplicated(docs: DataFrame, least: int = LEAST_BYTES, into: str = "removed
         for batch in batches:
             left, gone = [], []
             for data, found in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist()):
-                spans = removed(data, [(s["start"], s["stop"]) for s in found], least) if found else []
+                spans = removed(data, [(s["start"], s["stop"], s["joined"]) for s in found], least) if found else []
                 at, parts = 0, []
                 for a, b in spans:
                     parts.append(data[at:a])

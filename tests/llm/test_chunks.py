@@ -107,3 +107,19 @@ def test_query_over_all_documents(spark):
     got = {r.doc_id: ([tuple(s) for s in r.removed], r.text) for r in chunks.deduplicated(docs).collect()}
     assert got == {d: found for (d, _), found in zip(rows, brute(rows))}
     assert chunks.query(spark, SF_DIR).count() == 1000
+
+
+def test_snippets_of_unrelated_documents_are_no_passage(spark):
+    rng = random.Random(5)
+    sources = [words(rng, 200).replace("é", "e") for _ in range(30)]
+    parts = []
+    for text in sources:
+        data = text.encode()
+        ends = chunks.cuts(data).tolist()
+        parts.append(next(data[a:b] for a, b in zip(ends, ends[1:]) if 24 <= b - a <= 60).decode())
+    salad, passage = "".join(parts), sources[3][200:700]
+    rows = [*enumerate(sources), (50, salad), (51, f"{salad[:70]} {passage}")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    left = {r.doc_id: r.text for r in chunks.deduplicated(docs).collect()}
+    assert left[50] == salad
+    assert salad[:60] in left[51] and len(left[51]) < len(rows[-1][1]) - 300
