@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from shelfline.llm import brown, chat, chunks, kneser_ney, packing, permutations, pieces, rules, separators, simhash
+from shelfline.llm import (
+    brown,
+    chat,
+    chunks,
+    kneser_ney,
+    negatives,
+    packing,
+    permutations,
+    pieces,
+    rules,
+    separators,
+    simhash,
+)
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": chat.query,
@@ -20,7 +32,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": pieces.query,
     "op9_simhash": simhash.query,
     "op10_substring_dedup": chunks.query,
+    "op12_hard_negatives": negatives.query,
     "pipeline": corpus_pipeline.run,
 }
 
-LLM_ORACLES: dict[str, str] = {"op1_chat_format": chat.ORACLE}
+LLM_ORACLES: dict[str, str] = {"op1_chat_format": chat.ORACLE, "op12_hard_negatives": negatives.ORACLE}
