@@ -12,6 +12,7 @@ from shelfline.llm import (
     chat,
     chunks,
     kneser_ney,
+    mixing,
     negatives,
     packing,
     permutations,
@@ -33,7 +34,12 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": simhash.query,
     "op10_substring_dedup": chunks.query,
     "op12_hard_negatives": negatives.query,
+    "op13_source_mix": mixing.query,
     "pipeline": corpus_pipeline.run,
 }
 
-LLM_ORACLES: dict[str, str] = {"op1_chat_format": chat.ORACLE, "op12_hard_negatives": negatives.ORACLE}
+LLM_ORACLES: dict[str, str] = {
+    "op1_chat_format": chat.ORACLE,
+    "op12_hard_negatives": negatives.ORACLE,
+    "op13_source_mix": mixing.ORACLE,
+}

@@ -1,0 +1,194 @@
+"""Operator 13 against a plain version and SQL: targets, inclusions, order, the sample itself, odd rows."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+from collections import Counter, defaultdict
+from fractions import Fraction
+
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from shelfline.llm import mixing
+from tests.conftest import SF_DIR
+from tests.parity import differences, oracle_connection
+
+SCHEMA = "doc_id bigint, text string, source string"
+
+
+def plain_targets(sizes: dict[int, int], weights: dict[int, int], share: Fraction, most: int) -> dict[int, Fraction]:
+    """Shares by weight; whatever is above its limit is held there and the rest is shared again, in exact fractions."""
+    total, held = share * sum(sizes.values()), set()
+    while True:
+        free = sum(weights[s] for s in sizes if s not in held)
+        spare = total - sum(most * sizes[s] for s in held)
+        shares = {s: Fraction(most * sizes[s]) if s in held else spare * weights[s] / free for s in sizes}
+        above = {s for s in sizes if s not in held and shares[s] > most * sizes[s]}
+        if not above:
+            return shares
+        held |= above
+
+
+def plain(rows: list[tuple], share: Fraction = Fraction(3, 2), most: int = 2) -> Counter:
+    """The whole operator, one source at a time: (doc_id, size, source_size, target, taken)."""
+    docs = [(d, len(re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode())), s) for d, t, s in rows]
+    names = sorted({s for _, _, s in docs}, key=lambda s: (s is None, (s or "").encode()))
+    place = {s: i for i, s in enumerate(names)}
+    words = Counter({i: 0 for i in place.values()})
+    for _, n, s in docs:
+        words[place[s]] += n
+    aims = plain_targets(dict(words), {i: (5, 2, 1)[i % 3] for i in words}, share, most) if any(words.values()) else dict.fromkeys(words, Fraction(0))
+    out = Counter()
+    for of in words:
+        mine = sorted(((d is not None, d or 0, n, d) for d, n, s in docs if place[s] == of))
+        target = float(aims[of])
+        certain = math.floor(target / words[of]) if words[of] else 0
+        rest = target - certain * words[of]
+        chosen: set[int] = set()
+        full = [(i, n) for i, (_, _, n, _) in enumerate(mine) if n]
+        if rest > 0:
+            part = {n: math.floor(65536 * math.sqrt(n)) for _, n in full}
+            sure, free = set(), {n for _, n in full}
+            while free:
+                spare = rest - sum(n for _, n in full if n in sure)
+                parts = sum(part[n] for _, n in full if n not in sure)
+                least = min(free)
+                if spare * part[least] < least * parts:
+                    break
+                sure.add(least)
+                free.remove(least)
+            ranked = []
+            for i, n in full:
+                d = mine[i][3]
+                digest = hashlib.md5(f"mix:{'' if d is None else d}".encode()).hexdigest()
+                u = (int(digest[:12], 16) + 0.5) / (1 << 48)
+                p = 1.0 if n in sure else spare * part[n] / (parts * n)
+                ranked.append((0.0 if p >= 1 else u * (1 - p) / ((1 - u) * p), *mine[i][:3], i))
+            got, left = 0, []
+            for rank in sorted(ranked):
+                got += rank[3]
+                if got <= rest:
+                    chosen.add(rank[4])
+                else:
+                    left.append(rank)
+            gap = rest - sum(mine[i][2] for i in chosen)
+            near = [(abs(r[3] - gap), r) for r in left if abs(r[3] - gap) < gap]
+            if near:
+                chosen.add(min(near)[1][4])
+        for i, (_, _, n, d) in enumerate(mine):
+            out[(d, n, words[of], target, (certain + (i in chosen)) * n if n else 0)] += 1
+    return out
+
+
+def mix(spark, rows, **settings) -> Counter:
+    found = mixing.mixed(spark.createDataFrame(rows, SCHEMA), **settings)
+    return Counter((r.doc_id, r.size, r.source_size, r.target, r.copies * r.size) for r in found.collect())
+
+
+def words(n: int) -> str:
+    return "w " * n
+
+
+def lots(n: int, sources: int) -> list[tuple]:
+    """A third of all rows in one source, sizes from 1 to about 400, a very long text, empty ones."""
+    rows = [(i, words(1 + i * i % 397), f"s{0 if i % 3 == 0 else i % sources:02d}") for i in range(n)]
+    return rows + [(n, words(20000), "s00"), (n + 1, None, "s01"), (n + 2, " \t\n", "s02"), (n + 3, words(5), None)]
+
+
+def test_sizes_are_words_between_ascii_white_space(spark):
+    texts = [None, "", " ", "a", "a b", "\ta\x0bb\x0c\rc\n", "a b c", "\x1fx \x00y", "日本 語　学", "😀 😀"]
+    found = mixing.sized(spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], SCHEMA)).collect()
+    assert [r.size for r in sorted(found, key=lambda r: r.doc_id)] == [len((t or "").encode().split()) for t in texts]
+
+
+@pytest.mark.parametrize("share, most", [(1.5, 2), (0.25, 2), (1.0, 1), (2.0, 2), (2.5, 3)])
+def test_targets_against_exact_fractions(spark, share, most):
+    sizes = {0: 1000, 1: 3, 2: 0, 3: 70, 4: 800, 5: 12, 6: 4000, 7: 1}
+    rows = [(i, f"s{i}", n) for i, n in sizes.items()]
+    found = mixing.targets(spark.createDataFrame(rows, "row bigint, source string, size bigint"), share=share, most=most)
+    expected = plain_targets(sizes, {i: (5, 2, 1)[i % 3] for i in sizes}, Fraction(share), most) if share < most else {i: most * n for i, n in sizes.items()}
+    got = {r.of: r.target for r in found.collect()}
+    assert got == pytest.approx({i: float(t) for i, t in expected.items()}, rel=1e-12)
+    assert sum(got.values()) == pytest.approx(share * sum(sizes.values()))
+
+
+@pytest.mark.parametrize("n, sources", [(400, 7), (60, 40), (9, 3)])
+def test_against_a_plain_version(spark, n, sources):
+    rows = lots(n, sources)
+    assert mix(spark, rows) == plain(rows)
+
+
+def test_expected_words_are_the_rest(spark):
+    rows = [(0, 10.0, 3)] * 4 + [(0, 10.0, 1)] * 2 + [(1, 500.5, n) for n in range(1, 60)] + [(2, 0.5, 7)]
+    found = mixing.inclusions(spark.createDataFrame(rows, "of bigint, rest double, size bigint")).collect()
+    chance = {(r.of, r.size): r.inclusion for r in found}
+    for of, rest in {(r[0], r[1]) for r in rows}:
+        assert sum(chance[of, n] * n for o, _, n in rows if o == of) == pytest.approx(rest)
+    assert all(0 < p <= 1 for p in chance.values())
+    # A longer text is less probable, its expected words grow with the root of its size.
+    assert chance[1, 40] < chance[1, 20] and chance[1, 40] * 40 == pytest.approx(chance[1, 10] * 10 * 2, rel=1e-4)
+
+
+def test_longer_documents_are_drawn_as_often_as_their_inclusion_says(spark):
+    """The odds ratio gives nearly the wanted probabilities: 3,000 samples of half the words of 40 documents."""
+    docs = [(0, n, k) for k, n in enumerate([4, 9, 16, 25] * 10)]
+    chance = {r.size: r.inclusion for r in mixing.inclusions(spark.createDataFrame([(0, 270.0, n) for _, n, _ in docs], "of bigint, rest double, size bigint")).collect()}
+    draws = spark.createDataFrame([(n, k) for _, n, k in docs], "n bigint, k bigint").crossJoin(spark.range(3000).withColumnRenamed("id", "draw"))
+    p = F.element_at(F.create_map(*[F.lit(float(x)) if i % 2 else F.lit(x) for pair in chance.items() for i, x in enumerate(pair)]), F.col("n"))
+    u = mixing.uniform(F.col("draw") * 100 + F.col("k"), "test")
+    order = mixing.Window.partitionBy("draw").orderBy("pareto").rowsBetween(mixing.Window.unboundedPreceding, 0)
+    seen = draws.withColumn("pareto", mixing.pareto_rank(u, p)).withColumn("cum", F.sum("n").over(order)).filter("cum <= 270")
+    counts = {r["n"]: r["c"] / 30000 for r in seen.groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()}
+    assert counts == pytest.approx(chance, abs=0.03)
+
+
+def test_reruns_agree_however_the_table_is_split(spark):
+    rows = lots(300, 5)
+    frame = spark.createDataFrame(rows, SCHEMA)
+    results = {tuple(sorted(map(repr, mixing.mixed(f).collect()))) for f in (frame.coalesce(1), frame.repartition(7), frame.orderBy(F.desc("doc_id")))}
+    assert len(results) == 1
+    assert mix(spark, rows, seed="another") != mix(spark, rows)
+
+
+def test_ties_repeated_rows_and_null_ids(spark):
+    rows = lots(40, 4) * 3 + [(None, words(3), "s01")] * 5 + [(7, words(9), "s01"), (7, words(9), None)]
+    assert mix(spark, rows) == plain(rows)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None, None)], [(1, "", "a"), (2, " ", "b")], [(1, "a b", None)], [(None, "a", "x"), (2, "b", "y")]])
+def test_tables_with_little_or_nothing(spark, rows):
+    assert mix(spark, rows) == plain(rows)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 50), st.sampled_from(["a", "b", "é", "😀", "ｚ", None])), max_size=30))
+def test_any_table_against_a_plain_version(spark, rows):
+    rows = [(d, words(n), s) for d, n, s in rows]
+    found = mix(spark, rows)
+    assert found == plain(rows)
+    assert all(taken <= 2 * size for _, size, _, _, taken in found)
+
+
+def test_the_mix_itself_and_clashing_columns(spark):
+    rows = lots(60, 3)
+    names = ["row", "size", "of", "target", "rest", "certain", "copies", "_row", "before", "pareto", "_id", "_times", "gap", "off"]
+    frame = spark.createDataFrame(rows, SCHEMA).withColumns({n: F.lit("x") for n in names})
+    taken = mixing.mixed(frame)
+    copies = {r.doc_id: r.copies for r in taken.collect()}
+    written = mixing.mixture(frame.select("doc_id", "text", "source"), taken).collect()
+    assert Counter(r.doc_id for r in written) == Counter({d: n for d, n in copies.items() if n})
+    assert {(r.doc_id, r.copy) for r in written} == {(d, k + 1) for d, n in copies.items() for k in range(n)}
+
+
+def test_query_against_sql_and_its_targets(spark):
+    found = mixing.query(spark, SF_DIR)
+    assert differences(found, oracle_connection(SF_DIR), mixing.ORACLE) == []
+    by_target = defaultdict(int)
+    for r in found.collect():
+        by_target[r.source_size, r.target] += r.taken
+        assert r.taken <= 2 * r.size
+    # 50 documents a source, of up to 20,000 words.
+    assert all(abs(taken - target) <= 0.03 * target for (_, target), taken in by_target.items())
