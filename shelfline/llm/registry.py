@@ -17,6 +17,7 @@ from shelfline.llm import (
     packing,
     permutations,
     pieces,
+    repair,
     rules,
     separators,
     simhash,
@@ -33,6 +34,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": pieces.query,
     "op9_simhash": simhash.query,
     "op10_substring_dedup": chunks.query,
+    "op11_conversation_repair": repair.query,
     "op12_hard_negatives": negatives.query,
     "op13_source_mix": mixing.query,
     "pipeline": corpus_pipeline.run,
@@ -40,6 +42,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 LLM_ORACLES: dict[str, str] = {
     "op1_chat_format": chat.ORACLE,
+    "op11_conversation_repair": repair.ORACLE,
     "op12_hard_negatives": negatives.ORACLE,
     "op13_source_mix": mixing.ORACLE,
 }
