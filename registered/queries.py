@@ -218,7 +218,7 @@ def product_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     dimension = warehouse.read_table(spark, config, "dim_product")
     # Shown as text: the open end lies outside the range of nanosecond clients.
     shown = F.date_format("effective_end_date", "yyyy-MM-dd HH:mm:ss")
-    return dimension.withColumn("effective_end_date", shown).drop("end_day")
+    return dimension.withColumn("effective_end_date", shown).drop("end_day", "product_bucket", "row_digest")
 
 
 def product_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -350,8 +350,7 @@ def pipeline_end_to_end_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline_end_to_end_reorder_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    config = _stored_runs(spark, sf_dir, FIRST_RUN)
-    return scan_set(spark, f"{config.mart_dir}/reorder_recommendations", schemas.MART["reorder_recommendations"])
+    return warehouse.read_mart(spark, _stored_runs(spark, sf_dir, FIRST_RUN), "reorder_recommendations")
 
 
 def pipeline_end_to_end_gated(spark: SparkSession, sf_dir: str) -> DataFrame:

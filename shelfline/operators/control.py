@@ -1,4 +1,4 @@
-"""Watermark and run audit."""
+"""Watermark, run audit and run manifest: views over an append-only log of events."""
 
 from __future__ import annotations
 
@@ -83,6 +83,38 @@ def latest_running_run(audit: DataFrame) -> DataFrame:
     )
 
 
+# What an event tells of.
+RUN, SET, WATERMARK = "run", "set", "watermark"
+_GROUP = ("kind", "run_id", "pipeline_name", "set_name", "is_closing")
+
+
+def watermarks(events: DataFrame) -> DataFrame:
+    """One row per pipeline: what its latest watermark event says."""
+    latest = F.max_by(F.struct("last_success_date", "updated_at"), F.struct("event_time", "event_id"))
+    marks = events.filter(F.col("kind") == WATERMARK).groupBy("pipeline_name").agg(latest.alias("latest"))
+    return marks.select("pipeline_name", "latest.last_success_date", "latest.updated_at")
+
+
+def manifest(events: DataFrame) -> DataFrame:
+    """One row per run and set: the version, row count and verdict that the run recorded last."""
+    latest = F.max_by(F.struct("set_version", "set_rows", "verdict"), F.struct("event_time", "event_id"))
+    sets = events.filter(F.col("kind") == SET).groupBy("run_id", "set_name").agg(latest.alias("latest"))
+    return sets.select("run_id", "set_name", "latest.set_version", "latest.set_rows", "latest.verdict")
+
+
+def folded(events: DataFrame) -> DataFrame:
+    """The events that the views can still tell apart from none: the first and the last of each group.
+
+    A group is a run, a set of a run or a watermark, closing events apart from others. Folding again, folding parts
+    first, or folding an event twice gives the same.
+    """
+    order, row = F.struct("event_time", "event_id"), F.struct(*events.columns)
+    ends = events.groupBy(*[F.col(c).alias(f"_{c}") for c in _GROUP]).agg(
+        F.array_distinct(F.array(F.min_by(row, order), F.max_by(row, order))).alias("ends")
+    )
+    return ends.select(F.inline("ends"))
+
+
 def _event(
     run_id: Column,
     pipeline_name: Column,

@@ -116,6 +116,16 @@ def rule_report(df: DataFrame, rules: MartRules) -> DataFrame:
     )
 
 
+def measures(df: DataFrame, rules: MartRules) -> dict[str, Column]:
+    """What can be counted of a mart's rules while it is written: all but duplicates."""
+    nulls = [missing(df, c) for c in _present(df, rules.not_null)]
+    negatives = [F.coalesce(F.col(c) < 0, F.lit(False)) for c in _present(df, rules.not_negative)]
+    none = F.lit(0).cast("bigint")
+    return {
+        name: F.coalesce(F.sum(_sum_of_flags(flags)), none) for name, flags in (("nulls", nulls), ("biz_warnings", negatives))
+    }
+
+
 def check_mart(df: DataFrame, rules: MartRules) -> tuple[bool, dict[str, int]]:
     """(critical checks passed, counts). Nulls and duplicates are critical, negative stock is a warning."""
     for name in set(rules.not_null) - set(df.columns):
@@ -130,6 +140,12 @@ def check_mart(df: DataFrame, rules: MartRules) -> tuple[bool, dict[str, int]]:
 
 def require_unique(df: DataFrame, key_columns: Sequence[str]) -> DataFrame:
     """The set itself, once every row has a key and no key occurs twice: a merge would lose or multiply such rows."""
+    unique_rows(df, key_columns)
+    return df
+
+
+def unique_rows(df: DataFrame, key_columns: Sequence[str]) -> int:
+    """The rows of a set, counted by the check that every row has a key and no key occurs twice."""
     keys = tuple(key_columns)
     if set(keys) - set(df.columns):
         raise DataQualityError(f"key columns {sorted(set(keys) - set(df.columns))} are absent")
@@ -138,7 +154,7 @@ def require_unique(df: DataFrame, key_columns: Sequence[str]) -> DataFrame:
         raise DataQualityError(f"{found['nulls']} nulls in key {keys}")
     if found["duplicates"]:
         raise DataQualityError(f"{found['duplicates']} rows share a key {keys}")
-    return df
+    return found["row_count"]
 
 
 def _present(df: DataFrame, columns: Sequence[str]) -> list[str]:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfline.functions.keys import with_sequence
 
 # End of an open version, and the weight difference that counts as a change.
 OPEN_END = "9999-12-31 23:59:59"
+OPEN_DAY = date(9999, 12, 31)
 WEIGHT_TOLERANCE = 0.001
 _COMPARED = ("product_name", "category", "barcode", "is_active")
 
@@ -24,8 +27,28 @@ DIMENSION_COLUMNS = [
     "effective_end_date",
     "is_current",
     "created_at",
+    "row_digest",
     "end_day",
+    "product_bucket",
 ]
+#: Parts of the dimension, unless a load says otherwise.
+BUCKETS = 64
+
+
+def is_open() -> Column:
+    return F.col("end_day") == F.lit(OPEN_DAY)
+
+
+def product_bucket(product_id: Column, buckets: int = BUCKETS) -> Column:
+    """The part of the dimension that all versions of a product lie in."""
+    return F.pmod(F.xxhash64(product_id), F.lit(buckets)).cast("int")
+
+
+def row_digest() -> Column:
+    """A digest of the monitored columns; equal ones mean no change. Nulls have places of their own."""
+    weight = F.col("weight").cast("double")
+    monitored = [*[F.col(c) for c in _COMPARED], weight]
+    return F.xxhash64(*[part for c in monitored for part in (c.isNull(), c)])
 
 
 def product_rows(products: DataFrame) -> DataFrame:
@@ -65,18 +88,32 @@ def product_actions(dimension: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
+def possibly_changed(dimension: DataFrame, products: DataFrame) -> DataFrame:
+    """The feed without the products whose open version has the same digest: a join that reads two columns of the dimension."""
+    current = dimension.filter("is_current").select(
+        F.col("product_id").alias("_known"), F.col("row_digest").alias("_old_digest")
+    )
+    digests = product_rows(products).withColumn("_digest", row_digest())
+    same = digests.join(
+        current, (F.col("product_id") == F.col("_known")) & (F.col("_digest") == F.col("_old_digest")), "left_semi"
+    )
+    return products.join(same.select("product_id"), "product_id", "left_anti")
+
+
 def product_changes(dimension: DataFrame, products: DataFrame) -> DataFrame:
-    """The part of the feed that opens a version."""
-    return product_actions(dimension, products).filter("action <> 'keep'")
+    """The part of the feed that opens a version: what differs by digest, compared in detail."""
+    return product_actions(dimension, possibly_changed(dimension, products)).filter("action <> 'keep'")
 
 
-def apply_changes(dimension: DataFrame, changes: DataFrame, as_of: Column) -> DataFrame:
+def apply_changes(
+    dimension: DataFrame, changes: DataFrame, as_of: Column, buckets: int = BUCKETS, highest: Column | None = None
+) -> DataFrame:
     """The dimension with superseded versions closed at `as_of` and new versions opened at it.
 
-    `dimension` needs to hold the current versions; closed ones pass through, and products that the feed
-    does not name stay open. Keys continue after the highest current key, which is the highest ever given:
-    a closed version always has a later successor. `changes` is read three times, so a load stores it
-    before (it is small beside the dimension).
+    `dimension` needs to hold the current versions of the products that change; closed ones pass through, and products that
+    the feed does not name stay open. Keys continue after the highest current key (`highest`, or else that of
+    `dimension`), which is the highest ever given: a closed version always has a later successor. `changes` is read three
+    times, so a load stores it before (it is small beside the dimension).
     """
     superseded = changes.filter("action = 'change'").select(
         F.col("old_sk").alias("product_sk"), F.lit(True).alias("_superseded")
@@ -88,7 +125,8 @@ def apply_changes(dimension: DataFrame, changes: DataFrame, as_of: Column) -> Da
             "is_current": F.when(closing, F.lit(False)).otherwise(F.col("is_current")),
         }
     )
-    highest = dimension.agg(F.coalesce(F.max("product_sk"), F.lit(0).cast("bigint"))).scalar()
+    if highest is None:
+        highest = dimension.agg(F.coalesce(F.max("product_sk"), F.lit(0).cast("bigint"))).scalar()
     versions = with_sequence(changes, "product_id", "product_sk", highest).withColumns(
         {
             "effective_start_date": as_of,
@@ -97,7 +135,7 @@ def apply_changes(dimension: DataFrame, changes: DataFrame, as_of: Column) -> Da
             "created_at": as_of,
         }
     )
-    return _with_end_day(history).unionByName(_with_end_day(versions))
+    return _laid_out(history, buckets).unionByName(_laid_out(versions.withColumn("row_digest", row_digest()), buckets))
 
 
 def product_scd2(dimension: DataFrame, products: DataFrame, as_of: Column) -> DataFrame:
@@ -105,9 +143,10 @@ def product_scd2(dimension: DataFrame, products: DataFrame, as_of: Column) -> Da
     return apply_changes(dimension, product_changes(dimension, products), as_of)
 
 
-def _with_end_day(df: DataFrame) -> DataFrame:
-    """Partition by the day a version ends: open versions lie together, each closing day on its own."""
-    return df.withColumn("end_day", F.col("effective_end_date").cast("date")).select(*DIMENSION_COLUMNS)
+def _laid_out(df: DataFrame, buckets: int) -> DataFrame:
+    """Partition by the day a version ends (open versions lie together) and by the bucket of its product."""
+    places = {"end_day": F.col("effective_end_date").cast("date"), "product_bucket": product_bucket(F.col("product_id"), buckets)}
+    return df.withColumns(places).select(*DIMENSION_COLUMNS)
 
 
 def _has_changed() -> Column:

@@ -18,6 +18,7 @@ from shelfline.operators.quality import DataQualityError
 from shelfline.operators.reorder import reorder_analysis
 from shelfline.plans import warehouse
 from shelfline.plans.concurrent import run_together
+from shelfline.sinks import versions
 from shelfline.sinks.tables import create_marker, remove_folder, write_set
 from shelfline.sources import feeds
 from shelfline.sources.files import conform, scan_complete
@@ -60,7 +61,6 @@ def run_extract(
     A set is marked while it is extracted, so that one that broke off is never read. Without the id of a run that is
     open already, a run is opened in the audit.
     """
-    warehouse.recover(spark, config)
     if run_id is None:
         run_id = warehouse.log_audit_start(spark, config)
     since = config.read_since(warehouse.get_last_success_date(spark, config))
@@ -70,6 +70,8 @@ def run_extract(
     for name in wanted:
         create_marker(spark, warehouse.extracting(config, name))
     counts = run_together(spark, {name: partial(_extract, spark, config, name, feed) for name, feed in wanted.items()})
+    for name, count in counts.items():
+        warehouse.log_set(spark, config, run_id, f"raw/{name}", count, "extracted")
     warehouse.log_audit_progress(spark, config, run_id, records_extracted=sum(counts.values()))
     return counts
 
@@ -94,45 +96,81 @@ def reorder_chain(
     )
 
 
-def run_transform(spark: SparkSession, config: EngineConfig) -> int:
+def run_transform(spark: SparkSession, config: EngineConfig, run_id: int | None = None) -> int:
     """Store the reorder advice of all raw days; days read only as lookback are left out."""
+    run = warehouse.find_running_run(spark, config, run_id)
     raw = {n: warehouse.raw_set(spark, config, n) for n in ("stock_daily", "purchases", "sales", "adjustments")}
     advice = reorder_chain(**raw, config=config)
     if config.lookback_days:
         advice = advice.filter(F.col("inventory_date") >= F.lit(warehouse.get_last_success_date(spark, config)))
-    return write_set(advice, f"{config.staging_dir}/reorder_recommendation")
+    count = write_set(advice, f"{config.staging_dir}/reorder_recommendation")
+    warehouse.log_set(spark, config, _id(run), "staging/reorder_recommendation", count, "transformed")
+    return count
 
 
-# Quality and marts --------------------------------------------------------------------------------------
+def _id(run: Row | None) -> int | None:
+    return None if run is None else run["run_id"]
+
 
+# Quality and marts --------------------------------------------------------------------------------------
 
-def generate_daily_inventory_fact(spark: SparkSession, config: EngineConfig) -> MartResult:
-    """(rows, passed, counts); the mart is written only if no key is NULL or duplicated."""
-    advice = _advice(spark, config)
-    passed, counts = quality.check_mart(advice, quality.DAILY_RULES)
-    if passed:
-        write_set(advice, f"{config.mart_dir}/fact_daily_inventory", ["inventory_date"], ["product_id"])
-    return advice, passed, counts
 
+def write_checked(
+    spark: SparkSession,
+    config: EngineConfig,
+    name: str,
+    rows: DataFrame,
+    rules: quality.MartRules,
+    run_id: int | None = None,
+    gated: bool = True,
+) -> MartResult:
+    """Write a mart, check what was written, and make it current only if it passes: (rows, passed, counts).
 
-def generate_inventory_movement_fact(spark: SparkSession, config: EngineConfig) -> MartResult:
+    The rows are computed and written once. Nulls, negatives and rows are observed while they are written, duplicates
+    are counted on the key columns of the files. A mart that fails leaves the last one in place. Without a gate it
+    becomes current whatever the checks find. The verdict goes into the run's manifest.
+    """
+    if set(rules.key) - set(rows.columns):
+        _, counts = quality.check_mart(rows, rules)
+        warehouse.log_set(spark, config, run_id, f"mart/{name}", counts["row_count"], "failed")
+        return rows, False, counts
+    for absent in set(rules.not_null) - set(rows.columns):
+        logger.warning("null check skips absent column %s", absent)
+    layout, schema = warehouse.MART_LAYOUTS[name], schemas.MART[name]
+    base = versions.current(spark, warehouse.mart_path(config, name))
+    candidate = versions.write_candidate(rows, base, layout.partition_by, layout.cluster_by, quality.measures(rows, rules))
+    seen = candidate.observed
+    counts = {"row_count": seen["rows"], "nulls": seen["nulls"], "duplicates": 0, "biz_warnings": seen["biz_warnings"]}
+    if rules.key:
+        keys = versions.read_candidate(spark, candidate, schema).select(*rules.key)
+        counts["duplicates"] = quality.duplicate_report(keys, rules.key).first()["duplicate_count"]
+    if gated and (counts["nulls"] or counts["duplicates"]):
+        versions.discard(spark, candidate)
+        warehouse.log_set(spark, config, run_id, f"mart/{name}", seen["rows"], "failed")
+        return rows, False, counts
+    published = versions.publish(spark, candidate, whole=True)
+    warehouse.log_set(spark, config, run_id, f"mart/{name}", seen["rows"], "passed", published.number)
+    return versions.read(spark, published, schema), True, counts
+
+
+def generate_daily_inventory_fact(spark: SparkSession, config: EngineConfig, run_id: int | None = None) -> MartResult:
+    """(rows, passed, counts); the mart becomes current only if no key is NULL or duplicated."""
+    return write_checked(spark, config, "fact_daily_inventory", _advice(spark, config), quality.DAILY_RULES, run_id)
+
+
+def generate_inventory_movement_fact(spark: SparkSession, config: EngineConfig, run_id: int | None = None) -> MartResult:
     """(rows, passed, counts). Absent feeds count as empty, and an empty mart is written as such."""
     raw = {n: warehouse.raw_set(spark, config, n, may_be_absent=True) for n in ("purchases", "sales", "adjustments")}
     rows = movements.inventory_movements(**raw)
     if config.lookback_days:
         rows = rows.filter(F.col("movement_date") >= F.lit(warehouse.get_last_success_date(spark, config)))
-    passed, counts = quality.check_mart(rows, quality.MOVEMENT_RULES)
-    if passed:
-        write_set(rows, f"{config.mart_dir}/fact_inventory_movement")
-    return rows, passed, counts
+    return write_checked(spark, config, "fact_inventory_movement", rows, quality.MOVEMENT_RULES, run_id)
 
 
-def generate_reorder_recommendations_mart(spark: SparkSession, config: EngineConfig) -> MartResult:
-    """(rows, True, counts): the rows to reorder, written whatever the check finds."""
+def generate_reorder_recommendations_mart(spark: SparkSession, config: EngineConfig, run_id: int | None = None) -> MartResult:
+    """(rows, True, counts): the rows to reorder, current whatever the check finds."""
     rows = reorder_mart(_advice(spark, config))
-    _, counts = quality.check_mart(rows, quality.REORDER_RULES)
-    write_set(rows, f"{config.mart_dir}/reorder_recommendations")
-    return rows, True, counts
+    return write_checked(spark, config, "reorder_recommendations", rows, quality.REORDER_RULES, run_id, gated=False)
 
 
 def reorder_mart(advice: DataFrame) -> DataFrame:
@@ -141,17 +179,15 @@ def reorder_mart(advice: DataFrame) -> DataFrame:
 
 def run_quality_check(spark: SparkSession, config: EngineConfig, run_id: int | None = None) -> dict[str, dict[str, int]]:
     """Build the three marts; raises if a critical check failed, so that nothing is loaded."""
-    results = run_together(
-        spark,
-        {
-            "fact_daily_inventory": partial(generate_daily_inventory_fact, spark, config),
-            "fact_inventory_movement": partial(generate_inventory_movement_fact, spark, config),
-            "reorder_recommendations": partial(generate_reorder_recommendations_mart, spark, config),
-        },
-    )
+    run = warehouse.find_running_run(spark, config, run_id)
+    makers = {
+        "fact_daily_inventory": generate_daily_inventory_fact,
+        "fact_inventory_movement": generate_inventory_movement_fact,
+        "reorder_recommendations": generate_reorder_recommendations_mart,
+    }
+    results = run_together(spark, {name: partial(make, spark, config, _id(run)) for name, make in makers.items()})
     failed = [name for name, (_, passed, _) in results.items() if not passed]
     reports = {name: counts for name, (_, _, counts) in results.items()}
-    run = warehouse.find_running_run(spark, config, run_id)
     if run is not None:
         extracted, passed = run["records_extracted"], len(results) - len(failed)
         warehouse.log_audit_progress(spark, config, run["run_id"], extracted, passed, len(failed))
@@ -169,17 +205,21 @@ def _advice(spark: SparkSession, config: EngineConfig) -> DataFrame:
 
 
 def run_load(spark: SparkSession, config: EngineConfig, run_id: int | None = None) -> int:
-    """Merge dimensions and facts, advance the watermark and close the run. Returns the rows loaded."""
+    """Merge dimensions and facts, advance the watermark and close the run. Returns the rows loaded.
+
+    Loads the versions of the marts that this run (or else the latest that is running) has built and passed, and
+    raises if there are none: marts that another run left behind are never taken for its own.
+    """
     run = warehouse.find_running_run(spark, config, run_id)
     try:
-        warehouse.recover(spark, config)
+        marts = warehouse.checked_marts(spark, config, run)
         counts = run_together(
             spark,
             {
                 "dim_supplier": partial(warehouse.load_suppliers, spark, config),
                 "dim_product": partial(warehouse.load_products_scd2, spark, config),
-                "fact_inventory_movement": partial(warehouse.load_fact_inventory_movement, spark, config),
-                "fact_daily_inventory": partial(warehouse.load_fact_daily_inventory, spark, config),
+                "fact_inventory_movement": partial(warehouse.load_fact_inventory_movement, spark, config, marts["fact_inventory_movement"]),
+                "fact_daily_inventory": partial(warehouse.load_fact_daily_inventory, spark, config, marts["fact_daily_inventory"]),
             },
         )
         loaded = sum(counts.values())
@@ -219,11 +259,10 @@ def _close_run(
 
 def run_pipeline(spark: SparkSession, tables: dict[str, DataFrame], config: EngineConfig) -> int:
     """Extract, transform, check and load; the first failure stops the run and closes its own audit row."""
-    warehouse.recover(spark, config)
     run_id = warehouse.log_audit_start(spark, config)
     try:
         run_extract(spark, tables, config, run_id=run_id)
-        run_transform(spark, config)
+        run_transform(spark, config, run_id)
         run_quality_check(spark, config, run_id)
     except Exception as error:
         _close_run(spark, config, warehouse.find_running_run(spark, config, run_id), "FAILED", error=error)

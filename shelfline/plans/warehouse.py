@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 import time
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -14,12 +15,19 @@ from shelfline import schemas
 from shelfline.config import EngineConfig
 from shelfline.functions.times import wall_clock
 from shelfline.operators import control, merge, quality, scd2
-from shelfline.sinks.tables import finish_pending, replace_partitions, touched_partitions, write_set
-from shelfline.sources.files import path_exists, scan_complete, scan_or_empty, scan_set
+from shelfline.plans import control_log
+from shelfline.sinks import versions
+from shelfline.sinks.tables import touched_partitions, write_set
+from shelfline.sinks.versions import Snapshot
+from shelfline.sources.files import path_exists, scan_complete, scan_set
 
 logger = logging.getLogger(__name__)
 
 
+class UncheckedMartError(RuntimeError):
+    """A mart that the run has not built and checked is not loaded."""
+
+
 @dataclass(frozen=True)
 class Layout:
     partition_by: tuple[str, ...] = ()
@@ -29,10 +37,15 @@ class Layout:
 # Partition columns are functions of the merge key, so an upsert touches just the partitions of its feed.
 LAYOUTS = {
     "dim_supplier": Layout(cluster_by=("supplier_id",)),
-    "dim_product": Layout(("end_day",), ("product_id",)),
+    "dim_product": Layout(("end_day", "product_bucket"), ("product_id",)),
     "fact_inventory_movement": Layout(("movement_type", "ref_bucket"), ("movement_date", "product_id")),
     "fact_daily_inventory": Layout(("inventory_date",), ("product_id",)),
-    "etl_state": Layout(),
+}
+
+MART_LAYOUTS = {
+    "fact_daily_inventory": Layout(("inventory_date",), ("product_id",)),
+    "fact_inventory_movement": Layout(),
+    "reorder_recommendations": Layout(),
 }
 
 
@@ -40,33 +53,52 @@ def table_path(config: EngineConfig, name: str) -> str:
     return f"{config.warehouse_dir}/{name}"
 
 
+def mart_path(config: EngineConfig, name: str) -> str:
+    return f"{config.mart_dir}/{name}"
+
+
 def read_table(spark: SparkSession, config: EngineConfig, name: str) -> DataFrame:
-    return scan_or_empty(spark, table_path(config, name), schemas.WAREHOUSE[name])
+    """The current version of a warehouse table; `etl_state` is a view of the control log."""
+    if name == "etl_state":
+        return control.watermarks(control_events(spark, config))
+    return versions.read(spark, versions.current(spark, table_path(config, name)), schemas.WAREHOUSE[name])
+
+
+def read_mart(spark: SparkSession, config: EngineConfig, name: str) -> DataFrame:
+    return versions.read(spark, versions.current(spark, mart_path(config, name)), schemas.MART[name])
 
 
-def replace_rows(config: EngineConfig, name: str, rows: DataFrame) -> int:
+def replace_rows(name: str, rows: DataFrame, base: Snapshot) -> int:
+    """Replace the partitions of a table that `rows` holds, in the version that it started from."""
     layout = LAYOUTS[name]
-    return replace_partitions(
-        rows, table_path(config, name), schemas.WAREHOUSE[name], layout.partition_by, layout.cluster_by
-    )
+    return versions.replace_partitions(rows, base, layout.partition_by, layout.cluster_by).rows
 
 
-def recover(spark: SparkSession, config: EngineConfig) -> list[str]:
-    """Complete replacements that an earlier run decided on but did not finish."""
-    return [
-        name
-        for name, layout in LAYOUTS.items()
-        if finish_pending(
-            spark, table_path(config, name), schemas.WAREHOUSE[name], layout.partition_by, layout.cluster_by
-        )
-    ]
+def remove_old_versions(spark: SparkSession, config: EngineConfig, keep: int = 1) -> None:
+    """Remove the versions of all tables and marts but the latest `keep`, and the folded part of the control log.
+
+    Call it when no reader has an older version open.
+    """
+    for name in LAYOUTS:
+        versions.remove_old(spark, table_path(config, name), keep)
+    for name in MART_LAYOUTS:
+        versions.remove_old(spark, mart_path(config, name), keep)
+    control_log.remove_folded(spark, log_path(config))
 
 
 def run_time(config: EngineConfig) -> Column:
     return wall_clock(config.as_of)
 
 
-# Watermark and audit ------------------------------------------------------------------------------------
+# Control log --------------------------------------------------------------------------------------------
+
+
+def log_path(config: EngineConfig) -> str:
+    return table_path(config, "etl_log")
+
+
+def control_events(spark: SparkSession, config: EngineConfig) -> DataFrame:
+    return control_log.events(spark, log_path(config))
 
 
 def get_last_success_date(spark: SparkSession, config: EngineConfig) -> date:
@@ -75,18 +107,24 @@ def get_last_success_date(spark: SparkSession, config: EngineConfig) -> date:
 
 
 def update_last_success_date(spark: SparkSession, config: EngineConfig, day: date) -> None:
-    row = merge.watermark_rows(spark, config.pipeline_name, day, run_time(config))
-    replace_rows(config, "etl_state", merge.watermark_upsert(read_table(spark, config, "etl_state"), row))
+    """Advance the watermark: an event, so nothing is read that another run could change meanwhile."""
+    names = {"pipeline_name": config.pipeline_name, "updated_at": config.as_of}
+    control_log.append(spark, log_path(config), control.WATERMARK, last_success_date=day, **names)
 
 
 def read_audit(spark: SparkSession, config: EngineConfig) -> DataFrame:
-    return control.audit_log(read_table(spark, config, "etl_audit"))
+    return control.audit_log(control_events(spark, config).filter(F.col("kind") == control.RUN))
+
+
+def read_manifest(spark: SparkSession, config: EngineConfig) -> DataFrame:
+    return control.manifest(control_events(spark, config))
 
 
 def log_audit_start(spark: SparkSession, config: EngineConfig) -> int:
     """Open a run; returns its id. Ids grow with time, and two runs that start together have different ones."""
+    control_log.fold_if_long(spark, log_path(config))
     run_id = (time.time_ns() // 1_000_000 << 20) | uuid.uuid4().int & (1 << 20) - 1
-    _append_event(spark, config, control.audit_start(F.lit(run_id), F.lit(config.pipeline_name), _now()))
+    _log_run(spark, config, run_id, "RUNNING", False)
     return run_id
 
 
@@ -94,12 +132,7 @@ def log_audit_progress(
     spark: SparkSession, config: EngineConfig, run_id: int, records_extracted: int, dq_passed: int = 0, dq_failed: int = 0
 ) -> None:
     """Record counters of a stage while the run goes on, for the stages after it."""
-    counters = [F.lit(n) for n in (records_extracted, 0, dq_passed, dq_failed)]
-    _append_event(
-        spark,
-        config,
-        control.audit_progress(F.lit(run_id), F.lit(config.pipeline_name), _now(), *counters),
-    )
+    _log_run(spark, config, run_id, "RUNNING", False, records_extracted, 0, dq_passed, dq_failed)
 
 
 def log_audit_end(
@@ -113,20 +146,53 @@ def log_audit_end(
     dq_failed: int = 0,
     error_message: str | None = None,
 ) -> None:
-    counters = [F.lit(n) for n in (records_extracted, records_loaded, dq_passed, dq_failed)]
-    _append_event(
+    counters = (records_extracted, records_loaded, dq_passed, dq_failed)
+    _log_run(spark, config, run_id, status, True, *counters, error_message)
+
+
+def _log_run(
+    spark: SparkSession,
+    config: EngineConfig,
+    run_id: int,
+    status: str,
+    closing: bool,
+    extracted: int = 0,
+    loaded: int = 0,
+    passed: int = 0,
+    failed: int = 0,
+    message: str | None = None,
+) -> None:
+    control_log.append(
         spark,
-        config,
-        control.audit_end(
-            F.lit(run_id), F.lit(config.pipeline_name), F.lit(status), _now(), *counters, F.lit(error_message)
-        ),
+        log_path(config),
+        control.RUN,
+        run_id=run_id,
+        pipeline_name=config.pipeline_name,
+        run_status=status,
+        is_closing=closing,
+        records_extracted=extracted,
+        records_loaded=loaded,
+        dq_checks_passed=passed,
+        dq_checks_failed=failed,
+        error_message=message,
     )
 
 
+def log_set(
+    spark: SparkSession, config: EngineConfig, run_id: int | None, name: str, rows: int, verdict: str, version: int | None = None
+) -> None:
+    """Record in the manifest of a run what it made of a set; without a run there is nothing to record it for."""
+    if run_id is not None:
+        control_log.append(
+            spark, log_path(config), control.SET,
+            run_id=run_id, set_name=name, set_version=version, set_rows=rows, verdict=verdict,
+        )
+
+
 def find_running_run(spark: SparkSession, config: EngineConfig, run_id: int | None = None) -> Row | None:
     """Audit row of a run that is running: the one with this id, or the latest of this pipeline.
 
-    A log that cannot be read only costs the audit row.
+    A log that cannot be read gives no run: other stages go on without their audit row, a load refuses.
     """
     try:
         runs = read_audit(spark, config).filter(F.col("pipeline_name") == config.pipeline_name)
@@ -138,15 +204,24 @@ def find_running_run(spark: SparkSession, config: EngineConfig, run_id: int | No
         return None
 
 
-def _append_event(spark: SparkSession, config: EngineConfig, columns: list[Column]) -> None:
-    """Events are folders of their own: writers of one folder at the same time would undo each other."""
-    path = f"{table_path(config, 'etl_audit')}/event={uuid.uuid4().hex}"
-    write_set(spark.range(0, 1, 1, 1).select(*columns), path)
+def sets_of_run(spark: SparkSession, config: EngineConfig, run_id: int) -> dict[str, Row]:
+    """The manifest of a run: what it recorded for each of its sets."""
+    return {r["set_name"]: r for r in read_manifest(spark, config).filter(F.col("run_id") == run_id).collect()}
 
 
-def _now() -> Column:
-    """The moment of an audit event: the one place where a run reads the clock."""
-    return F.current_timestamp().cast("timestamp_ntz")
+def checked_marts(spark: SparkSession, config: EngineConfig, run: Row | None) -> dict[str, Snapshot]:
+    """The versions of the marts that this run has built and passed; raises if there is one that it hasn't."""
+    if run is None:
+        raise UncheckedMartError("no run is open: extract, transform and check first")
+    recorded = sets_of_run(spark, config, run["run_id"])
+    found = {}
+    for name in MART_LAYOUTS:
+        entry = recorded.get(f"mart/{name}")
+        if entry is None or entry["verdict"] != "passed":
+            reason = "has not checked" if entry is None else "has failed"
+            raise UncheckedMartError(f"run {run['run_id']} {reason} {name}: nothing is loaded")
+        found[name] = versions.at(spark, mart_path(config, name), entry["set_version"])
+    return found
 
 
 # Raw sets -------------------------------------------------------------------------------------------------
@@ -180,54 +255,70 @@ def load_suppliers(spark: SparkSession, config: EngineConfig) -> int:
     feed = raw_feed(spark, config, "suppliers")
     if feed is None:
         return 0
-    quality.require_unique(feed, ["supplier_id"])
-    target = read_table(spark, config, "dim_supplier")
-    replace_rows(config, "dim_supplier", merge.supplier_upsert(target, feed, run_time(config)))
-    return feed.count()
+    count = quality.unique_rows(feed, ["supplier_id"])
+    base = versions.current(spark, table_path(config, "dim_supplier"))
+    target = versions.read(spark, base, schemas.WAREHOUSE["dim_supplier"])
+    replace_rows("dim_supplier", merge.supplier_upsert(target, feed, run_time(config)), base)
+    return count
 
 
 def load_products_scd2(spark: SparkSession, config: EngineConfig) -> int:
-    """Returns the number of versions opened; without any, nothing is written."""
+    """Returns the number of versions opened; without any, nothing is written.
+
+    Three steps, each on less: digests of all open versions tell which products may have changed; those are compared with
+    their open versions; the buckets of the products that did change are written anew.
+    """
     feed = raw_feed(spark, config, "products")
     if feed is None:
         return 0
     quality.require_unique(feed, ["product_id"])
-    # Open versions and those already closed today: the only partitions this run can change.
-    dimension = read_table(spark, config, "dim_product").filter(
-        F.col("end_day").isin(date(9999, 12, 31), config.as_of.date())
-    )
+    base = versions.current(spark, table_path(config, "dim_product"))
+    dimension = versions.read(spark, base, schemas.WAREHOUSE["dim_product"])
     path = f"{config.staging_dir}/product_changes"
-    opened = write_set(scd2.product_changes(dimension, feed), path)
-    if opened:
-        changes = scan_set(spark, path, schemas.STAGING["product_changes"])
-        replace_rows(config, "dim_product", scd2.apply_changes(dimension, changes, run_time(config)))
+    buckets = config.product_buckets
+    opened = write_set(scd2.product_changes(dimension.filter(scd2.is_open()), feed), path)
+    if not opened:
+        return 0
+    changes = scan_set(spark, path, schemas.STAGING["product_changes"])
+    bucket = scd2.product_bucket(F.col("product_id"), buckets)
+    touched = [r[0] for r in changes.select(bucket).distinct().collect()]
+    # Open versions, and those that this day has closed already: the only partitions of these buckets that can change.
+    around = dimension.filter(F.col("end_day").isin(scd2.OPEN_DAY, config.as_of.date()) & F.col("product_bucket").isin(touched))
+    highest = dimension.filter(scd2.is_open()).agg(F.coalesce(F.max("product_sk"), F.lit(0).cast("bigint"))).first()[0]
+    rows = scd2.apply_changes(around, changes, run_time(config), buckets, F.lit(highest))
+    replace_rows("dim_product", rows, base)
     return opened
 
 
-def load_fact_inventory_movement(spark: SparkSession, config: EngineConfig) -> int:
-    feed = _feed(spark, f"{config.mart_dir}/fact_inventory_movement", schemas.MART["fact_inventory_movement"])
-    if feed is None:
-        return 0
+def load_fact_inventory_movement(spark: SparkSession, config: EngineConfig, mart: Snapshot | None = None) -> int:
+    feed, count = _mart(spark, config, "fact_inventory_movement", mart)
     rows = merge.movement_rows(feed, run_time(config), config.movement_bucket_span)
-    return _load_fact(spark, config, "fact_inventory_movement", rows, merge.MOVEMENT_KEY)
+    return _load_fact(spark, config, "fact_inventory_movement", rows, count, merge.MOVEMENT_KEY)
 
 
-def load_fact_daily_inventory(spark: SparkSession, config: EngineConfig) -> int:
-    feed = _feed(spark, f"{config.mart_dir}/fact_daily_inventory", schemas.MART["fact_daily_inventory"])
-    if feed is None:
-        return 0
-    rows = merge.daily_rows(feed, run_time(config))
-    return _load_fact(spark, config, "fact_daily_inventory", rows, merge.DAILY_KEY)
+def load_fact_daily_inventory(spark: SparkSession, config: EngineConfig, mart: Snapshot | None = None) -> int:
+    feed, count = _mart(spark, config, "fact_daily_inventory", mart)
+    return _load_fact(spark, config, "fact_daily_inventory", merge.daily_rows(feed, run_time(config)), count, merge.DAILY_KEY)
+
+
+def _mart(spark: SparkSession, config: EngineConfig, name: str, mart: Snapshot | None) -> tuple[DataFrame, int]:
+    """A version of a mart (the current one, if none is given) and its rows, which were counted while it was written."""
+    if mart is None:
+        mart = versions.current(spark, mart_path(config, name))
+    if not mart.number:
+        logger.warning("%s is absent, its load is skipped", mart.path)
+    return versions.read(spark, mart, schemas.MART[name]), mart.rows
 
 
 def _load_fact(
-    spark: SparkSession, config: EngineConfig, name: str, rows: DataFrame, keys: tuple[str, ...]
+    spark: SparkSession, config: EngineConfig, name: str, rows: DataFrame, count: int, keys: Sequence[str]
 ) -> int:
     """Merge mart rows (unique by key, as their gate has checked) into the partitions they touch."""
-    count = rows.count()
     if count:
-        target = touched_partitions(read_table(spark, config, name), rows, LAYOUTS[name].partition_by)
-        replace_rows(config, name, merge.merge_upsert(target, rows, keys))
+        base = versions.current(spark, table_path(config, name))
+        target = versions.read(spark, base, schemas.WAREHOUSE[name])
+        target = touched_partitions(target, rows, LAYOUTS[name].partition_by)
+        replace_rows(name, merge.merge_upsert(target, rows, keys), base)
     return count
 
 

@@ -80,7 +80,8 @@ WAREHOUSE = {
     "dim_product": (
         "product_sk BIGINT, product_id INT, product_code STRING, product_name STRING, category STRING,"
         " barcode STRING, weight DECIMAL(10,2), is_active BOOLEAN, effective_start_date TIMESTAMP_NTZ,"
-        " effective_end_date TIMESTAMP_NTZ, is_current BOOLEAN, created_at TIMESTAMP_NTZ, end_day DATE"
+        " effective_end_date TIMESTAMP_NTZ, is_current BOOLEAN, created_at TIMESTAMP_NTZ, row_digest BIGINT,"
+        " end_day DATE, product_bucket INT"
     ),
     "fact_inventory_movement": f"movement_id BIGINT, {_MOVEMENT}, ingestion_date TIMESTAMP_NTZ, ref_bucket BIGINT",
     "fact_daily_inventory": (
@@ -91,10 +92,12 @@ WAREHOUSE = {
         " recommended_reorder_qty INT, ingestion_date TIMESTAMP_NTZ"
     ),
     "etl_state": "pipeline_name STRING, last_success_date DATE, updated_at TIMESTAMP_NTZ",
-    # One row per event of a run (start, end); the audit view folds them to one row per run.
-    "etl_audit": (
-        "run_id BIGINT, pipeline_name STRING, run_status STRING, event_time TIMESTAMP_NTZ, is_closing BOOLEAN,"
-        " records_extracted BIGINT, records_loaded BIGINT, dq_checks_passed INT, dq_checks_failed INT,"
-        " error_message STRING"
+    # One row per event; views fold them to one row per run, per set of a run, or per watermark.
+    "etl_log": (
+        "event_id STRING, kind STRING, event_time TIMESTAMP_NTZ, run_id BIGINT, pipeline_name STRING,"
+        " run_status STRING, is_closing BOOLEAN, records_extracted BIGINT, records_loaded BIGINT,"
+        " dq_checks_passed INT, dq_checks_failed INT, error_message STRING,"
+        " set_name STRING, set_version BIGINT, set_rows BIGINT, verdict STRING,"
+        " last_success_date DATE, updated_at TIMESTAMP_NTZ"
     ),
 }

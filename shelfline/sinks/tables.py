@@ -1,4 +1,4 @@
-"""Parquet sinks: whole sets, and partitions of a table that the same plan reads."""
+"""Parquet sinks: whole sets, and what a change of a partitioned table has to read."""
 
 from __future__ import annotations
 
@@ -6,24 +6,23 @@ import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window, functions as F
 
-from shelfline.sources.files import path_exists, scan_set
+#: Ranges of partitions that the scan of a merge's target is pruned to.
+RANGES = 8
 
-_DECIDED = "_DECIDED_ROWS="
 
-
-def write_set(
+def write_observed(
     df: DataFrame,
     path: str,
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
+    measures: dict[str, Column] | None = None,
     mode: str = "overwrite",
-    partition_overwrite: str = "static",
-) -> int:
-    """Write a Parquet set and return its row count, observed while writing.
+) -> dict[str, int]:
+    """Write a Parquet set; returns its row count (`rows`) and further measures, observed while writing.
 
-    The count is taken in the last stage, where a task that runs again is counted once.
+    They are taken in the last stage, where a task that runs again is counted once.
 
     Partitioned sets are rebalanced first: rows of one partition meet in few tasks, while AQE splits a
     partition that is large and merges those that are small. Inside the files rows lie in key order, so
@@ -31,95 +30,74 @@ def write_set(
     """
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    counter = Observation()
-    df = df.observe(counter, F.count(F.lit(1)).alias("rows"))
+    observed = Observation()
+    named = [measure.alias(name) for name, measure in (measures or {}).items()]
+    df = df.observe(observed, F.count(F.lit(1)).alias("rows"), *named)
     order = [*partition_by, *cluster_by]
     if order:
         df = df.sortWithinPartitions(*order)
     writer = df.write.mode(mode)
     if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", partition_overwrite)
+        writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return counter.get["rows"]
+    return observed.get
 
 
-def touched_partitions(table: DataFrame, rows: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """The rows of a table that lie in the partitions which `rows` falls into.
-
-    The scan is pruned to the range of the last partition column that `rows` spans under each value of the outer
-    ones, which are few by the layout (three movement types, or none). A semi join on the distinct values does the rest.
-    """
-    *outer, last = partition_by
-    spans = rows.groupBy(*outer).agg(F.min(last).alias("_low"), F.max(last).alias("_high")).collect()
-    wanted = F.lit(False)
-    for span in spans:
-        inside = F.col(last).between(F.lit(span["_low"]), F.lit(span["_high"]))
-        wanted = wanted | reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(span[c])) for c in outer], inside)
-    return table.filter(wanted).join(rows.select(*partition_by).distinct(), list(partition_by), "left_semi")
+def write_set(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (), mode: str = "overwrite"
+) -> int:
+    """Write a Parquet set and return its row count."""
+    return write_observed(df, path, partition_by, cluster_by, mode=mode)["rows"]
 
 
-def replace_partitions(
-    rows: DataFrame, path: str, schema: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()
-) -> int:
-    """Replace the partitions that `rows` holds (or the whole table, if it has none), all or nothing.
+def touched_ranges(rows: DataFrame, partition_by: Sequence[str], most: int = RANGES) -> list[Row]:
+    """Ranges (_low, _high) of the last partition column that `rows` falls into, under each value of the outer ones.
 
-    The plan of `rows` may read the table itself, so its result is first written beside it, flat and
-    without a shuffle. A marker that names its row count then decides the change, and `finish_pending` completes
-    it even if the driver dies half-way through replacing. Until it has, readers may see a half-replaced table.
+    The distinct values form islands: they are split at their `most` - 1 widest gaps, so a late row makes a range of its
+    own instead of widening that of the others. Only distinct partition values meet in a window, and at most `most`
+    ranges for each outer value, which are few by the layout (three movement types, or none), reach the driver.
     """
-    spark = rows.sparkSession
-    if _decided(spark, path):
-        raise RuntimeError(f"{path} has an unfinished replacement: finish_pending first")
-    count = write_set(rows, _pending(path))
-    create_marker(spark, f"{_pending(path)}/{_DECIDED}{count}")
-    finish_pending(spark, path, schema, partition_by, cluster_by)
-    return count
+    *outer, last = partition_by
+    number = F.unix_date(last) if dict(rows.dtypes)[last] == "date" else F.col(last)
+    by_value = Window.partitionBy(*outer).orderBy(last)
+    by_gap = Window.partitionBy(*outer).orderBy(F.desc_nulls_last("_gap"), last)
+    values = rows.select(*partition_by).distinct().withColumn("_gap", number - F.lag(number).over(by_value))
+    starts = (F.row_number().over(by_gap) < most) & (F.col("_gap") > 1)
+    islands = values.withColumn("_starts", F.coalesce(starts.cast("int"), F.lit(0)))
+    islands = islands.withColumn("_island", F.sum("_starts").over(by_value))
+    return islands.groupBy(*outer, "_island").agg(F.min(last).alias("_low"), F.max(last).alias("_high")).collect()
 
 
-def finish_pending(
-    spark: SparkSession, path: str, schema: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()
-) -> bool:
-    """Roll forward a replacement that was decided but not fully put in place. Safe to repeat.
+def touched_partitions(table: DataFrame, rows: DataFrame, partition_by: Sequence[str], most: int = RANGES) -> DataFrame:
+    """The rows of a table that lie in the partitions which `rows` falls into.
 
-    The marker goes by itself before the copy does, so that a copy of which a part is gone never counts as decided.
+    The scan is pruned to the ranges of the touched values; a semi join on the distinct values does the rest, so the
+    result is the same however many ranges there are.
     """
-    marker = _decided(spark, path)
-    if marker is None:
-        return False
-    pending = _pending(path)
-    rows, expected = scan_set(spark, pending, schema), int(marker.rpartition("=")[2])
-    if (found := rows.count()) != expected:
-        raise RuntimeError(f"{pending} holds {found} of {expected} rows: not rolled forward")
-    write_set(rows, path, partition_by, cluster_by, partition_overwrite="dynamic")
-    remove_folder(spark, marker)
-    remove_folder(spark, pending)
-    return True
+    *outer, last = partition_by
+    wanted = F.lit(False)
+    for span in touched_ranges(rows, partition_by, most):
+        inside = F.col(last).between(F.lit(span["_low"]), F.lit(span["_high"]))
+        wanted = wanted | reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(span[c])) for c in outer], inside)
+    return table.filter(wanted).join(rows.select(*partition_by).distinct(), list(partition_by), "left_semi")
 
 
 def create_marker(spark: SparkSession, path: str) -> None:
     """An empty file: one step on any file system."""
-    fs, hadoop_path = _hadoop(spark, path)
-    fs.create(hadoop_path, True).close()
+    fs, file = hadoop_path(spark, path)
+    fs.create(file, True).close()
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder or file, if it is there."""
-    fs, hadoop_path = _hadoop(spark, path)
-    fs.delete(hadoop_path, True)
+    fs, folder = hadoop_path(spark, path)
+    fs.delete(folder, True)
 
 
-def _hadoop(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
-
-
-def _decided(spark: SparkSession, path: str) -> str | None:
-    """The marker of a decided replacement."""
-    if not path_exists(spark, _pending(path)):
-        return None
-    fs, folder = _hadoop(spark, _pending(path))
-    names = [str(f.getPath().getName()) for f in fs.listStatus(folder)]
-    return next((f"{_pending(path)}/{n}" for n in names if n.startswith(_DECIDED)), None)
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it takes it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -127,6 +105,3 @@ def shared_folder(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
-
-def _pending(path: str) -> str:
-    return f"{path}.pending"

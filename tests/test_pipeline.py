@@ -13,7 +13,7 @@ from shelfline.config import EngineConfig
 from shelfline.operators.quality import DataQualityError
 from shelfline.plans import pipeline, warehouse
 from shelfline.plans.concurrent import run_together
-from shelfline.sinks import tables as sink
+from shelfline.sinks import tables as sink, versions
 from shelfline.sources import sample
 
 SMALL = "/root/testdata/sf0.001"
@@ -43,7 +43,7 @@ def test_counts_and_audit(spark, source, loaded):
     assert sizes["dim_supplier"] == source["supplier"].count()
     moved = [source[n].count() for n in ("purchase_order_detail", "sales_transaction", "stock_adjustment")]
     assert sizes["fact_inventory_movement"] == sum(moved)
-    assert total == sum(sizes[n] for n in sizes if n != "etl_state")
+    assert total == sum(sizes.values())
     run = warehouse.read_audit(spark, config).collect()
     assert len(run) == 1
     assert run[0]["run_id"] > 0 and (run[0]["run_status"], run[0]["records_loaded"]) == ("SUCCESS", total)
@@ -108,8 +108,9 @@ def test_a_failed_gate_stops_the_run_and_keeps_the_warehouse(spark, source, tmp_
     doubled = {**source, "sales_transaction": source["sales_transaction"].unionAll(source["sales_transaction"])}
     with pytest.raises(DataQualityError, match="fact_inventory_movement"):
         pipeline.run_pipeline(spark, doubled, config)
-    assert not sink.path_exists(spark, f"{config.mart_dir}/fact_inventory_movement")
-    assert sink.path_exists(spark, f"{config.mart_dir}/reorder_recommendations")
+    marts = {n: versions.current(spark, warehouse.mart_path(config, n)).number for n in warehouse.MART_LAYOUTS}
+    assert marts == {"fact_daily_inventory": 1, "fact_inventory_movement": 0, "reorder_recommendations": 1}
+    assert not list((tmp_path / "mart" / "fact_inventory_movement").glob("_v=*"))
     assert warehouse.read_table(spark, config, "fact_daily_inventory").count() == 0
     run = warehouse.read_audit(spark, config).first()
     assert (run["run_status"], run["dq_checks_passed"], run["dq_checks_failed"]) == ("FAILED", 2, 1)
@@ -127,7 +128,7 @@ def test_a_failed_load_is_audited(spark, source, tmp_path, monkeypatch):
     with pytest.raises(RuntimeError):
         pipeline.run_pipeline(spark, source, config)
     assert [r["run_status"] for r in warehouse.read_audit(spark, config).collect()] == ["FAILED"]
-    assert not sink.path_exists(spark, warehouse.table_path(config, "etl_state"))
+    assert warehouse.read_table(spark, config, "etl_state").count() == 0
 
 
 def test_missing_inputs(spark, tmp_path):
@@ -162,49 +163,6 @@ def test_watermark_defaults_to_thirty_days_before_the_run(spark, tmp_path):
     assert warehouse.read_table(spark, config, "etl_state").count() == 1
 
 
-SCHEMA = "d DATE, k INT, v INT"
-
-
-@pytest.mark.parametrize("partition_by", [["d"], []])
-@pytest.mark.parametrize("dies", ["undecided", "decided", "publishing", "marker gone", "deleting"])
-def test_a_replacement_survives_a_crash_at_every_step(spark, tmp_path, partition_by, dies):
-    path = str(tmp_path / "t")
-    old = spark.createDataFrame([(date(2026, 1, 1), 1, 1), (date(2026, 1, 2), 2, 1)], SCHEMA)
-    new = spark.createDataFrame([(date(2026, 1, 2), k, 2) for k in range(100)], SCHEMA).repartition(4)
-    before = [(1, 1), (2, 1)]
-    after = ([(1, 1)] if partition_by else []) + [(k, 2) for k in range(100)]
-    sink.replace_partitions(old, path, SCHEMA, partition_by, ["k"])
-    sink.write_set(new, f"{path}.pending")
-    marker = tmp_path / "t.pending" / "_DECIDED_ROWS=100"
-    if dies in ("decided", "publishing"):
-        marker.touch()
-    if dies in ("publishing", "marker gone", "deleting"):
-        sink.write_set(spark.read.schema(SCHEMA).parquet(f"{path}.pending"), path, partition_by, ["k"], partition_overwrite="dynamic")
-    if dies == "deleting":
-        next((tmp_path / "t.pending").glob("*.parquet")).unlink()
-    assert sink.finish_pending(spark, path, SCHEMA, partition_by, ["k"]) == (dies in ("decided", "publishing"))
-    read = spark.read.schema(SCHEMA).parquet(path)
-    assert sorted((r["k"], r["v"]) for r in read.collect()) == sorted(before if dies == "undecided" else after)
-    # The next replacement goes through, whatever the last one left behind.
-    rows = 2 if dies == "undecided" else len(after)
-    assert sink.replace_partitions(read.withColumn("v", F.lit(7)), path, SCHEMA, partition_by, ["k"]) == rows
-    assert not (tmp_path / "t.pending").exists()
-
-
-def test_a_decided_copy_that_lacks_rows_is_not_rolled_forward(spark, tmp_path):
-    path = str(tmp_path / "t")
-    rows = spark.createDataFrame([(date(2026, 1, 2), k, 2) for k in range(100)], SCHEMA).repartition(4)
-    sink.replace_partitions(rows, path, SCHEMA)
-    sink.write_set(rows, f"{path}.pending")
-    (tmp_path / "t.pending" / "_DECIDED_ROWS=100").touch()
-    with pytest.raises(RuntimeError, match="unfinished"):
-        sink.replace_partitions(rows, path, SCHEMA)
-    next((tmp_path / "t.pending").glob("*.parquet")).unlink()
-    with pytest.raises(RuntimeError, match="of 100 rows"):
-        sink.finish_pending(spark, path, SCHEMA)
-    assert spark.read.schema(SCHEMA).parquet(path).count() == 100
-
-
 @pytest.mark.parametrize("name", ["suppliers", "products"])
 def test_a_null_key_stops_a_dimension_load(spark, source, tmp_path, name):
     config = EngineConfig.under(str(tmp_path), FIRST)
@@ -239,9 +197,9 @@ def test_a_run_that_fails_early_closes_no_other_run(spark, source, tmp_path, mon
     other = warehouse.log_audit_start(spark, config)
 
     def broken(*_):
-        raise RuntimeError("no recovery")
+        raise RuntimeError("no log")
 
-    monkeypatch.setattr(warehouse, "recover", broken)
+    monkeypatch.setattr(warehouse, "log_audit_start", broken)
     with pytest.raises(RuntimeError):
         pipeline.run_pipeline(spark, source, config)
     assert [(r["run_id"], r["run_status"]) for r in warehouse.read_audit(spark, config).collect()] == [(other, "RUNNING")]
@@ -253,19 +211,6 @@ def test_runs_that_start_together_have_ids_of_their_own(spark, tmp_path):
     assert len(set(ids.values())) == 4 == warehouse.read_audit(spark, config).count()
 
 
-def test_an_incomplete_pending_write_is_ignored(spark, tmp_path):
-    path, schema = str(tmp_path / "t"), "k INT, v INT"
-    sink.replace_partitions(spark.createDataFrame([(1, 1)], schema), path, schema)
-    spark.createDataFrame([(1, 9)], schema).write.option(
-        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
-    ).parquet(f"{path}.pending")
-    assert not sink.finish_pending(spark, path, schema)
-    assert spark.read.schema(schema).parquet(path).first()["v"] == 1
-    current = spark.read.schema(schema).parquet(path)
-    assert sink.replace_partitions(current.withColumn("v", F.col("v") + 1), path, schema) == 1
-    assert spark.read.schema(schema).parquet(path).first()["v"] == 2
-
-
 def test_shared_folder_lies_below_the_cluster_setting(spark):
     folder = sink.shared_folder(spark)
     assert folder.startswith(spark.conf.get("spark.checkpoint.dir"))
@@ -279,3 +224,140 @@ def test_ending_an_unknown_run_changes_nothing(spark, tmp_path):
     assert [(r["run_id"], r["run_status"]) for r in warehouse.read_audit(spark, config).collect()] == [(run, "RUNNING")]
     assert warehouse.find_running_run(spark, config)["run_id"] == run
     assert warehouse.log_audit_start(spark, config) > run
+
+
+# Which run made this set --------------------------------------------------------------------------------
+
+
+def doubled(source):
+    return {**source, "sales_transaction": source["sales_transaction"].unionAll(source["sales_transaction"])}
+
+
+def test_a_load_alone_refuses_the_marts_of_another_run(spark, source, tmp_path):
+    """A good run, then one that its gate stops: a load by itself must not take what the good one left."""
+    pipeline.run_pipeline(spark, source, EngineConfig.under(str(tmp_path), FIRST))
+    config = EngineConfig.under(str(tmp_path), SECOND)
+    with pytest.raises(DataQualityError):
+        pipeline.run_pipeline(spark, doubled(source), config)
+    before = {n: versions.current(spark, warehouse.table_path(config, n)).number for n in warehouse.LAYOUTS}
+    with pytest.raises(warehouse.UncheckedMartError, match="no run is open"):
+        pipeline.run_load(spark, config)
+    assert warehouse.get_last_success_date(spark, config) == date(2024, 1, 20)
+    assert before == {n: versions.current(spark, warehouse.table_path(config, n)).number for n in warehouse.LAYOUTS}
+
+
+def test_stages_as_separate_jobs(spark, source, tmp_path):
+    config = EngineConfig.under(str(tmp_path), FIRST)
+    extracted = pipeline.run_extract(spark, source, config)
+    run = warehouse.find_running_run(spark, config)["run_id"]
+    with pytest.raises(warehouse.UncheckedMartError, match="has not checked"):
+        pipeline.run_load(spark, config)
+    # That closed the run; another one goes through all stages.
+    assert [r["run_status"] for r in warehouse.read_audit(spark, config).collect()] == ["FAILED"]
+    pipeline.run_extract(spark, source, config)
+    staged = pipeline.run_transform(spark, config)
+    reports = pipeline.run_quality_check(spark, config)
+    second = warehouse.find_running_run(spark, config)["run_id"]
+    assert second != run
+    manifest = warehouse.sets_of_run(spark, config, second)
+    assert {n: (r["set_rows"], r["verdict"]) for n, r in manifest.items()} == {
+        **{f"raw/{n}": (rows, "extracted") for n, rows in extracted.items()},
+        "staging/reorder_recommendation": (staged, "transformed"),
+        **{f"mart/{n}": (report["row_count"], "passed") for n, report in reports.items()},
+    }
+    assert {r["set_version"] for n, r in manifest.items() if n.startswith("mart/")} == {1}
+    assert pipeline.run_load(spark, config) > 0
+    with pytest.raises(warehouse.UncheckedMartError, match="no run is open"):
+        pipeline.run_load(spark, config)
+
+
+def test_a_stage_that_failed_its_gate_is_not_loaded(spark, source, tmp_path):
+    config = EngineConfig.under(str(tmp_path), FIRST)
+    pipeline.run_extract(spark, doubled(source), config)
+    pipeline.run_transform(spark, config)
+    with pytest.raises(DataQualityError):
+        pipeline.run_quality_check(spark, config)
+    with pytest.raises(warehouse.UncheckedMartError, match="has failed fact_inventory_movement"):
+        pipeline.run_load(spark, config)
+    assert warehouse.read_table(spark, config, "etl_state").count() == 0
+
+
+def test_a_load_takes_the_versions_that_its_run_checked(spark, source, tmp_path):
+    """Another run publishes other marts between check and load."""
+    config = EngineConfig.under(str(tmp_path), FIRST)
+    pipeline.run_extract(spark, source, config)
+    pipeline.run_transform(spark, config)
+    run = warehouse.find_running_run(spark, config)["run_id"]
+    reports = pipeline.run_quality_check(spark, config)
+    empty = warehouse.read_mart(spark, config, "fact_daily_inventory").limit(0)
+    base = versions.current(spark, warehouse.mart_path(config, "fact_daily_inventory"))
+    versions.replace_partitions(empty, base, ["inventory_date"], whole=True)
+    assert warehouse.read_mart(spark, config, "fact_daily_inventory").count() == 0
+    pipeline.run_load(spark, config, run)
+    assert warehouse.read_table(spark, config, "fact_daily_inventory").count() == reports["fact_daily_inventory"]["row_count"]
+
+
+def test_marts_are_computed_once(spark, source, tmp_path):
+    """Rows pass an accumulator as often as they are computed."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    config = EngineConfig.under(str(tmp_path), FIRST)
+    pipeline.run_extract(spark, source, config)
+    pipeline.run_transform(spark, config)
+    advice = pipeline._advice(spark, config)
+    counted = advice.mapInPandas(run, advice.schema)
+    rows, passed, counts = pipeline.write_checked(spark, config, "fact_daily_inventory", counted, pipeline.quality.DAILY_RULES)
+    assert passed and seen.value == counts["row_count"] == rows.count() > 0
+    _, expected = pipeline.quality.check_mart(advice, pipeline.quality.DAILY_RULES)
+    assert counts == expected
+
+
+@pytest.mark.parametrize("fault", ["null", "duplicate"])
+def test_a_mart_that_fails_leaves_the_last_one(spark, source, tmp_path, fault):
+    config = EngineConfig.under(str(tmp_path), FIRST)
+    pipeline.run_extract(spark, source, config)
+    pipeline.run_transform(spark, config)
+    rows, passed, _ = pipeline.generate_daily_inventory_fact(spark, config)
+    good = rows.count()
+    broken = rows.withColumn("stock_awal", F.lit(None).cast("bigint")) if fault == "null" else rows.unionAll(rows)
+    _, passed, counts = pipeline.write_checked(spark, config, "fact_daily_inventory", broken, pipeline.quality.DAILY_RULES)
+    _, expected = pipeline.quality.check_mart(broken, pipeline.quality.DAILY_RULES)
+    assert not passed and counts == expected
+    assert warehouse.read_mart(spark, config, "fact_daily_inventory").count() == good
+    # A mart without a gate is published whatever is found.
+    _, passed, counts = pipeline.write_checked(
+        spark, config, "reorder_recommendations", broken, pipeline.quality.REORDER_RULES, gated=False
+    )
+    assert passed and warehouse.read_mart(spark, config, "reorder_recommendations").count() == counts["row_count"]
+
+
+# Product history in buckets -----------------------------------------------------------------------------
+
+
+def test_a_load_of_few_changed_products_writes_few_buckets(spark, source, tmp_path):
+    config = EngineConfig.under(str(tmp_path), FIRST)
+    products = source["product"]
+
+    def load(config, feed):
+        sink.write_set(pipeline.conform(feed, schemas.RAW["products"]), f"{config.raw_dir}/products")
+        return warehouse.load_products_scd2(spark, config)
+
+    total = load(config, products)
+    path = warehouse.table_path(config, "dim_product")
+    before = versions.current(spark, path)
+    changed = products.withColumn("name", F.when(F.col("product_id").between(1, 10), F.lit("New")).otherwise(F.col("name")))
+    later = EngineConfig.under(str(tmp_path), SECOND)
+    assert load(later, changed) == 10 < total
+    after = versions.current(spark, path)
+    rewritten = {p for p, v in after.parts.items() if before.parts.get(p) not in (None, v)}
+    assert 1 <= len(rewritten) <= 10 < len(before.parts) and all(p.startswith("end_day=9999-12-31/") for p in rewritten)
+    files = list((tmp_path / "warehouse" / "dim_product").glob(f"{after.parts[next(iter(rewritten))]}/end_day=*/product_bucket=*"))
+    assert len(files) == len(rewritten) + len(set(after.parts) - set(before.parts))
+    dimension = warehouse.read_table(spark, later, "dim_product")
+    assert (dimension.filter("is_current").count(), dimension.count()) == (total, total + 10)
+    assert load(later, changed) == 0 and versions.current(spark, path) == after

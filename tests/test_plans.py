@@ -5,13 +5,14 @@ from __future__ import annotations
 import re
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from registered.queries import QUERIES
 from shelfline import schemas
 from shelfline.operators import merge
 from shelfline.operators.movements import outbound
-from shelfline.sinks.tables import touched_partitions, write_set
+from shelfline.sinks.tables import touched_partitions, touched_ranges, write_set
 from shelfline.sources.feeds import incremental_purchases
 from tests.conftest import SF_DIR
 
@@ -88,6 +89,39 @@ def test_pruning_has_one_form_at_every_size(spark, tmp_path):
         assert "SemiJoin" in plan(touched) or "LeftSemi" in plan(touched) or not count
 
 
+def test_a_late_row_makes_a_range_of_its_own(spark, tmp_path):
+    """Today's references and one of three years ago: only their buckets are read, not what lies between."""
+    path = str(tmp_path / "t")
+    rows = spark.range(0, 1000).select((F.col("id") % 2).alias("kind"), F.floor(F.col("id") / 2).alias("p"), F.col("id").alias("k"))
+    rows.write.partitionBy("kind", "p").parquet(path)
+    table = spark.read.schema("k BIGINT, kind BIGINT, p BIGINT").parquet(path)
+    feed = spark.createDataFrame([(0, 3), (0, 496), (0, 498), (0, 499), (1, 499)], "kind BIGINT, p BIGINT")
+    spans = sorted((r["kind"], r["_low"], r["_high"]) for r in touched_ranges(feed, ["kind", "p"], 3))
+    assert spans == [(0, 3, 3), (0, 496, 496), (0, 498, 499), (1, 499, 499)]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        touched = touched_partitions(table, feed, ["kind", "p"], 3)
+        assert sorted(r["k"] for r in touched.collect()) == [6, 992, 996, 998, 999]
+        leaves = touched._jdf.queryExecution().executedPlan().collectLeaves()
+        scans = [leaves.apply(i) for i in range(leaves.size()) if "FileScan" in leaves.apply(i).toString()]
+        assert [s.metrics().get("numFiles").get().value() for s in scans] == [5]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+@pytest.mark.parametrize("most", [1, 2, 3, 100])
+def test_the_number_of_ranges_does_not_change_the_rows(spark, tmp_path, most):
+    path = str(tmp_path / "t")
+    days = [date(2026, 1, d) for d in (1, 2, 5, 9, 20, 31)]
+    spark.createDataFrame([(d, i) for i, d in enumerate(days)], "d DATE, k INT").write.partitionBy("d").parquet(path)
+    table = spark.read.schema("k INT, d DATE").parquet(path)
+    feed = spark.createDataFrame([(days[0],), (days[1],), (days[3],), (days[5],), (date(2027, 1, 1),)], "d DATE")
+    assert len(touched_ranges(feed, ["d"], most)) == min(most, 4)
+    assert sorted(r["k"] for r in touched_partitions(table, feed, ["d"], most).collect()) == [0, 1, 3, 5]
+    assert touched_ranges(feed.limit(0), ["d"], most) == []
+    assert touched_partitions(table, feed.limit(0), ["d"], most).count() == 0
+
+
 def test_an_upsert_evaluates_each_side_once(spark, tmp_path):
     feed, target = (spark.range(50).select("id", F.rand(s).alias("v")) for s in (1, 2))
     text = plan(merge.merge_upsert(target, feed, ["id"]))
