@@ -362,6 +362,45 @@ ORACLES: dict[str, str] = {
                (SELECT count(*) FROM part) + (SELECT count(*) FROM supplier) + (SELECT count(*) FROM feed)
                  + (SELECT count(*) FROM feed WHERE kind = 'out') AS records_extracted,
                CAST(0 AS BIGINT) AS records_loaded, CAST(0 AS BIGINT) AS daily_rows, CAST(0 AS BIGINT) AS movement_rows""",
+    "pipeline_end_to_end_stale": f"""
+        WITH {_DENSE}
+        SELECT DATE '2024-01-20' AS last_success_date, 'DataQualityError,UncheckedMartError' AS refused,
+               CAST(1 AS BIGINT) AS runs_success, CAST(1 AS BIGINT) AS runs_failed, CAST(0 AS BIGINT) AS runs_running,
+               (SELECT count(*) FROM ledger) AS daily_rows, (SELECT count(*) FROM feed WHERE kind <> 'log') AS movement_rows""",
+    "pipeline_manifest": f"""
+        WITH {_chain(_DENSE_FEED, since="2024-01-20")},
+        raw (name, kind) AS (VALUES ('sales', 'out'), ('purchases', 'in'), ('adjustments', 'adj'), ('stock_daily', 'log'))
+        SELECT 'raw/' || name AS set_name, CAST(NULL AS BIGINT) AS set_version,
+               (SELECT count(*) FROM feed WHERE feed.kind = raw.kind) AS set_rows, 'extracted' AS verdict FROM raw
+        UNION ALL SELECT 'raw/products', NULL, count(*), 'extracted' FROM part
+        UNION ALL SELECT 'raw/suppliers', NULL, count(*), 'extracted' FROM supplier
+        UNION ALL SELECT 'staging/reorder_recommendation', NULL, count(*), 'transformed' FROM advised
+        UNION ALL SELECT 'mart/fact_daily_inventory', 2, count(*), 'passed' FROM advised
+        UNION ALL SELECT 'mart/reorder_recommendations', 2, count(*), 'passed' FROM advised WHERE reorder_alert
+        UNION ALL SELECT 'mart/fact_inventory_movement', 2, count(*), 'passed' FROM feed WHERE kind <> 'log'""",
+    "snapshot_isolation": f"""
+        WITH {_MOVED},
+        versions AS (
+          SELECT 1 AS version, movement_date, quantity FROM moved
+          UNION ALL SELECT 2, movement_date, CASE WHEN movement_date >= DATE '2024-01-20' THEN quantity * 10 ELSE quantity END FROM moved
+          UNION ALL
+          SELECT 3, movement_date, CASE WHEN movement_date >= DATE '2024-01-20' THEN quantity * 10
+                                        WHEN movement_date < DATE '2024-01-15' THEN 1 ELSE quantity END FROM moved)
+        SELECT version, movement_date, count(*) AS movements, CAST(sum(quantity) AS BIGINT) AS units
+        FROM versions GROUP BY version, movement_date""",
+    "audit_log_folded": f"WITH {_RUNS} SELECT * FROM runs",
+    "watermark_fold": """
+        SELECT 'user-' || user_id AS pipeline_name, CAST(CAST(ts AS DATE) - 1 AS DATE) AS last_success_date, ts AS updated_at
+        FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC) = 1""",
+    "late_movements": f"""
+        WITH {_MOVED}, marked AS (
+          SELECT *, movement_date >= DATE '2024-01-20' OR source_reference_id % 997 = 0 AS late FROM moved)
+        SELECT source_reference_id * 4 + CASE movement_type WHEN 'INBOUND' THEN 0 WHEN 'OUTBOUND' THEN 1 ELSE 2 END
+                 AS movement_id,
+               movement_date, product_id, supplier_id, movement_type,
+               CASE WHEN late THEN quantity + 1 ELSE quantity END AS quantity, unit_price, total_amount, source_reference_id,
+               CASE WHEN late THEN {_TY} ELSE {_TX} END AS ingestion_date, source_reference_id // 1024 AS ref_bucket
+        FROM marked""",
 }
 
 # Money and rates are compared as doubles, as the registered queries show them.
@@ -369,7 +408,13 @@ _DECIMALS = {
     ("scan_products", "product_scd2"): ["weight"],
     ("incremental_sales",): ["unit_price", "discount", "total_amount"],
     ("incremental_purchases",): ["unit_price"],
-    ("movement_fact", "movement_with_missing_feed", "movement_upsert", "pipeline_end_to_end_movements"): ["unit_price", "total_amount"],
+    (
+        "movement_fact",
+        "movement_with_missing_feed",
+        "movement_upsert",
+        "late_movements",
+        "pipeline_end_to_end_movements",
+    ): ["unit_price", "total_amount"],
     ("daily_inventory_fact", "daily_fact_upsert", "two_daily_runs"): [
         "daily_sales_velocity",
         "days_of_inventory",

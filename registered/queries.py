@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from shelfline import schemas
 from shelfline.config import EngineConfig
 from shelfline.functions.times import wall_clock
 from shelfline.operators import control, ledger, merge, metrics, movements, quality, reorder, scd2
-from shelfline.plans import pipeline, warehouse
+from shelfline.plans import control_log, pipeline, warehouse
+from shelfline.sinks import versions
 from shelfline.sinks.tables import shared_folder, write_set
 from shelfline.sources import feeds, sample
 from shelfline.sources.files import conform, scan_or_empty, scan_set
@@ -369,6 +371,125 @@ def pipeline_end_to_end_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run
 
 
+def pipeline_end_to_end_stale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After a good run, one that its gate stops, and then a load alone: what the warehouse and its runs look like."""
+    tables = sample.with_dimensions(spark, sf_dir, sample.dense(spark, sf_dir))
+    sales = tables["sales_transaction"]
+    folder = shared_folder(spark)
+    first, second = (EngineConfig.under(folder, moment) for moment in (FIRST_RUN, SECOND_RUN))
+    pipeline.run_pipeline(spark, tables, first)
+    refused = []
+    for attempt in (
+        lambda: pipeline.run_pipeline(spark, {**tables, "sales_transaction": sales.unionAll(sales)}, second),
+        lambda: pipeline.run_load(spark, second),
+    ):
+        try:
+            attempt()
+        except (quality.DataQualityError, warehouse.UncheckedMartError) as error:
+            refused.append(type(error).__name__)
+    result = warehouse.read_table(spark, second, "etl_state").select("last_success_date").withColumn("refused", F.lit(",".join(refused)))
+    runs = warehouse.read_audit(spark, second).groupBy().agg(
+        *[F.count_if(F.col("run_status") == status).alias(f"runs_{status.lower()}") for status in ("SUCCESS", "FAILED", "RUNNING")]
+    )
+    facts = {"daily_rows": "fact_daily_inventory", "movement_rows": "fact_inventory_movement"}
+    for column, name in facts.items():
+        runs = runs.crossJoin(warehouse.read_table(spark, second, name).agg(F.count(F.lit(1)).alias(column)))
+    return result.crossJoin(runs)
+
+
+def pipeline_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the second of two runs recorded of its sets: version, rows and verdict."""
+    config = _stored_runs(spark, sf_dir, FIRST_RUN, SECOND_RUN)
+    latest = warehouse.read_audit(spark, config).agg(F.max("run_id").alias("run_id"))
+    return warehouse.read_manifest(spark, config).join(latest, "run_id", "left_semi").drop("run_id")
+
+
+# Versions, log, late rows -------------------------------------------------------------------------------
+
+
+def snapshot_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Movements per version: a reader that opened the first keeps it while the newest days are replaced and one is lost.
+
+    Of two changes that start from the second version, the one published later leaves nothing.
+    """
+    path = f"{shared_folder(spark)}/movements"
+    moved = _movements(sample.dense(spark, sf_dir)).drop("unit_price", "total_amount")
+    schema = moved.schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")
+    by_day = (["movement_date"], ["product_id"])
+    first = versions.replace_partitions(moved, versions.current(spark, path), *by_day)
+    newest = moved.filter(F.col("movement_date") >= F.lit(CHANGE_DAY)).withColumn("quantity", F.col("quantity") * 10)
+    second = versions.replace_partitions(newest, first, *by_day)
+    early = moved.filter(F.col("movement_date") < F.lit(WATERMARK)).withColumn("quantity", F.lit(0))
+    won, lost = (versions.write_candidate(early.withColumn("quantity", F.lit(n)), second, *by_day) for n in (1, 2))
+    versions.publish(spark, won)
+    try:
+        versions.publish(spark, lost)
+    except versions.VersionConflict:
+        pass
+    shown = [
+        versions.read(spark, snapshot, schema).withColumn("version", F.lit(snapshot.number))
+        for snapshot in (first, second, versions.current(spark, path))
+    ]
+    return reduce(DataFrame.unionByName, shown).groupBy("version", "movement_date").agg(
+        F.count(F.lit(1)).alias("movements"), F.sum("quantity").alias("units")
+    )
+
+
+def _order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order runs as events of the control log."""
+    runs = _order_runs(spark, sf_dir)
+    named = runs.withColumns(
+        {
+            "event_id": F.concat_ws("-", F.col("run_id").cast("string"), F.col("is_closing").cast("string")),
+            "kind": F.lit(control.RUN),
+        }
+    )
+    return _as_events(named)
+
+
+def _as_events(events: DataFrame) -> DataFrame:
+    fields = StructType.fromDDL(schemas.WAREHOUSE["etl_log"])
+    return events.select(
+        *[(F.col(f.name) if f.name in events.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
+    )
+
+
+def audit_log_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of all order runs from a log that was folded four times, once with events that it held already."""
+    log = f"{shared_folder(spark)}/etl_log"
+    events = _order_events(spark, sf_dir)
+    part = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for more in (events.filter(part == 0), events.filter(part <= 1), events.filter(part == 2), None):
+        control_log.fold(spark, log, more)
+    return control.audit_log(control_log.events(spark, log))
+
+
+def watermark_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest watermark of every user, each event of theirs an advance, whatever the order of the log."""
+    events = sample.table(spark, sf_dir, "events")
+    advances = events.select(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.lit(control.WATERMARK).alias("kind"),
+        F.col("ts").cast("timestamp_ntz").alias("event_time"),
+        F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("pipeline_name"),
+        F.date_sub(F.col("ts").cast("date"), 1).alias("last_success_date"),
+        F.col("ts").cast("timestamp_ntz").alias("updated_at"),
+    )
+    return control.watermarks(control.folded(_as_events(advances)))
+
+
+def late_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Movements stored by bucket of their reference, then a feed of the newest ones and a few of long ago."""
+    folder = shared_folder(spark)
+    known = _movements(sample.dense(spark, sf_dir))
+    late = (F.col("movement_date") >= F.lit(CHANGE_DAY)) | (F.col("source_reference_id") % 997 == 0)
+    for moment, feed in ((FIRST_RUN, known), (SECOND_RUN, known.filter(late).withColumn("quantity", F.col("quantity") + 1))):
+        config = EngineConfig.under(folder, moment, movement_bucket_span=1024)
+        versions.replace_partitions(feed, versions.current(spark, warehouse.mart_path(config, "fact_inventory_movement")))
+        warehouse.load_fact_inventory_movement(spark, config)
+    return warehouse.read_table(spark, config, "fact_inventory_movement")
+
+
 def _shown(query: Query) -> Query:
     """Decimals as doubles: exact here (two places, far below 2^53), and a type that every client has."""
 
@@ -429,5 +550,11 @@ QUERIES: dict[str, Query] = {
         pipeline_end_to_end_audit,
         pipeline_end_to_end_reorder_mart,
         pipeline_end_to_end_gated,
+        pipeline_end_to_end_stale,
+        pipeline_manifest,
+        snapshot_isolation,
+        audit_log_folded,
+        watermark_fold,
+        late_movements,
     )
 }

@@ -42,7 +42,7 @@ def append(spark: SparkSession, log: str, kind: str, **fields: str | int | bool
 
 
 def events(spark: SparkSession, log: str) -> DataFrame:
-    """The folded events of the latest snapshot and all that came after it."""
+    """The folded events of the latest snapshot and those of the last epochs; an event may be among both."""
     snapshot = versions.current(spark, log)
     found = versions.read(spark, snapshot, _SCHEMA)
     recent = [f for e in (snapshot.number - 1, snapshot.number) if path_exists(spark, f := _folder(log, e))]

@@ -1,0 +1,169 @@
+"""The control log: concurrent writers, late events, folding, and how much a reader opens."""
+
+from __future__ import annotations
+
+import json
+from concurrent.futures import ThreadPoolExecutor
+from datetime import UTC, date, datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from shelfline import schemas
+from shelfline.config import EngineConfig
+from shelfline.operators import control
+from shelfline.plans import control_log, warehouse
+from shelfline.sinks import versions
+
+AS_OF = datetime(2026, 6, 2, 6)
+SCHEMA = schemas.WAREHOUSE["etl_log"]
+
+
+def marks(spark, log) -> dict:
+    return {r["pipeline_name"]: r["last_success_date"] for r in control.watermarks(control_log.events(spark, log)).collect()}
+
+
+def advance(spark, log, name, day):
+    control_log.append(spark, log, control.WATERMARK, pipeline_name=name, last_success_date=day, updated_at=AS_OF)
+
+
+def test_an_empty_log(spark, tmp_path):
+    log = str(tmp_path / "log")
+    assert control_log.events(spark, log).count() == 0 and marks(spark, log) == {}
+    assert not control_log.fold_if_long(spark, log)
+    control_log.remove_folded(spark, log)
+    assert control_log.fold(spark, log) and control_log.events(spark, log).count() == 0
+
+
+def test_what_is_appended_comes_back(spark, tmp_path):
+    log = str(tmp_path / "log")
+    fields = dict(
+        run_id=(1 << 62) + 1, pipeline_name='a "quoted" näme\n', run_status="FAILED", is_closing=True, records_extracted=1,
+        records_loaded=0, dq_checks_passed=2, dq_checks_failed=1, error_message=None, set_name="raw/x", set_version=3, set_rows=4,
+        verdict="passed", last_success_date=date(2026, 6, 1), updated_at=datetime(2026, 6, 2, 3, 4, 5, 678901),
+    )
+    control_log.append(spark, log, control.RUN, **fields)
+    for _ in range(2):
+        (row,) = control_log.events(spark, log).distinct().collect()
+        assert {k: row[k] for k in fields} == fields and row["kind"] == control.RUN
+        assert abs(row["event_time"] - datetime.now(UTC).replace(tzinfo=None)) < timedelta(minutes=5)
+        control_log.fold(spark, log)
+
+
+def test_two_pipelines_at_once_lose_nothing(spark, tmp_path):
+    """Each advances its own watermark and keeps its runs while the log is folded between and during the events."""
+    log = str(tmp_path / "log")
+
+    def work(name):
+        for n in range(12):
+            advance(spark, log, name, date(2026, 1, 1) + timedelta(days=n))
+            control_log.append(spark, log, control.SET, run_id=n, set_name=name, set_rows=n, verdict="passed")
+            if n % 4 == 3:
+                control_log.fold(spark, log)
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(work, ["a", "b", "c"]))
+    assert marks(spark, log) == dict.fromkeys("abc", date(2026, 1, 12))
+    sets = {(r["run_id"], r["set_name"]): r["set_rows"] for r in control.manifest(control_log.events(spark, log)).collect()}
+    assert sets == {(n, name): n for n in range(12) for name in "abc"}
+
+
+def test_watermarks_of_two_configurations(spark, tmp_path):
+    one, two = (EngineConfig.under(str(tmp_path), AS_OF, pipeline_name=n) for n in ("one", "two"))
+    warehouse.update_last_success_date(spark, one, date(2026, 6, 1))
+    warehouse.update_last_success_date(spark, two, date(2026, 5, 1))
+    # The last word counts, also if it goes back.
+    warehouse.update_last_success_date(spark, one, date(2026, 4, 1))
+    assert warehouse.get_last_success_date(spark, one) == date(2026, 4, 1)
+    assert warehouse.get_last_success_date(spark, two) == date(2026, 5, 1)
+    assert {tuple(r) for r in warehouse.read_table(spark, one, "etl_state").collect()} == {
+        ("one", date(2026, 4, 1), AS_OF), ("two", date(2026, 5, 1), AS_OF),
+    }
+
+
+def late(tmp_path, epoch: int, name: str, day: date) -> None:
+    folder = tmp_path / "log" / "events" / f"e={epoch}"
+    folder.mkdir(parents=True, exist_ok=True)
+    event = {"event_id": name, "kind": "watermark", "event_time": "2026-06-02T06:00:00.000001", "pipeline_name": name}
+    (folder / f"{name}.json").write_text(json.dumps({**event, "last_success_date": day.isoformat()}))
+
+
+def test_an_event_that_came_too_late_for_a_snapshot(spark, tmp_path):
+    log = str(tmp_path / "log")
+    advance(spark, log, "a", date(2026, 1, 1))
+    control_log.fold(spark, log)
+    late(tmp_path, 0, "late", date(2026, 1, 2))  # its writer still saw epoch 0
+    for _ in range(3):
+        assert marks(spark, log) == {"a": date(2026, 1, 1), "late": date(2026, 1, 2)}
+        control_log.fold(spark, log)
+        control_log.remove_folded(spark, log)
+
+
+def test_a_writer_that_two_snapshots_overtook_appends_again(spark, tmp_path, monkeypatch):
+    log, write = str(tmp_path / "log"), control_log._write
+
+    def slow(*args):
+        write(*args)
+        monkeypatch.setattr(control_log, "_write", write)
+        (tmp_path / "log" / "events" / "e=0").rename(tmp_path / "aside")  # what it wrote is in no snapshot
+        assert control_log.fold(spark, log) and control_log.fold(spark, log)
+
+    monkeypatch.setattr(control_log, "_write", slow)
+    advance(spark, log, "a", date(2026, 1, 1))
+    assert marks(spark, log) == {"a": date(2026, 1, 1)}
+
+
+def test_of_two_folds_at_once_one_comes_through(spark, tmp_path, monkeypatch):
+    log, publish = str(tmp_path / "log"), versions.publish
+    advance(spark, log, "a", date(2026, 1, 1))
+
+    def overtaken(spark, candidate, whole):
+        monkeypatch.setattr(versions, "publish", publish)
+        assert control_log.fold(spark, log)
+        return publish(spark, candidate, whole)
+
+    monkeypatch.setattr(versions, "publish", overtaken)
+    assert not control_log.fold(spark, log)
+    assert marks(spark, log) == {"a": date(2026, 1, 1)} and versions.current(spark, log).number == 1
+
+
+def runs_of(spark, n) -> list:
+    events = spark.range(n).select(
+        F.concat(F.lit("e"), "id").alias("event_id"), F.lit(control.RUN).alias("kind"),
+        F.timestamp_seconds(F.lit(1_780_000_000) + F.col("id")).cast("timestamp_ntz").alias("event_time"),
+        F.floor(F.col("id") / 5).alias("run_id"), F.lit("p").alias("pipeline_name"),
+        F.when(F.col("id") % 5 == 4, "SUCCESS").otherwise("RUNNING").alias("run_status"), (F.col("id") % 5 == 4).alias("is_closing"),
+        F.col("id").alias("records_extracted"),
+    )
+    fields = StructType.fromDDL(SCHEMA)
+    return events.select(*[(F.col(f.name) if f.name in events.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_folding_leaves_the_views_as_they_are(spark, parts):
+    events = runs_of(spark, 1003)
+    expected = sorted(map(tuple, control.audit_log(events).collect()))
+    folded = control.folded(events)
+    if parts > 1:
+        pieces = [control.folded(events.filter(F.col("records_extracted") % parts == k)) for k in range(parts)]
+        folded = control.folded(pieces[0].unionByName(pieces[1]).unionByName(pieces[2]).unionByName(events))
+    assert folded.count() < events.count()
+    assert sorted(map(tuple, control.audit_log(folded).collect())) == expected
+
+
+def test_ten_thousand_events_read_a_bounded_number_of_files(spark, tmp_path):
+    log = str(tmp_path / "log")
+    control_log.fold(spark, log, runs_of(spark, 10_000))
+    for n in range(300):
+        late(tmp_path, control_log._epoch(spark, log), f"w{n}", date(2026, 1, 1))
+        if n % 150 == 149:
+            assert control_log.fold_if_long(spark, log)
+    control_log.fold(spark, log)
+    control_log.fold(spark, log)
+    events = control_log.events(spark, log)
+    assert len(events.inputFiles()) <= 2 * control_log.FOLD_AFTER
+    assert control.audit_log(events.filter("kind = 'run'")).count() == 2000 and len(marks(spark, log)) == 300
+    control_log.remove_folded(spark, log)
+    assert len(list((tmp_path / "log" / "events").glob("e=*"))) <= 4
+    assert len(marks(spark, log)) == 300
