@@ -30,7 +30,7 @@ class EngineConfig:
     # Movement references per warehouse partition: bounds what one upsert has to rewrite.
     movement_bucket_span: int = 1 << 24
     # Parts of the product dimension: a load writes those anew in which a product has changed.
-    product_buckets: int = 64
+    product_buckets: int = 16
 
     @classmethod
     def under(cls, base_dir: str, as_of: datetime, **settings) -> EngineConfig:

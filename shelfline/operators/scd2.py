@@ -32,7 +32,7 @@ DIMENSION_COLUMNS = [
     "product_bucket",
 ]
 #: Parts of the dimension, unless a load says otherwise.
-BUCKETS = 64
+BUCKETS = 16
 
 
 def is_open() -> Column:

@@ -98,13 +98,14 @@ def reorder_chain(
 
 def run_transform(spark: SparkSession, config: EngineConfig, run_id: int | None = None) -> int:
     """Store the reorder advice of all raw days; days read only as lookback are left out."""
-    run = warehouse.find_running_run(spark, config, run_id)
+    if run_id is None:
+        run_id = _id(warehouse.find_running_run(spark, config))
     raw = {n: warehouse.raw_set(spark, config, n) for n in ("stock_daily", "purchases", "sales", "adjustments")}
     advice = reorder_chain(**raw, config=config)
     if config.lookback_days:
         advice = advice.filter(F.col("inventory_date") >= F.lit(warehouse.get_last_success_date(spark, config)))
     count = write_set(advice, f"{config.staging_dir}/reorder_recommendation")
-    warehouse.log_set(spark, config, _id(run), "staging/reorder_recommendation", count, "transformed")
+    warehouse.log_set(spark, config, run_id, "staging/reorder_recommendation", count, "transformed")
     return count
 
 
@@ -212,7 +213,7 @@ def run_load(spark: SparkSession, config: EngineConfig, run_id: int | None = Non
     """
     run = warehouse.find_running_run(spark, config, run_id)
     try:
-        marts = warehouse.checked_marts(spark, config, run)
+        marts = warehouse.checked_marts(spark, config, _id(run))
         counts = run_together(
             spark,
             {

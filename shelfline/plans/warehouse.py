@@ -17,7 +17,7 @@ from shelfline.functions.times import wall_clock
 from shelfline.operators import control, merge, quality, scd2
 from shelfline.plans import control_log
 from shelfline.sinks import versions
-from shelfline.sinks.tables import touched_partitions, write_set
+from shelfline.sinks.tables import write_set
 from shelfline.sinks.versions import Snapshot
 from shelfline.sources.files import path_exists, scan_complete, scan_set
 
@@ -206,20 +206,21 @@ def find_running_run(spark: SparkSession, config: EngineConfig, run_id: int | No
 
 def sets_of_run(spark: SparkSession, config: EngineConfig, run_id: int) -> dict[str, Row]:
     """The manifest of a run: what it recorded for each of its sets."""
-    return {r["set_name"]: r for r in read_manifest(spark, config).filter(F.col("run_id") == run_id).collect()}
+    mine = control_events(spark, config).filter(F.col("run_id") == run_id)
+    return {r["set_name"]: r for r in control.manifest(mine).collect()}
 
 
-def checked_marts(spark: SparkSession, config: EngineConfig, run: Row | None) -> dict[str, Snapshot]:
+def checked_marts(spark: SparkSession, config: EngineConfig, run_id: int | None) -> dict[str, Snapshot]:
     """The versions of the marts that this run has built and passed; raises if there is one that it hasn't."""
-    if run is None:
+    if run_id is None:
         raise UncheckedMartError("no run is open: extract, transform and check first")
-    recorded = sets_of_run(spark, config, run["run_id"])
+    recorded = sets_of_run(spark, config, run_id)
     found = {}
     for name in MART_LAYOUTS:
         entry = recorded.get(f"mart/{name}")
         if entry is None or entry["verdict"] != "passed":
             reason = "has not checked" if entry is None else "has failed"
-            raise UncheckedMartError(f"run {run['run_id']} {reason} {name}: nothing is loaded")
+            raise UncheckedMartError(f"run {run_id} {reason} {name}: nothing is loaded")
         found[name] = versions.at(spark, mart_path(config, name), entry["set_version"])
     return found
 
@@ -316,8 +317,8 @@ def _load_fact(
     """Merge mart rows (unique by key, as their gate has checked) into the partitions they touch."""
     if count:
         base = versions.current(spark, table_path(config, name))
-        target = versions.read(spark, base, schemas.WAREHOUSE[name])
-        target = touched_partitions(target, rows, LAYOUTS[name].partition_by)
+        around = versions.touched(base, rows, LAYOUTS[name].partition_by)
+        target = versions.read(spark, around, schemas.WAREHOUSE[name])
         replace_rows(name, merge.merge_upsert(target, rows, keys), base)
     return count
 
