@@ -388,6 +388,7 @@ ORACLES: dict[str, str] = {
                                         WHEN movement_date < DATE '2024-01-15' THEN 1 ELSE quantity END FROM moved)
         SELECT version, movement_date, count(*) AS movements, CAST(sum(quantity) AS BIGINT) AS units
         FROM versions GROUP BY version, movement_date""",
+    "thirty_daily_runs": f"WITH {_DENSE} SELECT * FROM advised",
     "audit_log_folded": f"WITH {_RUNS} SELECT * FROM runs",
     "watermark_fold": """
         SELECT 'user-' || user_id AS pipeline_name, CAST(CAST(ts AS DATE) - 1 AS DATE) AS last_success_date, ts AS updated_at

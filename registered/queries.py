@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -490,6 +490,27 @@ def late_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.read_table(spark, config, "fact_inventory_movement")
 
 
+def thirty_daily_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Advice from a run per day of the sample that sees that day's feeds and the ledger rows carried to it, nothing else."""
+    folder = shared_folder(spark)
+    tables = sample.dense(spark, sf_dir)
+    figures = ledger.daily_figures(
+        tables["stock_daily"], tables["purchase_order_detail"], tables["sales_transaction"], tables["stock_adjustment"]
+    )
+    write_set(figures, f"{folder}/figures", ["inventory_date"])
+    figures = spark.read.parquet(f"{folder}/figures")
+    days = sorted(r[0] for r in figures.select("inventory_date").distinct().collect())
+    carried = spark.createDataFrame([], schemas.LEDGER)
+    schema = f"{schemas.STAGING['reorder_recommendation']}, is_carried BOOLEAN"
+    for day in days:
+        rows = ledger.continued_snapshot(figures.filter(F.col("inventory_date") == F.lit(day)), carried)
+        write_set(reorder.reorder_analysis(metrics.turnover_metrics(rows)), f"{folder}/advice/day={day}")
+        done = scan_set(spark, f"{folder}/advice/day={day}", schema)
+        carried = ledger.carried_over(done, day + timedelta(days=1), metrics.CARRIED_ROWS)
+    advice = scan_set(spark, f"{folder}/advice", schema) if days else spark.createDataFrame([], schema)
+    return advice.filter("NOT is_carried").select(*[c for c in advice.columns if c not in ("is_carried", "day")])
+
+
 def _shown(query: Query) -> Query:
     """Decimals as doubles: exact here (two places, far below 2^53), and a type that every client has."""
 
@@ -556,5 +577,6 @@ QUERIES: dict[str, Query] = {
         audit_log_folded,
         watermark_fold,
         late_movements,
+        thirty_daily_runs,
     )
 }

@@ -26,6 +26,8 @@ class EngineConfig:
     # Days read before the watermark so that opening stock and the rolling frames see history.
     # 0 gives the clipped history of a plain incremental run.
     lookback_days: int = 0
+    # Carry each product's last ledger rows from run to run: the same figures as with all history, without reading it.
+    carry_state: bool = False
     pipeline_name: str = DEFAULT_PIPELINE_NAME
     # Movement references per warehouse partition: bounds what one upsert has to rewrite.
     movement_bucket_span: int = 1 << 24
@@ -51,6 +53,10 @@ class EngineConfig:
             safety_stock_days=int(env.get("INVENTORY_SAFETY_STOCK_DAYS", DEFAULT_SAFETY_STOCK_DAYS)),
         )
 
+    def __post_init__(self) -> None:
+        if self.carry_state and self.lookback_days:
+            raise ValueError("carry_state and lookback_days are two ways to the same history: choose one")
+
     def read_since(self, watermark: date) -> date:
         return watermark - timedelta(days=self.lookback_days)
 

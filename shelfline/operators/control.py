@@ -89,10 +89,11 @@ _GROUP = ("kind", "run_id", "pipeline_name", "set_name", "is_closing")
 
 
 def watermarks(events: DataFrame) -> DataFrame:
-    """One row per pipeline: what its latest watermark event says."""
-    latest = F.max_by(F.struct("last_success_date", "updated_at"), F.struct("event_time", "event_id"))
+    """One row per pipeline: what its latest watermark event says, with the version of the ledger state that belongs to it."""
+    said = F.struct("last_success_date", "updated_at", F.col("set_version").alias("state_version"))
+    latest = F.max_by(said, F.struct("event_time", "event_id"))
     marks = events.filter(F.col("kind") == WATERMARK).groupBy("pipeline_name").agg(latest.alias("latest"))
-    return marks.select("pipeline_name", "latest.last_success_date", "latest.updated_at")
+    return marks.select("pipeline_name", "latest.*")
 
 
 def manifest(events: DataFrame) -> DataFrame:

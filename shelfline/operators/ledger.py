@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -76,27 +77,61 @@ def inventory_snapshot(
     stock is the reported stock of the row before, if that row is exactly one day older, so the stock log
     is read once.
     """
+    daily = daily_figures(stock_daily, purchases, sales, adjustments)
+    return (
+        daily.withColumn("stock_awal", _opening())
+        .withColumn("stock_akhir", closing_stock())
+        .withColumn("selisih", F.col("stock_aktual_system") - F.col("stock_akhir"))
+        .select(*LEDGER_COLUMNS)
+    )
+
+
+def continued_snapshot(daily: DataFrame, carried: DataFrame) -> DataFrame:
+    """The ledger of days that follow `carried`, and the carried rows themselves, told apart by `is_carried`.
+
+    `daily` holds the figures of the new days; `carried` holds ledger rows of earlier ones, whose opening and closing
+    stock stand as they are. What comes out is one row per product and day, in the timeline that windows need.
+    """
+    known = carried.select("product_id", "inventory_date", *_MEASURES, *[F.col(c).alias(f"_{c}") for c in ("stock_awal", "stock_akhir")])
+    rows = daily.select("product_id", "inventory_date", *_MEASURES).unionByName(known, allowMissingColumns=True)
+    old = F.col("_stock_akhir").isNotNull()
+    return (
+        rows.withColumn("stock_awal", F.when(old, F.col("_stock_awal")).otherwise(_opening()))
+        .withColumn("stock_akhir", F.when(old, F.col("_stock_akhir")).otherwise(closing_stock()))
+        .withColumn("selisih", F.col("stock_aktual_system") - F.col("stock_akhir"))
+        .select(*LEDGER_COLUMNS, old.alias("is_carried"))
+    )
+
+
+def carried_over(rows: DataFrame, before: date, most: int) -> DataFrame:
+    """What the windows of later days can see of a ledger: the last `most` rows of each product before a day."""
+    latest = Window.partitionBy("product_id").orderBy(F.desc("inventory_date"))
+    ranked = rows.filter(F.col("inventory_date") < F.lit(before)).withColumn("_latest", F.row_number().over(latest))
+    return ranked.filter(F.col("_latest") <= most).select(*LEDGER_COLUMNS)
+
+
+def daily_figures(
+    stock_daily: DataFrame, purchases: DataFrame, sales: DataFrame, adjustments: DataFrame
+) -> DataFrame:
+    """The four feeds summed per (product, day), for the pairs of the spine."""
     lanes = [
         _lane(stock_daily, "created_date", "stock_aktual_system", "onhand_quantity", on_spine=True),
         _lane(purchases, "received_date", "quantity_received", "received_quantity"),
         _lane(sales, "transaction_date", "quantity_sold", "quantity"),
         _lane(adjustments, "adjustment_date", "quantity_adjusted", "quantity"),
     ]
-    daily = (
+    return (
         reduce(DataFrame.unionByName, lanes)
         .groupBy("product_id", "inventory_date")
         .agg(*[F.sum(m).alias(m) for m in _MEASURES], F.max("_on_spine").alias("_on_spine"))
         .filter("_on_spine = 1")
     )
+
+
+def _opening() -> Column:
     timeline = product_timeline()
     day_before = F.lag("inventory_date").over(timeline) == F.date_sub("inventory_date", 1)
-    opening = F.when(day_before, F.lag("stock_aktual_system").over(timeline)).otherwise(F.lit(0))
-    return (
-        daily.withColumn("stock_awal", opening)
-        .withColumn("stock_akhir", closing_stock())
-        .withColumn("selisih", F.col("stock_aktual_system") - F.col("stock_akhir"))
-        .select(*LEDGER_COLUMNS)
-    )
+    return F.when(day_before, F.lag("stock_aktual_system").over(timeline)).otherwise(F.lit(0))
 
 
 def closing_stock() -> Column:

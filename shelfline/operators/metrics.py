@@ -14,6 +14,9 @@ FAST_BELOW_DAYS = 15
 SLOW_UP_TO_DAYS = 60
 DAYS_WITHOUT_SALES = 999.0
 
+#: Rows of a product that the longest frame reaches back: what a run has to know of the days before it.
+CARRIED_ROWS = STOCK_ROWS - 1
+
 METRIC_COLUMNS = [
     *LEDGER_COLUMNS,
     "daily_sales_velocity",
@@ -38,18 +41,14 @@ def moving_metrics(ledger: DataFrame) -> DataFrame:
 
 
 def turnover_metrics(ledger: DataFrame) -> DataFrame:
-    """Ledger plus velocity, days of inventory, turnover rate and speed class."""
-    return (
-        moving_metrics(ledger)
-        .withColumns(
-            {
-                "days_of_inventory": days_of_inventory(),
-                "inventory_turnover_rate": turnover_rate(),
-                "sales_speed_class": speed_class(),
-            }
-        )
-        .select(*METRIC_COLUMNS)
-    )
+    """Ledger plus velocity, days of inventory, turnover rate and speed class; further columns pass through."""
+    rated = {
+        "days_of_inventory": days_of_inventory(),
+        "inventory_turnover_rate": turnover_rate(),
+        "sales_speed_class": speed_class(),
+    }
+    flags = [c for c in ledger.columns if c not in LEDGER_COLUMNS]
+    return moving_metrics(ledger).withColumns(rated).select(*METRIC_COLUMNS, *flags)
 
 
 def days_of_inventory() -> Column:

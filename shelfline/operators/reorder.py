@@ -38,11 +38,12 @@ def reorder_analysis(
     lead_time_days: int = DEFAULT_LEAD_TIME_DAYS,
     safety_stock_days: int = DEFAULT_SAFETY_STOCK_DAYS,
 ) -> DataFrame:
-    """Metrics plus the reorder alert and the quantity to order.
+    """Metrics plus the reorder alert and the quantity to order; further columns pass through.
 
     The quantity fills up to the reorder point plus the safety stock, although the reorder point holds the
     safety stock already.
     """
+    flags = [c for c in metrics.columns if c not in ADVICE_COLUMNS]
     missing_units = F.col("reorder_point") - F.col("stock_akhir") + F.col("safety_stock")
     return (
         reorder_levels(metrics, lead_time_days, safety_stock_days)
@@ -50,5 +51,5 @@ def reorder_analysis(
         .withColumn(
             "recommended_reorder_qty", F.when(F.col("reorder_alert"), missing_units.cast("int")).otherwise(F.lit(0))
         )
-        .select(*ADVICE_COLUMNS)
+        .select(*ADVICE_COLUMNS, *flags)
     )

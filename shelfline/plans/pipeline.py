@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from shelfline import schemas
 from shelfline.config import EngineConfig
 from shelfline.operators import movements, quality
-from shelfline.operators.ledger import inventory_snapshot
-from shelfline.operators.metrics import turnover_metrics
+from shelfline.operators.ledger import carried_over, continued_snapshot, daily_figures, inventory_snapshot
+from shelfline.operators.metrics import CARRIED_ROWS, turnover_metrics
 from shelfline.operators.quality import DataQualityError
 from shelfline.operators.reorder import reorder_analysis
 from shelfline.plans import warehouse
@@ -96,12 +96,39 @@ def reorder_chain(
     )
 
 
+def continued_chain(
+    stock_daily: DataFrame,
+    purchases: DataFrame,
+    sales: DataFrame,
+    adjustments: DataFrame,
+    carried: DataFrame,
+    config: EngineConfig,
+) -> DataFrame:
+    """Advice for new days after carried ledger rows, and those rows, told apart by `is_carried`."""
+    daily = daily_figures(stock_daily, purchases, sales, adjustments)
+    return (
+        continued_snapshot(daily, carried)
+        .transform(turnover_metrics)
+        .transform(reorder_analysis, config.lead_time_days, config.safety_stock_days)
+    )
+
+
 def run_transform(spark: SparkSession, config: EngineConfig, run_id: int | None = None) -> int:
     """Store the reorder advice of all raw days; days read only as lookback are left out."""
     if run_id is None:
         run_id = _id(warehouse.find_running_run(spark, config))
     raw = {n: warehouse.raw_set(spark, config, n) for n in ("stock_daily", "purchases", "sales", "adjustments")}
-    advice = reorder_chain(**raw, config=config)
+    if config.carry_state:
+        since = warehouse.get_last_success_date(spark, config)
+        carried = warehouse.ledger_state(spark, config).filter(F.col("inventory_date") < F.lit(since))
+        path = f"{config.staging_dir}/continued"
+        write_set(continued_chain(**raw, carried=carried, config=config), path)
+        rows = scan_complete(spark, path, f"{schemas.STAGING['reorder_recommendation']}, is_carried BOOLEAN")
+        # The next run reads the day of its watermark again, so it goes on from the rows before that day.
+        write_set(carried_over(rows, config.next_watermark, CARRIED_ROWS), f"{config.staging_dir}/ledger_state")
+        advice = rows.filter("NOT is_carried").drop("is_carried")
+    else:
+        advice = reorder_chain(**raw, config=config)
     if config.lookback_days:
         advice = advice.filter(F.col("inventory_date") >= F.lit(warehouse.get_last_success_date(spark, config)))
     count = write_set(advice, f"{config.staging_dir}/reorder_recommendation")
@@ -224,7 +251,8 @@ def run_load(spark: SparkSession, config: EngineConfig, run_id: int | None = Non
             },
         )
         loaded = sum(counts.values())
-        warehouse.update_last_success_date(spark, config, config.next_watermark)
+        state = warehouse.publish_ledger_state(spark, config) if config.carry_state else None
+        warehouse.update_last_success_date(spark, config, config.next_watermark, state)
     except Exception as error:
         _close_run(spark, config, run, "FAILED", error=error)
         raise

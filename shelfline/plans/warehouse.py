@@ -60,7 +60,7 @@ def mart_path(config: EngineConfig, name: str) -> str:
 def read_table(spark: SparkSession, config: EngineConfig, name: str) -> DataFrame:
     """The current version of a warehouse table; `etl_state` is a view of the control log."""
     if name == "etl_state":
-        return control.watermarks(control_events(spark, config))
+        return control.watermarks(control_events(spark, config)).drop("state_version")
     return versions.read(spark, versions.current(spark, table_path(config, name)), schemas.WAREHOUSE[name])
 
 
@@ -83,6 +83,7 @@ def remove_old_versions(spark: SparkSession, config: EngineConfig, keep: int = 1
         versions.remove_old(spark, table_path(config, name), keep)
     for name in MART_LAYOUTS:
         versions.remove_old(spark, mart_path(config, name), keep)
+    versions.remove_old(spark, state_path(config), max(keep, 2))
     control_log.remove_folded(spark, log_path(config))
 
 
@@ -106,10 +107,33 @@ def get_last_success_date(spark: SparkSession, config: EngineConfig) -> date:
     return control.read_watermark(state, run_time(config), config.pipeline_name).first()[0]
 
 
-def update_last_success_date(spark: SparkSession, config: EngineConfig, day: date) -> None:
-    """Advance the watermark: an event, so nothing is read that another run could change meanwhile."""
+def update_last_success_date(spark: SparkSession, config: EngineConfig, day: date, state: int | None = None) -> None:
+    """Advance the watermark: an event, so nothing is read that another run could change meanwhile.
+
+    It names the version of the ledger state that the next run goes on from, so the two move in one step.
+    """
     names = {"pipeline_name": config.pipeline_name, "updated_at": config.as_of}
-    control_log.append(spark, log_path(config), control.WATERMARK, last_success_date=day, **names)
+    control_log.append(spark, log_path(config), control.WATERMARK, last_success_date=day, set_version=state, **names)
+
+
+def state_path(config: EngineConfig) -> str:
+    return table_path(config, f"ledger_state/{config.pipeline_name}")
+
+
+def ledger_state(spark: SparkSession, config: EngineConfig) -> DataFrame:
+    """The ledger rows that the last run which succeeded has left for the next one; none before the first."""
+    marks = control.watermarks(control_events(spark, config)).filter(F.col("pipeline_name") == config.pipeline_name)
+    row = marks.first()
+    known = versions.at(spark, state_path(config), (row and row["state_version"]) or 0)
+    return versions.read(spark, known, schemas.LEDGER)
+
+
+def publish_ledger_state(spark: SparkSession, config: EngineConfig) -> int:
+    """Make the staged state a version of its own; nobody reads it until a watermark names it."""
+    path = f"{config.staging_dir}/ledger_state"
+    staged = scan_complete(spark, path, schemas.STAGING["ledger_state"])
+    base = versions.current(spark, state_path(config))
+    return versions.replace_partitions(staged, base, whole=True).number
 
 
 def read_audit(spark: SparkSession, config: EngineConfig) -> DataFrame:

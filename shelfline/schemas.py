@@ -60,6 +60,7 @@ _MOVEMENT = (
 
 STAGING = {
     "reorder_recommendation": _ADVICE,
+    "ledger_state": LEDGER,
     "product_changes": (
         "product_id INT, product_code STRING, product_name STRING, category STRING, barcode STRING,"
         " weight DECIMAL(10,2), is_active BOOLEAN, old_sk BIGINT, action STRING"

@@ -361,3 +361,33 @@ def test_a_load_of_few_changed_products_writes_few_buckets(spark, source, tmp_pa
     dimension = warehouse.read_table(spark, later, "dim_product")
     assert (dimension.filter("is_current").count(), dimension.count()) == (total, total + 10)
     assert load(later, changed) == 0 and versions.current(spark, path) == after
+
+
+# Carried window state -----------------------------------------------------------------------------------
+
+
+def test_carried_rows_give_the_figures_of_all_history(spark, source, tmp_path, monkeypatch):
+    """Runs that read from their watermark on; one that dies before its watermark moves is repeated."""
+    moments = [datetime(2024, 1, 12, 6), datetime(2024, 1, 13, 6), datetime(2024, 1, 20, 6), SECOND]
+    for moment in moments:
+        config = EngineConfig.under(str(tmp_path), moment, carry_state=True)
+        if moment == moments[2]:
+            with monkeypatch.context() as broken, pytest.raises(RuntimeError, match="died"):
+                broken.setattr(warehouse, "update_last_success_date", lambda *_: (_ for _ in ()).throw(RuntimeError("died")))
+                pipeline.run_pipeline(spark, source, config)
+        pipeline.run_pipeline(spark, source, config)
+    names = ("stock_daily", "purchase_order_detail", "sales_transaction", "stock_adjustment")
+    whole = pipeline.reorder_chain(*[source[n] for n in names], config)
+    stored = warehouse.read_table(spark, config, "fact_daily_inventory").drop("id", *STAMPS)
+    columns = stored.columns
+    kinds = dict(stored.dtypes)
+    expected = whole.select(*[F.col(c).cast(kinds[c]).alias(c) for c in columns])
+    assert sorted(map(tuple, stored.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
+    state = warehouse.ledger_state(spark, config)
+    assert state.groupBy("product_id").count().agg(F.max("count")).first()[0] <= 29
+    assert state.agg(F.max("inventory_date")).first()[0] < config.next_watermark
+
+
+def test_two_ways_to_the_same_history_are_refused():
+    with pytest.raises(ValueError, match="choose one"):
+        EngineConfig.under("x", FIRST, carry_state=True, lookback_days=3)
