@@ -24,18 +24,22 @@ def brute_cuts(data: bytes) -> list[int]:
 
 
 def brute(rows: list[tuple[int | None, str | None]]) -> list[tuple[list, str | None]]:
-    """Removed spans and what is left of each row, rows taken in order of doc_id."""
+    """Removed spans and what is left of each row, rows taken in order of doc_id.
+
+    A chunk that stood earlier joins the one before it only if it stood behind the same one there.
+    """
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i))
-    seen, out = set(), {}
+    seen, pairs, out = set(), set(), {}
     for i in order:
         data = (rows[i][1] or "").encode()
-        spans, at = [], 0
+        spans, at, behind = [], 0, b""
         for end in brute_cuts(data):
             digest = xxhash.xxh3_128_digest(data[at:end])
             if digest in seen:
-                spans.append((at, end))
+                spans.append((at, end, (behind, digest) in pairs))
             seen.add(digest)
-            at = end
+            pairs.add((behind, digest))
+            at, behind = end, digest
         gone = chunks.removed(data, spans)
         left, at = b"", 0
         for a, b in gone:
