@@ -12,13 +12,14 @@ digest before it, so where that pair is new the run breaks, and snippets from un
 to whole words, so what is left isn't torn.
 
 A digest has 64 bits; a chunk that is wrongly taken for a copy matters only if its neighbours are as well. Of equal
-chunks behind equal ones, only the first one of a batch of texts is shuffled, the others are copies in any case: so a passage that a third
-of all documents share sends a row per batch. Then only copies go back to their texts.
+chunks behind equal ones, only the first one of a batch of texts is shuffled by its digest; the others are copies in any
+case and travel as one list per text: so a passage that a third of all documents share sends a row per batch. Then only
+the numbers of copied chunks go back to their texts, where the cuts are found again.
 
 Null text stays null and has no chunks; an empty text likewise. A text that is removed entirely becomes empty
 (`deduplicated`) or its row goes (`drop_repeats`). Repeated rows are documents of their own, of which one keeps its text. A
 null doc_id comes after all others. Texts may be of any length: a row's bytes and hashes are in memory together. No
-documents: no rows. Other columns of the input are passed on.
+documents: no rows. Other columns of the input are passed on, but for one of the name that the spans are given.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ BATCH_BYTES = 4 << 20
 
 #: A 32-bit number for each byte, from a hash of it.
 GEAR = np.array([xxhash.xxh32_intdigest(bytes([b]), 10) for b in range(256)], np.uint32)
-CHUNKS = "row bigint, doc bigint, start int, stop int, digest bigint, behind int, first boolean"
+CHUNKS = "row bigint, doc bigint, digest bigint, behind int, at int, known array<int>"
 
 
 def cuts(data: bytes, bits: int = BITS, longest: int = LONGEST) -> np.ndarray:
@@ -70,47 +71,52 @@ def cuts(data: bytes, bits: int = BITS, longest: int = LONGEST) -> np.ndarray:
 
 
 def chunked(rows: DataFrame, bits: int = BITS, longest: int = LONGEST) -> DataFrame:
-    """The chunks of each row (row, doc, text): where they start and stop, in bytes, their digests, a part of the
-    digest before, and whether they are the first ones of both in their batch."""
+    """The chunks of each row (row, doc, text): their digests, a part of the digest before, and their numbers in the text.
+
+    Chunks whose pair of digests stood earlier in the batch are listed in `known`, one record per text, under a
+    digest that spreads these records.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_64_intdigest
+        digest, names = xxhash.xxh3_64_intdigest, [f.split()[0] for f in CHUNKS.split(", ")]
         for whole in batches:
             for batch in slices(whole, 2, BATCH_BYTES):
-                lengths, starts, stops, digests = [], [], [], []
+                lengths, digests = [], []
                 for data in batch.column(2).cast(pa.binary()).to_pylist():
                     ends = cuts(data or b"", bits, longest).tolist()
-                    begins = [0, *ends[:-1]] if ends else []
                     lengths.append(len(ends))
-                    starts += begins
-                    stops += ends
-                    digests += [digest(data[a:b]) for a, b in zip(begins, ends)]
+                    digests += [digest(data[a:b]) for a, b in zip([0, *ends], ends)]
                 row, doc = (np.repeat(batch.column(i).to_numpy(), lengths) for i in (0, 1))
-                found, start = np.array(digests, np.uint64), np.array(starts, np.int32)
+                found = np.array(digests, np.uint64)
+                at = (np.arange(len(found)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
                 # At the start of a text there is nothing before: 0.
-                behind = np.where(start > 0, np.r_[np.uint64(0), found[:-1]][: len(found)], np.uint64(0)).astype(np.uint32)
-                order = np.lexsort((start, row, doc, behind, found))
+                behind = np.where(at > 0, np.r_[np.uint64(0), found[:-1]][: len(found)], np.uint64(0)).astype(np.uint32)
+                order = np.lexsort((at, row, doc, behind, found))
                 first = np.zeros(len(found), bool)
                 by, before = found[order], behind[order]
                 first[order] = np.r_[True, (by[1:] != by[:-1]) | (before[1:] != before[:-1])][: len(found)]
-                arrays = row, doc, start, np.array(stops, np.int32), found.view(np.int64), behind.view(np.int32), first
-                names = [f.split()[0] for f in CHUNKS.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names)
+                none = pa.nulls(int(first.sum()), pa.list_(pa.int32()))
+                arrays = row[first], doc[first], found.view(np.int64)[first], behind.view(np.int32)[first], at[first]
+                yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in arrays), none], names)
+                texts, starts = np.unique(row[~first], return_index=True)
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[starts, (~first).sum()], pa.int32()), pa.array(at[~first]))
+                spread = (texts.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+                last, zero = np.full(len(texts), UNKNOWN), np.zeros(len(texts), np.int32)
+                yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in (texts, last, spread, zero, zero - 1)), lists], names)
 
     return rows.select("row", "doc", "text").mapInArrow(run, CHUNKS)
 
 
 def copies(chunks: DataFrame) -> DataFrame:
-    """(row, spans): the spans of each text whose chunks stand earlier, there or elsewhere, and whether each stood
+    """(row, copied): the numbers of each text's chunks that stand earlier, there or elsewhere, and whether each stood
     behind the chunk before it there."""
-    digest = Window.partitionBy("digest").orderBy("doc", "row", "start")
-    pair = Window.partitionBy("digest", "behind").orderBy("doc", "row", "start")
+    digest = Window.partitionBy("digest").orderBy("doc", "row", "at")
+    pair = Window.partitionBy("digest", "behind").orderBy("doc", "row", "at")
     places = {"n": F.row_number().over(digest), "joined": F.row_number().over(pair) > 1}
-    firsts = chunks.filter("first").withColumns(places).filter("n > 1")
-    later = firsts.select("row", "start", "stop", "joined").union(
-        chunks.filter("not first").select("row", "start", "stop", F.lit(True).alias("joined"))
-    )
-    return later.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "joined"))).alias("spans"))
+    later = chunks.withColumns(places).filter("n > 1 OR known IS NOT NULL")
+    listed = F.transform("known", lambda k: F.struct(k.alias("at"), F.lit(True).alias("joined")))
+    found = F.coalesce(listed, F.array(F.struct("at", "joined"))).alias("found")
+    return later.select("row", found).groupBy("row").agg(F.sort_array(F.flatten(F.collect_list("found"))).alias("copied"))
 
 
 def runs(spans: list[tuple], least: int) -> list[tuple[int, int]]:
@@ -144,7 +150,7 @@ def removed(data: bytes, spans: list[tuple], least: int = LEAST_BYTES) -> list[t
 
 def deduplicated(docs: DataFrame, least: int = LEAST_BYTES, into: str = "removed") -> DataFrame:
     """The rows with what is left of their texts, and the (start, stop) bytes of the former text that went, in `into`."""
-    columns = docs.columns
+    columns = [c for c in docs.columns if c != into]
     kept = [F.col(f"`{c}`") for c in columns if c != "text"]
     rows = stored(
         docs.select(
@@ -155,14 +161,16 @@ def deduplicated(docs: DataFrame, least: int = LEAST_BYTES, into: str = "removed
         ),
         "rows",
     )
-    spans = copies(stored(chunked(rows), "chunks"))
-    marked = rows.join(spans, "row", "left").select("text", "spans", "others")
+    marked = rows.join(copies(chunked(rows)), "row", "left").select("text", "copied", "others")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, gone = [], []
             for data, found in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist()):
-                spans = removed(data, [(s["start"], s["stop"], s["joined"]) for s in found], least) if found else []
+                spans = []
+                if found:
+                    ends = [0, *cuts(data).tolist()]
+                    spans = removed(data, [(ends[c["at"]], ends[c["at"] + 1], c["joined"]) for c in found], least)
                 at, parts = 0, []
                 for a, b in spans:
                     parts.append(data[at:a])

@@ -103,6 +103,9 @@ def test_rows_of_all_kinds_against_brute_force(spark):
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["2", "4", "7", "8", "9", *map(str, range(20, 25))])
     assert chunks.drop_repeats(docs.limit(0)).count() == 0
+    named = chunks.deduplicated(docs.withColumnRenamed("spans", "removed"))
+    assert named.columns == ["doc_id", "text", "row", "removed"]
+    assert sorted([tuple(s) for s in r.removed] for r in named.collect()) == sorted(gone for _, gone, _ in found)
 
 
 def test_query_over_all_documents(spark):
