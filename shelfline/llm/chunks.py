@@ -98,8 +98,10 @@ def chunked(rows: DataFrame, bits: int = BITS, longest: int = LONGEST) -> DataFr
                 none = pa.nulls(int(first.sum()), pa.list_(pa.int32()))
                 arrays = row[first], doc[first], found.view(np.int64)[first], behind.view(np.int32)[first], at[first]
                 yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in arrays), none], names)
-                texts, starts = np.unique(row[~first], return_index=True)
-                lists = pa.ListArray.from_arrays(pa.array(np.r_[starts, (~first).sum()], pa.int32()), pa.array(at[~first]))
+                of = row[~first]
+                starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]][: len(of)])
+                texts = of[starts]
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[starts, len(of)], pa.int32()), pa.array(at[~first]))
                 spread = (texts.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
                 last, zero = np.full(len(texts), UNKNOWN), np.zeros(len(texts), np.int32)
                 yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in (texts, last, spread, zero, zero - 1)), lists], names)

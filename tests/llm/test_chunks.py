@@ -130,3 +130,13 @@ def test_snippets_of_unrelated_documents_are_no_passage(spark):
     left = {r.doc_id: r.text for r in chunks.deduplicated(docs).collect()}
     assert left[50] == salad
     assert salad[:60] in left[51] and len(left[51]) < len(rows[-1][1]) - 300
+
+
+def test_batches_whose_rows_are_in_no_order(spark):
+    """Many small files, which a task reads in the order of their sizes."""
+    rng = random.Random(6)
+    shared = [words(rng, 60) for _ in range(5)]
+    rows = [(i, f"{words(rng, rng.randrange(1, 200))} {shared[i % 5]}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(60)
+    got = {r.doc_id: ([tuple(s) for s in r.removed], r.text) for r in chunks.deduplicated(docs).collect()}
+    assert got == {d: found for (d, _), found in zip(rows, brute(rows))}
