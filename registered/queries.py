@@ -475,7 +475,7 @@ def watermark_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_sub(F.col("ts").cast("date"), 1).alias("last_success_date"),
         F.col("ts").cast("timestamp_ntz").alias("updated_at"),
     )
-    return control.watermarks(control.folded(_as_events(advances)))
+    return control.watermarks(control.folded(_as_events(advances))).drop("state_version")
 
 
 def late_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
