@@ -6,8 +6,7 @@ link if they differ in at most `radius` bits; documents are one group if links c
 1.  Equal fingerprints are one row from here on, with the smallest doc_id.
 2.  Each fingerprint goes to one shard per table, by the value of some of its bits. `bands(radius)` is exact: of
     radius + 1 disjoint bands, two that link agree on one (so few differences can't touch them all), so some shard
-    holds both. For a large radius no bands are that long; `samples` draws bits at random for each of many tables,
-    so that two that link meet in one of them almost surely.
+    holds both.
 3.  A shard with many fingerprints is split into blocks of bounded size; every block meets itself and every later
     block. Of such a pair, one block is built into a BK-tree (children keyed by their Hamming distance to the parent)
     and the other is looked up in it, following only the edges within the radius. The trees of many small shards
@@ -18,10 +17,7 @@ link if they differ in at most `radius` bits; documents are one group if links c
 
 No task holds more than two blocks of a shard, and nothing about single documents reaches the driver.
 
-`keep_first` is the stage for pipelines: five-word shingles and a similarity of 0.8. Texts whose shingle sets have a
-Jaccard similarity of 0.8 differ in 15 % of their bits on average; with `WIDE` = 256 bits instead of 64 the spread
-around it is small, and `WIDE_RADIUS` lies two standard deviations above. `samples` finds 98.9 % of such pairs and more of
-the closer ones.
+`keep_first` is the stage for pipelines: the same shingles, fingerprints and radius, one document of each group.
 
 Null text: no words, fingerprint zero, linked like any other. A null doc_id is larger than any other: its component is
 the smallest known id of its group, or null. Repeated rows are documents of their own with the same doc_id (of which
@@ -44,9 +40,6 @@ BITS = 64
 SHINGLE = 3
 RADIUS = 2
 SEED = 42
-WIDE, WIDE_SHINGLE, WIDE_RADIUS = 256, 5, 50
-#: Tables of a wide search, and the bits that each draws.
-TABLES, DRAWN = 64, 16
 #: Most fingerprints of a block, on average.
 BLOCK = 1024
 #: Most (fingerprint, tree node) pairs that are looked at together.
@@ -109,11 +102,6 @@ def bands(radius: int = RADIUS, bits: int = BITS) -> list[np.ndarray]:
     return np.array_split(np.arange(bits), radius + 1)
 
 
-def samples(bits: int = WIDE, tables: int = TABLES, drawn: int = DRAWN) -> list[np.ndarray]:
-    rng = np.random.default_rng(9)
-    return [rng.permutation(bits)[:drawn] for _ in range(tables)]
-
-
 def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Differing bits of rows of 64-bit words."""
     return np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
@@ -289,18 +277,16 @@ def groups(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFr
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_first(
-    docs: DataFrame, size: int = WIDE_SHINGLE, radius: int = WIDE_RADIUS, tables: int = TABLES, drawn: int = DRAWN
-) -> DataFrame:
+def keep_first(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The row with the smallest doc_id of each group of near-duplicates, with the columns of the input."""
     columns = docs.columns
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), "text")
     doc = F.col("row.doc_id")
     at = F.struct(doc.isNull().alias("unknown"), doc.alias("doc"), F.monotonically_increasing_id().alias("line"))
     rows = rows.withColumn("at", at)
-    marked = stored(fingerprints(rows.select("row", "text", "at"), size, WIDE).drop("text"), "fingerprints")
+    marked = stored(fingerprints(rows.select("row", "text", "at"), size).drop("text"), "fingerprints")
     firsts = stored(marked.groupBy("fp").agg(F.min("at").alias("first")), "distinct")
-    kept = rooted(firsts, samples(WIDE, tables, drawn), radius).select(F.col("kept").alias("at")).distinct()
+    kept = rooted(firsts, bands(radius), radius).select(F.col("kept").alias("at")).distinct()
     return marked.join(kept, "at", "left_semi").select(*(F.col("row")[c].alias(c) for c in columns))
 
 
