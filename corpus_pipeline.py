@@ -29,7 +29,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, a similarity of 0.8)."""
+    """One document of each group of near-duplicates (SimHash of three-word shingles, at most two bits apart)."""
     return simhash.keep_first(docs)
 
 
