@@ -4,13 +4,15 @@ p(text) = product over its tokens of p(class | state) * p(token | class). Tokens
 
 1.  Texts are tokenised once, into blocks of bounded size: local word numbers, the distinct words, and how often each
     occurs in training texts (those whose crc32(doc_id as text) mod 5 isn't 1).
-2.  The `TOP` most frequent words are dealt to `CLASSES` classes by exchange clustering: each word in turn moves to the
-    class that raises the likelihood of the class bigrams most, until few move. That needs one pass over the corpus, for
-    the bigram counts of those words: a matrix of fixed size per task, summed on the cluster.
-3.  Every other word makes one exchange step with those classes fixed: each block votes, with the word's count there,
-    for the class that explains its neighbours best, and most votes win.
-4.  Counts and votes of the blocks meet by word, and go back to the blocks as what each needs to know of its own words.
-    A word that stands everywhere sends one row per block. No vocabulary is broadcast or collected.
+2.  Words are counted over all blocks. The `START` most frequent ones are dealt to `CLASSES` classes by exchange
+    clustering: each in turn moves to the class that raises the likelihood of the class bigrams most, until few move. That
+    needs one pass over the corpus, for the bigram counts of those words: a matrix of fixed size per task, summed on
+    the cluster. It gives the kinds of neighbours: those classes, all other words, ends.
+3.  Each word's neighbours are counted by kind and side, in each block, then in each task, then over all of them: one row
+    per word. From these sums every word seen twice or more, frequent or not, is exchanged in `EXCHANGES` sweeps: it goes to the
+    class whose words have the neighbours that explain its own best, and what the classes' words have is summed anew.
+4.  Counts and classes go back to the blocks, which know their own words, by a join on the word. A word that stands
+    everywhere has one row per block in it, which Spark splits. No vocabulary is broadcast or collected.
 5.  Words seen at most once are the class of unknown words. A state is the class of the token before, or, if that was
     unknown, the last known one before it and that fact. Transitions are counted over all training texts (a small table).
 
@@ -18,6 +20,9 @@ Probabilities: transitions add 1/2 to each count. In a class of known words p(to
 ones, with count c of 0 or 1, it is (c + 1/2) / (n + 1/2 (v + 1)) for n tokens and v words, so that the unseen share one
 half. They sum to one over all texts.
 
+All sums are of whole numbers and log chances are rounded before they are weighed, so classes, and with them scores, don't
+depend on how the input is dealt.
+
 The base score is that of single tokens with 1/2 added, (c + 1/2) / (N + 1/2 (V + 1)).
 
 Null text is empty: one token, its end. A null doc_id has no remainder: such a document is held out. Repeated rows are
@@ -35,23 +40,28 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfline.llm.common import slices, stored, table, texts
 
-CLASSES, TOP, SWEEPS = 32, 1024, 15
-#: Candidates for the most frequent words that each block names.
-NAMED = 4096
+CLASSES, START, SWEEPS, EXCHANGES = 32, 1024, 15, 3
 BLOCK_BYTES = 4 << 20
 FOLDS, HELD = 5, 1
 UNKNOWN, END = CLASSES, CLASSES + 1
 KINDS, STATES = CLASSES + 2, 2 * (CLASSES + 2)
+#: A word's neighbours: counts of each kind before it, then after it.
+SIDES = 2 * KINDS
+#: Log chances are weighed as whole numbers of this part of a bit.
+GRAIN = 1 << 20
+#: Words of a block whose neighbours are counted together.
+MATRIX_ROWS = 1 << 14
 
 BLOCKS = (
     "block bigint, docs array<bigint>, held array<boolean>, lengths array<int>, tokens binary,"
     " words array<binary>, counts array<int>"
 )
-NOTES = "block bigint, place int, word binary, n bigint, class int"
+NEIGHBOURS = "word binary, c bigint, near binary"
+CLASSED = "word binary, c bigint, class int"
 MARKED = (
     "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, own double, classes binary"
 )
@@ -109,20 +119,11 @@ def learnt_tokens(batch: pa.RecordBatch, i: int) -> np.ndarray:
 # Exchange clustering ---------------------------------------------------------------------------------------
 
 
-def most_frequent(blocks: DataFrame, top: int = TOP) -> list[bytes]:
-    """The most frequent words of training texts, among those that are frequent in some block."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for words, counts in zip(batch.column(0), batch.column(1)):
-                n = counts.values.to_numpy(zero_copy_only=False)[1:]
-                best = np.argsort(-n, kind="stable")[:NAMED]
-                best = best[n[best] > 0]
-                yield pa.RecordBatch.from_arrays([words.values.take(pa.array(best + 1)), pa.array(n[best].astype(np.int64))], ["word", "n"])
-
-    named = blocks.select("words", "counts").mapInArrow(run, "word binary, n bigint")
-    rows = named.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(top).collect()
-    return [bytes(r["word"]) for r in rows]
+def most_frequent(blocks: DataFrame, top: int = START) -> list[bytes]:
+    """The most frequent words of training texts."""
+    each = blocks.select(F.inline(F.arrays_zip("words", "counts"))).toDF("word", "n")
+    sums = each.filter((F.col("n") > 0) & (F.length("word") > 0)).groupBy("word").agg(F.sum("n").alias("n"))
+    return [bytes(r["word"]) for r in sums.orderBy(F.desc("n"), "word").limit(top).collect()]
 
 
 def bigrams(blocks: DataFrame, top: list[bytes]) -> np.ndarray:
@@ -201,47 +202,132 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
     return of
 
 
-def notes(blocks: DataFrame, top: list[bytes], of: np.ndarray, pairs: np.ndarray) -> DataFrame:
-    """Per block and word: its training count there, and the class that its neighbours there speak for."""
+def packed(sums: np.ndarray) -> pa.Array:
+    """Rows of counts as bytes: two for each hexadecimal digit that isn't 0, of column (7 bits), digit (4) and its place (5)."""
+    row, column = np.nonzero(sums)
+    left, rows, records, place = sums[row, column].astype(np.int64), [], [], 0
+    while len(left):
+        digit = left & 15
+        some = digit > 0
+        rows.append(row[some])
+        records.append(column[some] | digit[some] << 7 | place << 11)
+        left >>= 4
+        more = left > 0
+        row, column, left, place = row[more], column[more], left[more], place + 1
+    rows, records = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, records))
+    data = records[np.argsort(rows, kind="stable")].astype("<u2").tobytes()
+    ends = 2 * np.cumsum(np.r_[0, np.bincount(rows, minlength=len(sums))]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sums), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data)])
+
+
+def unpacked(column: pa.Array, row: np.ndarray, rows: int) -> np.ndarray:
+    """The counts of packed values, those of the same `row` summed; whole numbers, as floats."""
+    values = column.to_pylist()
+    at = np.repeat(row, np.fromiter(map(len, values), np.int64, len(values)) // 2)
+    records = np.frombuffer(b"".join(values), "<u2").astype(np.int64)
+    n = (records >> 7 & 15) << 4 * (records >> 11)
+    return np.bincount(at * SIDES + (records & 127), n, rows * SIDES).reshape(rows, SIDES)
+
+
+def neighbours(blocks: DataFrame, top: list[bytes], of: np.ndarray) -> DataFrame:
+    """See NEIGHBOURS: each word of training texts, its count, and how often which kind is next to it on either side."""
     number = {w: int(of[i]) for i, w in enumerate(top)} | {b"": END}
-    member = np.eye(KINDS)[of]
-    joint = member.T @ pairs @ member + 0.5
-    before = np.log(joint / joint.sum(axis=1, keepdims=True))[:, :CLASSES]
-    after = np.log(joint / joint.sum(axis=1, keepdims=True) / joint.sum(axis=1, keepdims=True))[:CLASSES].T
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                words = batch.column("words")[i].values
+                words = batch.column("words")[i].values.cast(pa.binary())
                 fixed = np.array([number.get(w, CLASSES) for w in words.to_pylist()])
                 learnt = learnt_tokens(batch, i)
-                kinds, n = fixed[learnt], len(fixed)
-                left = np.bincount(learnt[1:] * KINDS + kinds[:-1], minlength=n * KINDS).reshape(n, KINDS)
-                right = np.bincount(learnt[:-1] * KINDS + kinds[1:], minlength=n * KINDS).reshape(n, KINDS)
-                best = np.argmax(left @ before + right @ after, axis=1)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "block": pa.array(np.full(n, batch.column("block")[i].as_py())),
-                        "place": pa.array(np.arange(n, dtype=np.int32)),
-                        "word": words.cast(pa.binary()),
-                        "n": batch.column("counts")[i].values.cast(pa.int64()),
-                        "class": pa.array(np.where(fixed == CLASSES, best, fixed).astype(np.int32)),
-                    }
-                )
+                kinds = fixed[learnt]
+                for low in range(0, len(fixed), MATRIX_ROWS):
+                    n = min(MATRIX_ROWS, len(fixed) - low)
+                    word = learnt - low
+                    mine = (word >= 0) & (word < n)
+                    before, after = np.flatnonzero(mine[1:]), np.flatnonzero(mine[:-1])
+                    cells = np.r_[word[before + 1] * SIDES + kinds[before], word[after] * SIDES + KINDS + kinds[after + 1]]
+                    sums = np.bincount(cells, minlength=n * SIDES).reshape(n, SIDES)
+                    count = sums[:, :KINDS].sum(axis=1)
+                    some = np.flatnonzero(count)
+                    yield pa.RecordBatch.from_arrays(
+                        [words.take(pa.array(some + low)), pa.array(count[some]), packed(sums[some])], ["word", "c", "near"]
+                    )
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows are sorted by word: the last word of a batch may go on in the next one.
+        last, held = None, None
+        for batch in batches:
+            words = batch.column(0).to_pylist()
+            if not words:
+                continue
+            new = np.array([True, *(a != b for a, b in zip(words, words[1:]))])
+            row = np.cumsum(new) - 1
+            sums = unpacked(batch.column(2), row, int(row[-1]) + 1).astype(np.int64)
+            names = [words[i] for i in np.flatnonzero(new).tolist()]
+            if last == names[0]:
+                sums[0] += held
+            elif last is not None:
+                names, sums = [last, *names], np.vstack([held, sums])
+            last, held = names[-1], sums[-1].copy()
+            yield whole(names[:-1], sums[:-1])
+        if last is not None:
+            yield whole([last], held[None])
+
+    def whole(names: list[bytes], sums: np.ndarray) -> pa.RecordBatch:
+        count = pa.array(sums[:, :KINDS].sum(axis=1), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), count, packed(sums)], ["word", "c", "near"])
+
+    found = blocks.select("held", "lengths", "tokens", "words").mapInArrow(look, NEIGHBOURS)
+    by_task = found.sortWithinPartitions("word").mapInArrow(add, NEIGHBOURS)
+    return by_task.repartition("word").sortWithinPartitions("word").mapInArrow(add, NEIGHBOURS)
+
+
+def chances(sums: np.ndarray) -> np.ndarray:
+    """log2 of the chance of each kind on either side of a class's words, in whole grains."""
+    smooth = (sums + 0.5).reshape(len(sums), 2, KINDS)
+    return np.round(np.log2(smooth / smooth.sum(axis=2, keepdims=True)) * GRAIN).reshape(len(sums), SIDES)
+
+
+def classed(words: DataFrame, pairs: np.ndarray, of: np.ndarray, exchanges: int = EXCHANGES) -> DataFrame:
+    """See CLASSED: every word's class after some sweeps over NEIGHBOURS, which start from the classes of the first words."""
+    member = np.eye(KINDS, dtype=np.int64)[of]
+    joint = member.T @ pairs @ member
+    sums = np.hstack([joint[:, :CLASSES].T, joint[:CLASSES]])
+    clustered = words.filter((F.col("c") > 1) & (F.length("word") > 0))
+    for _ in range(exchanges - 1):
+        weights = chances(sums)
+
+        def gather(batches: Iterator[pa.RecordBatch], weights: np.ndarray = weights) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((CLASSES, SIDES))
+            for batch in batches:
+                near = unpacked(batch.column(0), np.arange(batch.num_rows), batch.num_rows)
+                total += np.eye(CLASSES)[np.argmax(near @ weights.T, axis=1)].T @ near
+            cells = np.flatnonzero(total)
+            n = total.ravel()[cells].astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(n)], ["cell", "n"])
+
+        parts = clustered.select("near").mapInArrow(gather, "cell bigint, n bigint")
+        sums = np.zeros(CLASSES * SIDES, np.int64)
+        for r in parts.groupBy("cell").agg(F.sum("n").alias("n")).collect():
+            sums[r["cell"]] = r["n"]
+        sums = sums.reshape(CLASSES, SIDES)
+    weights = chances(sums)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = unpacked(batch.column(2), np.arange(batch.num_rows), batch.num_rows)
+            best = pa.array(np.argmax(near @ weights.T, axis=1).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), best], ["word", "c", "class"])
 
-    return blocks.select("block", "held", "lengths", "tokens", "words", "counts").mapInArrow(run, NOTES)
+    return words.mapInArrow(choose, CLASSED)
 
 
-def known(noted: DataFrame) -> DataFrame:
-    """Per block and word: its count in all training texts (c), its class, and whether this is the word's first row."""
-    votes = noted.withColumn("votes", F.sum("n").over(Window.partitionBy("word", "class")))
-    word = Window.partitionBy("word")
-    best = F.max(F.struct("votes", (-F.col("class")).alias("against"))).over(word)
-    first = F.row_number().over(word.orderBy("block")) == 1
-    chosen = votes.select("block", "place", F.sum("n").over(word).alias("c"), best.alias("best"), first.alias("first"))
-    ended = -F.col("best.against") == END
-    kind = F.when(ended, END).when(F.col("c") <= 1, UNKNOWN).otherwise(-F.col("best.against")).cast("int")
-    return chosen.select("block", "place", "c", kind.alias("class"), "first")
+def known(blocks: DataFrame, classes: DataFrame) -> DataFrame:
+    """Per block and word: its count in all training texts (c) and its class."""
+    places = blocks.select("block", F.posexplode("words").alias("place", "word"))
+    c = F.coalesce("c", F.lit(0).cast("bigint"))
+    kind = F.when(F.length("word") == 0, END).when(c <= 1, UNKNOWN).otherwise(F.col("class"))
+    return places.join(classes, "word", "left").select("block", "place", c.alias("c"), kind.cast("int").alias("class"))
 
 
 # Scores ----------------------------------------------------------------------------------------------------
@@ -335,11 +421,11 @@ def scores(docs: DataFrame) -> DataFrame:
     blocks = stored(tokenised(docs), "blocks")
     top = most_frequent(blocks)
     pairs = bigrams(blocks, top)
-    facts = stored(known(notes(blocks, top, exchange(pairs), pairs)), "facts")
-    learnt = F.col("first") & (F.col("c") > 0)
-    tokens, words = facts.agg(F.sum(F.when(learnt, F.col("c"))), F.count(F.when(learnt, 1))).first()
-    rows = stored(marked(blocks, facts), "marked")
-    model = Model.of(transitions(rows), tokens or 0, words)
+    of = exchange(pairs)
+    words = stored(neighbours(blocks, top, of), "words")
+    tokens, different = words.agg(F.sum("c"), F.count(F.lit(1))).first()
+    rows = stored(marked(blocks, known(blocks, classed(words, pairs, of))), "marked")
+    model = Model.of(transitions(rows), tokens or 0, different)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
