@@ -53,8 +53,6 @@ KINDS, STATES = CLASSES + 2, 2 * (CLASSES + 2)
 SIDES = 2 * KINDS
 #: Log chances are weighed as whole numbers of this part of a bit.
 GRAIN = 1 << 20
-#: Words of a block whose neighbours are counted together.
-MATRIX_ROWS = 1 << 14
 
 BLOCKS = (
     "block bigint, docs array<bigint>, held array<boolean>, lengths array<int>, tokens binary,"
@@ -202,10 +200,10 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
     return of
 
 
-def packed(sums: np.ndarray) -> pa.Array:
-    """Rows of counts as bytes: two for each hexadecimal digit that isn't 0, of column (7 bits), digit (4) and its place (5)."""
-    row, column = np.nonzero(sums)
-    left, rows, records, place = sums[row, column].astype(np.int64), [], [], 0
+def packed(row: np.ndarray, column: np.ndarray, counts: np.ndarray, size: int) -> pa.Array:
+    """`size` rows of counts by column as bytes: two for each hexadecimal digit that isn't 0, of column (7 bits), digit (4)
+    and its place (5)."""
+    left, rows, records, place = counts.astype(np.int64), [], [], 0
     while len(left):
         digit = left & 15
         some = digit > 0
@@ -216,8 +214,8 @@ def packed(sums: np.ndarray) -> pa.Array:
         row, column, left, place = row[more], column[more], left[more], place + 1
     rows, records = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, records))
     data = records[np.argsort(rows, kind="stable")].astype("<u2").tobytes()
-    ends = 2 * np.cumsum(np.r_[0, np.bincount(rows, minlength=len(sums))]).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(sums), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data)])
+    ends = 2 * np.cumsum(np.r_[0, np.bincount(rows, minlength=size)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), size, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data)])
 
 
 def unpacked(column: pa.Array, row: np.ndarray, rows: int) -> np.ndarray:
@@ -240,18 +238,16 @@ def neighbours(blocks: DataFrame, top: list[bytes], of: np.ndarray) -> DataFrame
                 fixed = np.array([number.get(w, CLASSES) for w in words.to_pylist()])
                 learnt = learnt_tokens(batch, i)
                 kinds = fixed[learnt]
-                for low in range(0, len(fixed), MATRIX_ROWS):
-                    n = min(MATRIX_ROWS, len(fixed) - low)
-                    word = learnt - low
-                    mine = (word >= 0) & (word < n)
-                    before, after = np.flatnonzero(mine[1:]), np.flatnonzero(mine[:-1])
-                    cells = np.r_[word[before + 1] * SIDES + kinds[before], word[after] * SIDES + KINDS + kinds[after + 1]]
-                    sums = np.bincount(cells, minlength=n * SIDES).reshape(n, SIDES)
-                    count = sums[:, :KINDS].sum(axis=1)
-                    some = np.flatnonzero(count)
-                    yield pa.RecordBatch.from_arrays(
-                        [words.take(pa.array(some + low)), pa.array(count[some]), packed(sums[some])], ["word", "c", "near"]
-                    )
+                at = learnt.astype(np.int64) * SIDES
+                cells, n = np.unique(np.r_[at[1:] + kinds[:-1], at[:-1] + KINDS + kinds[1:]], return_counts=True)
+                row, column = np.divmod(cells, SIDES)
+                before = column < KINDS
+                count = np.bincount(row[before], n[before], len(fixed)).astype(np.int64)
+                near = packed(row, column, n, len(fixed))
+                some = pa.array(np.flatnonzero(count))
+                yield pa.RecordBatch.from_arrays(
+                    [words.take(some), pa.array(count).take(some), near.take(some)], ["word", "c", "near"]
+                )
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows are sorted by word: the last word of a batch may go on in the next one.
@@ -275,7 +271,9 @@ def neighbours(blocks: DataFrame, top: list[bytes], of: np.ndarray) -> DataFrame
 
     def whole(names: list[bytes], sums: np.ndarray) -> pa.RecordBatch:
         count = pa.array(sums[:, :KINDS].sum(axis=1), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), count, packed(sums)], ["word", "c", "near"])
+        row, column = np.nonzero(sums)
+        near = packed(row, column, sums[row, column], len(sums))
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), count, near], ["word", "c", "near"])
 
     found = blocks.select("held", "lengths", "tokens", "words").mapInArrow(look, NEIGHBOURS)
     by_task = found.sortWithinPartitions("word").mapInArrow(add, NEIGHBOURS)
