@@ -413,6 +413,7 @@ _DECIMALS = {
         "movement_fact",
         "movement_with_missing_feed",
         "movement_upsert",
+        "movement_upsert_in_place",
         "late_movements",
         "pipeline_end_to_end_movements",
     ): ["unit_price", "total_amount"],
@@ -423,6 +424,9 @@ _DECIMALS = {
     ],
 }
 
+for _merged in ("supplier_upsert", "movement_upsert"):
+    ORACLES[f"{_merged}_in_place"] = ORACLES[_merged]
+
 for _names, _columns in _DECIMALS.items():
     _casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _columns)
     for _name in _names:

@@ -242,6 +242,36 @@ def movement_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.movement_upsert(target, feed, wall_clock(SECOND_RUN), BUCKET_SPAN)
 
 
+def supplier_upsert_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The supplier merge with the feed's keys sent to the target: creation times of the target stay."""
+    suppliers = sample.supplier(spark, sf_dir)
+    known = suppliers.filter("supplier_id % 3 <> 0").withColumn("created_at", wall_clock(datetime(2023, 1, 1)))
+    feed = suppliers.filter("supplier_id % 4 <> 0 OR supplier_id % 3 = 0").withColumn("name", F.concat("name", F.lit(" Ltd")))
+    folder = shared_folder(spark)
+    for name, rows, moment in (("known", known, FIRST_RUN), ("feed", feed, SECOND_RUN)):
+        count = write_set(merge.supplier_rows(rows, wall_clock(moment)), f"{folder}/{name}")
+    target, stored = (scan_set(spark, f"{folder}/{n}", schemas.WAREHOUSE["dim_supplier"]) for n in ("known", "feed"))
+    return merge.merge_in_place(target, stored, merge.SUPPLIER_KEY, count, keep_on_conflict=["created_at"])[0]
+
+
+def movement_upsert_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The movement merge on a stored table whose rows aren't exchanged, written as its next version."""
+    name, folder = "fact_inventory_movement", shared_folder(spark)
+    layout, path = warehouse.LAYOUTS[name], f"{folder}/{name}"
+    moved = _movements(sample.dense(spark, sf_dir))
+    known = moved.filter(F.col("movement_date") < F.lit(CHANGE_DAY))
+    first = merge.movement_rows(known, wall_clock(FIRST_RUN), BUCKET_SPAN)
+    base = versions.replace_partitions(first, versions.current(spark, path), layout.partition_by, layout.cluster_by)
+    feed = moved.filter(F.col("movement_date") >= F.lit(WATERMARK)).withColumn("quantity", F.col("quantity") + 1)
+    count = write_set(feed, f"{folder}/mart")
+    stored = scan_set(spark, f"{folder}/mart", schemas.MART[name])
+    rows = merge.movement_rows(stored, wall_clock(SECOND_RUN), BUCKET_SPAN)
+    target = versions.read(spark, versions.touched(base, rows, layout.partition_by), schemas.WAREHOUSE[name])
+    merged, in_place = merge.merge_in_place(target, rows, merge.MOVEMENT_KEY, count, layout.partition_by)
+    after = versions.replace_partitions(merged, base, layout.partition_by, layout.cluster_by, rebalance=not in_place)
+    return versions.read(spark, after, schemas.WAREHOUSE[name])
+
+
 def daily_fact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full history, then an incremental run over it that sees only the days from its watermark on."""
     tables = sample.dense(spark, sf_dir)
@@ -560,6 +590,8 @@ QUERIES: dict[str, Query] = {
         product_scd2,
         product_changes,
         movement_upsert,
+        supplier_upsert_in_place,
+        movement_upsert_in_place,
         daily_fact_upsert,
         read_watermark,
         watermark_upsert,

@@ -15,6 +15,10 @@ MOVEMENT_KEY = ("movement_type", "source_reference_id")
 DAILY_KEY = ("inventory_date", "product_id")
 STATE_KEY = ("pipeline_name",)
 
+#: Most feed rows whose keys go to every task that scans the target. Keys are a few fixed-width values and a short word,
+#: about 100 bytes each once hashed, so that is 50 MB.
+STREAMED_ROWS = 500_000
+
 
 def merge_upsert(
     target: DataFrame, feed: DataFrame, keys: Sequence[str], keep_on_conflict: Sequence[str] = ()
@@ -38,6 +42,38 @@ def merge_upsert(
     )
 
 
+def merge_in_place(
+    target: DataFrame,
+    feed: DataFrame,
+    keys: Sequence[str],
+    feed_rows: int,
+    spread_by: Sequence[str] = (),
+    keep_on_conflict: Sequence[str] = (),
+    most: int = STREAMED_ROWS,
+) -> tuple[DataFrame, bool]:
+    """The rows of `merge_upsert`, and whether the target's rows stay in the tasks that scan them.
+
+    They do if the feed is small by its counted rows (`feed_rows`): its keys are broadcast, target rows that have one of them
+    go, and the feed's rows are added. Only those are exchanged, by `spread_by`, so a merge of a few rows into large
+    partitions moves a few rows, and a hot key or partition of the target is never gathered. A larger feed takes the
+    full outer join. The feed is evaluated twice, so it should be a stored set; keys are unique and not NULL as there.
+    """
+    if feed_rows > most:
+        return merge_upsert(target, feed, keys, keep_on_conflict), False
+    names = target.columns
+    fed = F.broadcast(feed.select(*keys))
+    rows = feed.select(*names)
+    if keep_on_conflict:
+        # What the target holds on to: as many rows at most as the feed has.
+        held = target.join(fed, list(keys), "left_semi")
+        held = held.select(F.lit(True).alias("_known"), *keys, *(F.col(c).alias(f"_old_{c}") for c in keep_on_conflict))
+        first = {c: F.when(F.col("_known"), F.col(f"_old_{c}")).otherwise(F.col(c)) for c in keep_on_conflict}
+        rows = rows.join(held, list(keys), "left").withColumns(first).select(*names)
+    if spread_by:
+        rows = rows.hint("rebalance", *[F.col(c) for c in spread_by])
+    return target.join(fed, list(keys), "left_anti").select(*names).unionByName(rows), True
+
+
 def supplier_rows(suppliers: DataFrame, as_of: Column) -> DataFrame:
     """Supplier feed in the shape of the dimension."""
     return suppliers.select(

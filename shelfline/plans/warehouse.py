@@ -68,10 +68,10 @@ def read_mart(spark: SparkSession, config: EngineConfig, name: str) -> DataFrame
     return versions.read(spark, versions.current(spark, mart_path(config, name)), schemas.MART[name])
 
 
-def replace_rows(name: str, rows: DataFrame, base: Snapshot) -> int:
+def replace_rows(name: str, rows: DataFrame, base: Snapshot, rebalance: bool = True) -> int:
     """Replace the partitions of a table that `rows` holds, in the version that it started from."""
     layout = LAYOUTS[name]
-    return versions.replace_partitions(rows, base, layout.partition_by, layout.cluster_by).rows
+    return versions.replace_partitions(rows, base, layout.partition_by, layout.cluster_by, rebalance=rebalance).rows
 
 
 def remove_old_versions(spark: SparkSession, config: EngineConfig, keep: int = 1) -> None:
@@ -338,12 +338,16 @@ def _mart(spark: SparkSession, config: EngineConfig, name: str, mart: Snapshot |
 def _load_fact(
     spark: SparkSession, config: EngineConfig, name: str, rows: DataFrame, count: int, keys: Sequence[str]
 ) -> int:
-    """Merge mart rows (unique by key, as their gate has checked) into the partitions they touch."""
+    """Merge mart rows (unique by key, as their gate has checked) into the partitions they touch.
+
+    A feed that is small by its count leaves the rows of those partitions where their scan has them.
+    """
     if count:
         base = versions.current(spark, table_path(config, name))
-        around = versions.touched(base, rows, LAYOUTS[name].partition_by)
-        target = versions.read(spark, around, schemas.WAREHOUSE[name])
-        replace_rows(name, merge.merge_upsert(target, rows, keys), base)
+        partition_by = LAYOUTS[name].partition_by
+        target = versions.read(spark, versions.touched(base, rows, partition_by), schemas.WAREHOUSE[name])
+        merged, in_place = merge.merge_in_place(target, rows, keys, count, partition_by)
+        replace_rows(name, merged, base, rebalance=not in_place)
     return count
 
 

@@ -19,6 +19,7 @@ def write_observed(
     cluster_by: Sequence[str] = (),
     measures: dict[str, Column] | None = None,
     mode: str = "overwrite",
+    rebalance: bool = True,
 ) -> dict[str, int]:
     """Write a Parquet set; returns its row count (`rows`) and further measures, observed while writing.
 
@@ -26,9 +27,10 @@ def write_observed(
 
     Partitioned sets are rebalanced first: rows of one partition meet in few tasks, while AQE splits a
     partition that is large and merges those that are small. Inside the files rows lie in key order, so
-    that min/max statistics prune.
+    that min/max statistics prune. Without `rebalance`, rows are written by the tasks that have them, which suits rows that come
+    from a scan of such a set: scans pack small files, so files don't grow in number from one change to the next.
     """
-    if partition_by:
+    if partition_by and rebalance:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     observed = Observation()
     named = [measure.alias(name) for name, measure in (measures or {}).items()]

@@ -31,6 +31,19 @@ def test_upsert_is_a_dictionary_update_and_idempotent(spark, target, feed):
     assert sorted(map(tuple, twice.collect())) == sorted({**target, **feed}.items())
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(target=keyed, feed=keyed, most=st.sampled_from([0, 100]))
+def test_a_merge_in_place_has_the_rows_of_the_outer_join(spark, target, feed, most):
+    schema = "k INT, v INT, born INT"
+    old = spark.createDataFrame([(k, v, None if v == 0 else v) for k, v in target.items()], schema)
+    new = spark.createDataFrame([(k, v, -1) for k, v in feed.items()], schema)
+    merged, in_place = merge.merge_in_place(old, new, ["k"], len(feed), keep_on_conflict=["born"], most=most)
+    assert in_place == (len(feed) <= most)
+    expected = {k: (v, None if v == 0 else v) for k, v in target.items()}
+    expected |= {k: (v, expected[k][1] if k in expected else -1) for k, v in feed.items()}
+    assert sorted(map(tuple, merged.collect()), key=repr) == sorted(((k, *x) for k, x in expected.items()), key=repr)
+
+
 def test_supplier_keeps_its_creation_time(spark):
     feed = spark.createDataFrame(
         [(1, "S1", "New name", None, "ID", T2), (2, "S2", "Second", "b@x", None, T2)], schemas.RAW["suppliers"]

@@ -12,6 +12,7 @@ from registered.queries import QUERIES
 from shelfline import schemas
 from shelfline.operators import merge
 from shelfline.operators.movements import outbound
+from shelfline.sinks import versions
 from shelfline.sinks.tables import touched_partitions, touched_ranges, write_set
 from shelfline.sources.feeds import incremental_purchases
 from tests.conftest import SF_DIR
@@ -128,6 +129,58 @@ def test_an_upsert_evaluates_each_side_once(spark, tmp_path):
     assert text.count("Range (") == 2 * text.count("== Physical Plan ==") or text.count("Range (") <= 4
 
 
+def above(text: str, leaf: str) -> list[str]:
+    """The operators on the way from the root of a printed plan to its first line that names `leaf`."""
+    path: list[tuple[int, str]] = []
+    for line in text.splitlines():
+        depth = len(re.match(r"[\s:|+-]*", line)[0])
+        path = [p for p in path if p[0] < depth] + [(depth, line.strip(" :+-"))]
+        if leaf in line:
+            return [p[1] for p in path]
+    raise AssertionError(f"no {leaf} in the plan")
+
+
+def stored_table(spark, folder, buckets=4, rows=4000):
+    schema = "k BIGINT, v INT, b INT"
+    table = spark.range(rows).selectExpr("id k", "0 v", f"cast(id % {buckets} as int) b")
+    base = versions.replace_partitions(table, versions.current(spark, folder), ["b"], ["k"])
+    return base, schema
+
+
+def test_a_small_feed_leaves_the_target_where_it_is(spark, tmp_path):
+    base, schema = stored_table(spark, str(tmp_path / "target"))
+    write_set(spark.range(0, 4000, 400).selectExpr("id k", "1 v", "cast(id % 4 as int) b"), str(tmp_path / "feed"))
+    feed = spark.read.schema(schema).parquet(str(tmp_path / "feed"))
+    target = versions.read(spark, base, schema)
+    merged, in_place = merge.merge_in_place(target, feed, ["k"], 10, ["b"])
+    path = above(plan(merged.sortWithinPartitions("b", "k")), "FileScan")
+    assert in_place and any("LeftAnti" in step for step in path)
+    assert not [step for step in path if "Exchange" in step]
+    outer, in_place = merge.merge_in_place(target, feed, ["k"], 10, ["b"], most=9)
+    assert not in_place and sorted(map(tuple, outer.collect())) == sorted(map(tuple, merged.collect()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert [step for step in above(plan(merge.merge_upsert(target, feed, ["k"])), "FileScan") if "Exchange" in step]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_files_do_not_grow_in_number_from_merge_to_merge(spark, tmp_path):
+    base, schema = stored_table(spark, str(tmp_path / "target"))
+    files = []
+    for load in range(1, 7):
+        write_set(spark.range(load, 4000, 500).selectExpr("id k", f"{load} v", "cast(id % 4 as int) b"), str(tmp_path / "feed"))
+        feed = spark.read.schema(schema).parquet(str(tmp_path / "feed"))
+        target = versions.read(spark, versions.touched(base, feed, ["b"]), schema)
+        merged, _ = merge.merge_in_place(target, feed, ["k"], 8, ["b"])
+        base = versions.replace_partitions(merged, base, ["b"], ["k"], rebalance=False)
+        files.append(len(list((tmp_path / "target").glob(f"{max(base.parts.values())}/b=*/*.parquet"))))
+    assert max(files[2:]) <= max(files[:2]) + 2 * 4, files
+    rows = versions.read(spark, base, schema)
+    assert (rows.count(), rows.filter("v > 0").count()) == (4000, 48)
+
+
 def test_a_large_partition_is_split_while_small_ones_are_merged(spark, tmp_path):
     """Two thirds of the rows fall on one day; its files are bounded, the other days share tasks."""
     path = str(tmp_path / "hot")
