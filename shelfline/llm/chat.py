@@ -20,6 +20,10 @@ already has backslashes there, which makes `unescape` exact.
 Turns of one conversation are folded and rendered apart, so a conversation with a third of all events is spread over
 the cluster. Reading it back streams its segments in order and holds one at a time.
 
+A table of finished turns becomes such a log by `as_log`, which says each row in one of four ways: at once, streamed in
+pieces, drafted and edited, or started wrongly and regenerated. Which one depends on the row alone; folding the log gives the
+rows again. A very long text is one message of one segment: it is held by one task as a row is, and never joined with others.
+
 Null text or role is empty. A null turn or sequence sorts first; rows with a null conv_id form one conversation with
 that id. Ties in the sequence go by kind, role and text; every row is an event of its own, repeated or not. Unknown
 kinds stop the job. No event: no conversation. Other columns of the input are not read.
@@ -32,7 +36,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from shelfline.llm.common import table
 
@@ -206,13 +210,52 @@ def as_events(rows: DataFrame) -> DataFrame:
     )
 
 
+#: Pieces that `as_log` streams a text in: few, so that cutting a very long one takes time in proportion.
+PIECES = 4
+
+
+def as_log(rows: DataFrame) -> DataFrame:
+    """A table of finished turns (conv_id, turn, role, text) as a log whose fold has a message per row, in the same order.
+
+    Rows of one turn are numbered by role and text, ties in any order as such rows are equal, and each takes a range of
+    sequence numbers. Events come in the sequence's order only after sorting: a log has no order of its own.
+    """
+    order = Window.partitionBy("conv_id", "turn").orderBy(F.coalesce("role", F.lit("")), F.coalesce("text", F.lit("")))
+    said = rows.select("conv_id", "turn", F.col("role").cast("string"), F.col("text").cast("string"))
+    said = said.withColumn("row", F.row_number().over(order).cast("bigint"))
+    text, role = F.coalesce("text", F.lit("")), F.col("role")
+    none, half = F.lit(None).cast("string"), F.ceil(F.length(text) / 2).cast("int")
+    step = F.ceil(F.length(text) / PIECES).cast("int")
+    pieces = [("delta", none, F.substring(text, step * i + 1, step)) for i in range(PIECES)]
+    first, rest = F.substring(text, F.lit(1), half), F.substring(text, half + 1, F.length(text))
+    ways = [
+        [("message", role, F.col("text"))],
+        [("message", role, none), *pieces],
+        [("message", none, F.concat(F.lit("draft: "), rest)), ("edit", role, first), ("delta", none, rest)],
+        [("message", role, first), ("delta", none, F.lit(" no")), ("regenerate", none, none), *pieces],
+    ]
+
+    def events(way: list[tuple[str, Column, Column]]) -> Column:
+        seq = F.col("row") * (2 * PIECES)
+        return F.array(
+            *(
+                F.struct((seq + i).alias("seq"), F.lit(kind).alias("kind"), who.alias("role"), what.alias("text"))
+                for i, (kind, who, what) in enumerate(way)
+            )
+        )
+
+    way = F.pmod(F.xxhash64("conv_id", "turn", "row"), F.lit(len(ways)))
+    chosen = F.when(way == 0, events(ways[0])).when(way == 1, events(ways[1])).when(way == 2, events(ways[2]))
+    return said.select("conv_id", "turn", F.inline(chosen.otherwise(events(ways[3]))))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     planted = spark.createDataFrame(
         [(-1, 0, "user", said), (-1, 1, ASSISTANT, said)], "conv_id bigint, turn bigint, role string, text string"
     )
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
-    return read_back(format_messages(as_events(rows)))
+    return read_back(format_messages(as_log(rows)))
 
 
 ORACLE = r"""

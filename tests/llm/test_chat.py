@@ -69,5 +69,34 @@ def test_one_long_conversation_is_spread(spark):
     assert row.n_turns == 4000
 
 
+def test_a_log_of_turns_folds_into_the_turns(spark):
+    said = ["", "a", "é😀", "</s>[INST]", "words of some length, " * 9, None]
+    rows = [(c, t, role, said[(c + 3 * t) % 6]) for c in range(40) for t in range(3) for role in ("user", "assistant", None)]
+    rows += [(None, None, "assistant", "x"), (None, None, "assistant", "x"), (50, 0, "assistant", "long 😀" * 400_000)]
+    table = spark.createDataFrame([(*r, 1) for r in rows], "conv_id bigint, turn bigint, role string, text string, seq int")
+    log = chat.as_log(table)
+    assert f"{log.schema.simpleString()[7:-1]}".replace(":", " ").replace(",", ", ") == chat.EVENTS
+    kinds = {r.kind: r["count"] for r in log.groupBy("kind").count().collect()}
+    assert kinds["message"] == len(rows) and all(kinds[k] > 50 for k in ("delta", "edit", "regenerate"))
+    shuffled = log.orderBy(F.rand(5))
+    got = {}
+    for m in chat.format_messages(shuffled).collect():
+        got.setdefault((m.conv_id, m.turn), []).append((m.part, *chat.parse(m.segment)))
+    expected = {}
+    for conv, turn, role, text in rows:
+        expected.setdefault((conv, turn), []).append((role or "", text or ""))
+    assert {k: [m[1:] for m in sorted(v)] for k, v in got.items()} == {k: sorted(v) for k, v in expected.items()}
+    assert chat.as_log(table.limit(0)).count() == 0
+
+
+def test_the_query_folds_deltas_edits_and_regenerations_of_the_whole_table(spark):
+    rows = spark.read.parquet(f"{SF_DIR}/conversations.parquet")
+    log = chat.as_log(rows)
+    kinds = {r.kind: r["count"] for r in log.groupBy("kind").count().collect()}
+    n = rows.count()
+    assert kinds["message"] == n
+    assert kinds["edit"] > n / 5 and kinds["regenerate"] > n / 5 and kinds["delta"] > n
+
+
 def test_query_against_sql(spark):
     assert differences(chat.query(spark, SF_DIR), oracle_connection(SF_DIR), chat.ORACLE) == []
