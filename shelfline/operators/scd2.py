@@ -51,8 +51,9 @@ def row_digest() -> Column:
     return F.xxhash64(*[part for c in monitored for part in (c.isNull(), c)])
 
 
-def product_rows(products: DataFrame) -> DataFrame:
+def product_rows(products: DataFrame, *more: str) -> DataFrame:
     return products.select(
+        *more,
         F.col("product_id").cast("int").alias("product_id"),
         F.col("code").alias("product_code"),
         F.col("name").alias("product_name"),
@@ -89,15 +90,15 @@ def product_actions(dimension: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def possibly_changed(dimension: DataFrame, products: DataFrame) -> DataFrame:
-    """The feed without the products whose open version has the same digest: a join that reads two columns of the dimension."""
+    """The feed without the rows that have the digest of their product's open version: a join that reads two columns of the
+    dimension. Rows are told apart, not products: of two rows of a product, one may change it."""
     current = dimension.filter("is_current").select(
         F.col("product_id").alias("_known"), F.col("row_digest").alias("_old_digest")
     )
-    digests = product_rows(products).withColumn("_digest", row_digest())
-    same = digests.join(
-        current, (F.col("product_id") == F.col("_known")) & (F.col("_digest") == F.col("_old_digest")), "left_semi"
-    )
-    return products.join(same.select("product_id"), "product_id", "left_anti")
+    whole = products.withColumn("_row", F.struct(*(F.col(f"`{c}`") for c in products.columns)))
+    digests = product_rows(whole, "_row").withColumn("_digest", row_digest())
+    same = (F.col("product_id") == F.col("_known")) & (F.col("_digest") == F.col("_old_digest"))
+    return digests.join(current, same, "left_anti").select("_row.*")
 
 
 def product_changes(dimension: DataFrame, products: DataFrame) -> DataFrame:

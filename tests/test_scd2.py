@@ -122,3 +122,44 @@ def test_a_sequence_gives_every_row_a_key(spark):
     rows = spark.createDataFrame([(None,), (70_000,), (3,), (1,)], "id INT")
     keyed = with_sequence(rows, "id", "sk", F.lit(10).cast("bigint")).collect()
     assert sorted(r["sk"] for r in keyed) == [11, 12, 13, 14]
+
+
+def test_the_unchanged_row_of_a_product_does_not_hide_its_changed_one(spark):
+    before = loaded(spark, [product(1), product(2)])
+    twice = feed(spark, product(1), product(1, category="D"), product(2))
+    changes = scd2.product_changes(before, twice).collect()
+    assert [(r["product_id"], r["category"], r["action"]) for r in changes] == [(1, "D", "change")]
+
+
+@pytest.mark.parametrize("rows", [[product(1, name="a"), product(1, name="b")], [product(3), product(3)], [product(None)]])
+def test_rows_that_open_two_versions_of_a_product_are_refused(spark, tmp_path, rows):
+    from shelfline.config import EngineConfig
+    from shelfline.operators.quality import DataQualityError
+    from shelfline.plans import warehouse
+    from shelfline.sinks.tables import write_set
+    from shelfline.sources.files import conform
+
+    for moment, loads, refused in ((T1, [product(1), product(2)], False), (T2, [product(2), *rows], True)):
+        config = EngineConfig.under(tmp_path.as_uri(), moment)
+        raw = feed(spark, *loads).withColumn("created_at", at(T1))
+        write_set(conform(raw, schemas.RAW["products"]), f"{config.raw_dir}/products")
+        if refused:
+            with pytest.raises(DataQualityError):
+                warehouse.load_products_scd2(spark, config)
+        else:
+            assert warehouse.load_products_scd2(spark, config) == 2
+    assert warehouse.read_table(spark, config, "dim_product").count() == 2
+
+
+def test_new_ids_that_are_known_already_give_the_rows_of_the_sql(spark, tmp_path):
+    """Above a million products, the ids that the later feed adds are those of products that it holds as well."""
+    import duckdb
+
+    from registered.oracles import ORACLES
+    from registered.queries import QUERIES
+    from tests import parity
+
+    source = "SELECT * REPLACE (p_partkey + 1000000 * k AS p_partkey) FROM '/root/testdata/sf0.001/part.parquet', range(2) AS r(k)"
+    duckdb.sql(f"COPY (SELECT * EXCLUDE (k) FROM ({source})) TO '{tmp_path}/part.parquet' (FORMAT parquet)")
+    result = QUERIES["product_scd2"](spark, str(tmp_path))
+    assert parity.differences(result, parity.oracle_connection(str(tmp_path)), ORACLES["product_scd2"]) == []
