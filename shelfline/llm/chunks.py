@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -110,15 +111,23 @@ def chunked(rows: DataFrame, bits: int = BITS, longest: int = LONGEST) -> DataFr
 
 
 def copies(chunks: DataFrame) -> DataFrame:
-    """(row, copied): the numbers of each text's chunks that stand earlier, there or elsewhere, and whether each stood
-    behind the chunk before it there."""
+    """(row, copied): the numbers of each text's chunks that stand earlier, there or elsewhere, in any order; of those that
+    didn't stand behind the chunk before them there, the complement (so that a chunk takes four bytes)."""
     digest = Window.partitionBy("digest").orderBy("doc", "row", "at")
     pair = Window.partitionBy("digest", "behind").orderBy("doc", "row", "at")
     places = {"n": F.row_number().over(digest), "joined": F.row_number().over(pair) > 1}
     later = chunks.withColumns(places).filter("n > 1 OR known IS NOT NULL")
-    listed = F.transform("known", lambda k: F.struct(k.alias("at"), F.lit(True).alias("joined")))
-    found = F.coalesce(listed, F.array(F.struct("at", "joined"))).alias("found")
-    return later.select("row", found).groupBy("row").agg(F.sort_array(F.flatten(F.collect_list("found"))).alias("copied"))
+    own = F.when(F.col("joined"), F.col("at")).otherwise(F.bitwise_not("at"))
+    found = F.coalesce("known", F.array(own)).alias("found")
+    return later.select("row", found).groupBy("row").agg(F.flatten(F.collect_list("found")).alias("copied"))
+
+
+def copied_spans(data: bytes, copied: np.ndarray) -> list[tuple[int, int, bool]]:
+    """(start, stop, joined) of the chunks of a text whose numbers `copies` gives."""
+    at = np.where(copied < 0, ~copied, copied)
+    order = np.argsort(at)
+    ends = np.r_[0, cuts(data)]
+    return list(zip(ends[at[order]].tolist(), ends[at[order] + 1].tolist(), (copied[order] >= 0).tolist()))
 
 
 def runs(spans: list[tuple], least: int) -> list[tuple[int, int]]:
@@ -166,23 +175,24 @@ def deduplicated(docs: DataFrame, least: int = LEAST_BYTES, into: str = "removed
     marked = rows.join(copies(chunked(rows)), "row", "left").select("text", "copied", "others")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, gone = [], []
-            for data, found in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist()):
-                spans = []
-                if found:
-                    ends = [0, *cuts(data).tolist()]
-                    spans = removed(data, [(ends[c["at"]], ends[c["at"] + 1], c["joined"]) for c in found], least)
-                at, parts = 0, []
-                for a, b in spans:
-                    parts.append(data[at:a])
-                    at = b
-                left.append(data if data is None else b"".join([*parts, data[at:]]).decode("utf-8", "replace"))
-                gone.append([{"start": a, "stop": b} for a, b in spans])
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(left, pa.string()), pa.array(gone, kind), batch.column(2)], ["text", "gone", "others"]
-            )
+        for whole in batches:
+            for batch in slices(whole, 0, BATCH_BYTES):
+                left, gone = [], []
+                copied = batch.column(1)
+                stops = np.cumsum(pc.fill_null(pc.list_value_length(copied), 0).to_numpy()).tolist()
+                numbers = copied.flatten().to_numpy()
+                for data, a, b in zip(batch.column(0).cast(pa.binary()).to_pylist(), [0, *stops], stops):
+                    spans = removed(data, copied_spans(data, numbers[a:b]), least) if a < b else []
+                    at, parts = 0, []
+                    for start, stop in spans:
+                        parts.append(data[at:start])
+                        at = stop
+                    left.append(data if data is None else b"".join([*parts, data[at:]]).decode("utf-8", "replace"))
+                    gone.append([{"start": start, "stop": stop} for start, stop in spans])
+                kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(left, pa.string()), pa.array(gone, kind), batch.column(2)], ["text", "gone", "others"]
+                )
 
     others = marked.schema["others"].dataType.simpleString()
     out = marked.mapInArrow(run, f"text string, gone array<struct<start:bigint,stop:bigint>>, others {others}")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import xxhash
 
 from shelfline.llm import chunks
@@ -140,3 +141,15 @@ def test_batches_whose_rows_are_in_no_order(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(60)
     got = {r.doc_id: ([tuple(s) for s in r.removed], r.text) for r in chunks.deduplicated(docs).collect()}
     assert got == {d: found for (d, _), found in zip(rows, brute(rows))}
+
+
+def test_a_copied_chunk_takes_one_number(spark):
+    docs = spark.createDataFrame([(i, 10 + i, "some words that stand in every text, " * 9 + f"and {i}") for i in range(5)], "row long, doc long, text string")
+    found = chunks.copies(chunks.chunked(docs))
+    assert dict(found.dtypes)["copied"] == "array<int>"
+    texts = {r.row: r.text.encode() for r in docs.collect()}
+    for r in found.collect():
+        ends = [0, *chunks.cuts(texts[r.row]).tolist()]
+        spans = chunks.copied_spans(texts[r.row], np.array(r.copied))
+        assert [(a, b) for a, b, _ in spans] == [(ends[n], ends[n + 1]) for n in sorted(n if n >= 0 else ~n for n in r.copied)]
+        assert sum(joined for *_, joined in spans) == sum(n >= 0 for n in r.copied) > 0
