@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shelfline.llm import brown
@@ -165,3 +166,19 @@ def test_nulls_repeats_long_texts_clashing_columns_and_no_rows(spark):
     untaught = docs.filter("doc_id IS NULL")
     (row,) = brown.scores(untaught).collect()
     assert (row.n_known, row.train_tokens, row.base_score) == (0, 0, 0.0) and row.score <= 0
+
+
+def test_word_numbers_are_laid_out_to_compress():
+    rng = np.random.default_rng(7)
+    for tokens in (rng.integers(0, 60_000, 100_000), np.array([0, 255, 256, (1 << 31) - 1]), np.zeros(0, int)):
+        assert brown.numbers(brown.planes(tokens)).tolist() == tokens.tolist()
+    tokens = rng.integers(0, 60_000, 100_000).astype(np.int32)
+    assert 1.8 * len(pa.compress(brown.planes(tokens), "lz4")) < len(pa.compress(tokens.tobytes(), "lz4"))
+
+
+def test_facts_go_to_their_blocks_as_plain_numbers(spark):
+    docs = spark.createDataFrame([(i, "a b c a b " * (i + 1)) for i in range(9)], "doc_id bigint, text string")
+    blocks = stored(brown.tokenised(docs), "blocks")
+    facts = spark.createDataFrame([], "block bigint, place int, c bigint, class int")
+    plan = brown.marked(blocks, facts)._jdf.queryExecution().analyzed().toString()
+    assert "collect_list(place" in plan and "collect_list(struct" not in plan
