@@ -6,17 +6,16 @@ seen costs little if it is spelt like the language and much if it isn't. A chara
 every script below U+0FFD has a code per character, and those of a larger one (Han, Hangul) are spread over all codes, some
 five on each, so no alphabet is chosen and none is rare.
 
-1.  Per language at most `TRAIN_DOCS` trusted documents (those of the smallest hash of doc_id) are the sample that the
-    model is fitted on. It bounds the model; nothing else is sampled.
+1.  All trusted documents are used: four fifths of them train the model, the others give the limits (5). A caller may bound
+    them per language (`most`, those of the smallest hash of doc_id); the queries don't.
 2.  n-grams are counted in each task, then summed. Continuation counts of each lower order, discounts and back-off
     weights are aggregations and joins of those counts.
 3.  The result is sharded by language and order: sorted keys with log probabilities, sorted contexts with log
-    back-off weights. A shard is at most `MAX_ENTRIES` long (checked), so all of them can be broadcast.
+    back-off weights. An order has at most `MAX_ENTRIES` n-grams (checked: beyond that it raises), so all of them can be broadcast.
 4.  Each text is joined with the shards of its language, highest order first, what isn't found going down an order
     with the back-off weight of its context. That gives its perplexity; no text is moved.
 5.  A text is kept up to the perplexity that `QUANTILE` of the trusted documents of its language stay below, times `SLACK`.
-    Only documents that the model wasn't trained on count for that: those beyond the sample, or else a fifth of the sample
-    that is kept out. A language with few trusted documents isn't trained on and has a limit of its own as well.
+    Only documents that the model wasn't trained on count for that: the fifth that is kept out (with `most`, those beyond it). A language with few trusted documents isn't trained on and has a limit of its own as well.
 
 Null and empty texts have no perplexity and aren't kept. A null or unknown language uses the model of all. Without
 trusted documents, or with a single trusted text, there is nothing to go by, and every text with characters is kept. Repeated rows are decided alike.
@@ -36,7 +35,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from shelfline.llm.common import slices, stored, table
 
 ORDER = 5
-TRAIN_DOCS = 1000
 #: Fewest trusted documents of a language that has a model of its own.
 LEAST_OWN = 30
 #: One part in so many of the sample gives limits and isn't trained on.
@@ -80,11 +78,11 @@ def trusted(labels: DataFrame) -> DataFrame:
     return good.filter("good").select("doc_id")
 
 
-def sample(docs: DataFrame, good: DataFrame, most: int = TRAIN_DOCS) -> DataFrame:
-    """(doc_id, named, lang, text) of at most `most` trusted documents per language, and once more for the model of all.
+def sample(docs: DataFrame, good: DataFrame, most: int | None = None) -> DataFrame:
+    """(doc_id, named, lang, text) of the trusted documents, or of at most `most` per language, and once more for the model of all.
 
-    They are chosen by a hash of their ids, before any text moves. Only the `LANGUAGES` most frequent languages
-    are told apart (`named`), so the ids that are broadcast are at most `most` for each of those and the rest. Those
+    With `most` they are chosen by a hash of their ids, before any text moves. Only the `LANGUAGES` most frequent languages
+    are told apart (`named`), so the ids that are broadcast then are at most `most` for each of those and the rest. Those
     with fewer than `LEAST_OWN` trusted documents are in the model of all only.
     """
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(ANY))
@@ -95,9 +93,11 @@ def sample(docs: DataFrame, good: DataFrame, most: int = TRAIN_DOCS) -> DataFram
     own = [lang for lang, n in found.items() if n >= LEAST_OWN and lang != ANY]
     known = known.select("doc_id", F.when(F.col("lang").isin(list(found)), F.col("lang")).otherwise(ANY).alias("named"))
     order = Window.partitionBy("named").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= most).select("doc_id", "named")
+    ids = known
+    if most is not None:
+        ids = F.broadcast(known.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= most).select("doc_id", "named"))
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("text <> ''")
-    chosen = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "named").agg(F.min("text").alias("text"))
+    chosen = texts.join(ids, "doc_id").groupBy("doc_id", "named").agg(F.min("text").alias("text"))
     chosen = stored(chosen, "sample")
     alone = chosen.filter(F.col("named").isin(own)).withColumn("lang", F.col("named"))
     return alone.unionByName(chosen.withColumn("lang", F.lit(ANY)))
@@ -282,7 +282,7 @@ def limits(
     kept_out = scored(unseen.select("lang", "named", "text"), model).select("lang", "named", "perplexity")
     kept_out = stored(kept_out, "kept-out")
     fresh = seen.filter(F.col("lang").isin(own)).join(good, "doc_id")
-    fresh = fresh.join(F.broadcast(texts.select("doc_id").distinct()), "doc_id", "left_anti")
+    fresh = fresh.join(texts.select("doc_id").distinct(), "doc_id", "left_anti")
     by = {r["lang"]: r["p"] for r in kept_out.groupBy("lang").agg(*many).collect()}
     by |= {r["lang"]: r["p"] for r in fresh.groupBy("lang").agg(*many).collect() if r["n"] >= LEAST_OWN}
     if ANY not in by:
@@ -293,7 +293,7 @@ def limits(
     return {k: p[0] * slack for k, p in by.items()}
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> tuple[Model | None, DataFrame, dict[str, float]]:
+def fit(docs: DataFrame, labels: DataFrame, most: int | None = None) -> tuple[Model | None, DataFrame, dict[str, float]]:
     """The model, the perplexity of every document under it, and the limits that follow."""
     good = trusted(labels)
     texts = sample(docs, good, most)
@@ -313,13 +313,13 @@ def _kept(limit: dict[str, float], perplexity: str, any_text: Column) -> Column:
     return F.coalesce(F.col(perplexity) <= bound, F.lit(False))
 
 
-def perplexities(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> DataFrame:
+def perplexities(docs: DataFrame, labels: DataFrame, most: int | None = None) -> DataFrame:
     """doc_id, lang, perplexity and kept."""
     _, seen, limit = fit(docs, labels, most)
     return seen.select("doc_id", "lang", "perplexity", _kept(limit, "perplexity", F.col("any")).alias("kept"))
 
 
-def keep_fluent(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> DataFrame:
+def keep_fluent(docs: DataFrame, labels: DataFrame, most: int | None = None) -> DataFrame:
     """The rows of documents that are kept, with all their columns and nothing else. Texts are scored twice, not moved."""
     model, _, limit = fit(docs, labels, most)
     mark = "_perplexity_of_text"

@@ -148,3 +148,11 @@ def test_codes_tell_the_characters_of_a_script_apart():
         codes = kn.coded("".join(map(chr, range(first, last + 1))))[kn.ORDER - 1 : -1]
         assert len(set(codes.tolist())) == last - first + 1 and kn.EDGE not in codes
     assert int(kn.grams(np.full(kn.ORDER, kn.CODES, np.uint16))[0]) < 1 << 60
+
+
+def test_every_trusted_document_is_used(spark):
+    docs = spark.range(1500).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'en' AS lang")
+    texts = kn.sample(docs, docs.select("doc_id"))
+    assert texts.filter("lang = 'en'").count() == 1500
+    learnt, unseen = kn.divided(texts)
+    assert learnt.count() + unseen.count() == 3000
