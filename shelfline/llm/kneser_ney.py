@@ -10,10 +10,13 @@ five on each, so no alphabet is chosen and none is rare.
     them per language (`most`, those of the smallest hash of doc_id); the queries don't.
 2.  n-grams are counted in each task, then summed. Continuation counts of each lower order, discounts and back-off
     weights are aggregations and joins of those counts.
-3.  The result is sharded by language and order: sorted keys with log probabilities, sorted contexts with log
-    back-off weights. An order has at most `MAX_ENTRIES` n-grams (checked: beyond that it raises), so all of them can be broadcast.
-4.  Each text is joined with the shards of its language, highest order first, what isn't found going down an order
-    with the back-off weight of its context. That gives its perplexity; no text is moved.
+3.  The result is sharded by language and order, and each shard into files of some `PART` n-grams in the shared folder
+    (spark.checkpoint.dir), which tasks write: sorted keys, log probabilities and the log back-off weights of their contexts.
+    The driver gets the names of the files only, and an order may have any number of n-grams.
+4.  Each task maps the files that its texts need into memory and looks their n-grams up, sorted, in the shard of their
+    language, highest order first, what isn't found going down an order with the back-off weight of its context. That
+    gives a text's perplexity; no text is moved. Mapped files belong to the machine's cache, not to the worker; from a folder
+    that isn't mounted (hdfs, s3 and what else pyarrow opens) they are read, and a task holds those it has read.
 5.  A text is kept up to the perplexity that `QUANTILE` of the trusted documents of its language stay below, times `SLACK`.
     Only documents that the model wasn't trained on count for that: the fifth that is kept out (with `most`, those beyond it). A language with few trusted documents isn't trained on and has a limit of its own as well.
 
@@ -25,21 +28,25 @@ in pieces. No documents: no rows. Other columns of the input are passed on (`kee
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from shelfline.llm.common import slices, stored, table
+from shelfline.llm.common import scratch, slices, stored, table
 
 ORDER = 5
 #: Fewest trusted documents of a language that has a model of its own.
 LEAST_OWN = 30
 #: One part in so many of the sample gives limits and isn't trained on.
 HELD_OUT = 5
-MAX_ENTRIES = 4_000_000
+#: n-grams in a file of the model, about.
+PART = 1 << 18
 #: A prime. Codes of characters are 1 to CODES; five of them, and the edge, fit in the 60 bits of a key.
 CODES = 4093
 BITS = 12
@@ -150,7 +157,7 @@ def weighed(counts: DataFrame) -> DataFrame:
 
 
 def estimated(counts: DataFrame) -> list[DataFrame]:
-    """Per order from 1: (lang, gram, p, context, backoff), interpolated down to equal chances for all symbols."""
+    """Per order from 1: (lang, gram, p, backoff), interpolated down to equal chances for all symbols."""
     orders = [counts]
     for order in range(ORDER - 1, 0, -1):
         shorter = F.col("gram").bitwiseAND(F.lit((1 << BITS * order) - 1).cast("bigint")).alias("gram")
@@ -166,39 +173,132 @@ def estimated(counts: DataFrame) -> list[DataFrame]:
             rows = rows.withColumn("shorter", F.col("gram").bitwiseAND(mask)).join(below, ["lang", "shorter"])
             lower = F.col("lower")
         p = F.col("own") + F.col("backoff") * lower
-        out.append(stored(rows.select("lang", "gram", "context", "backoff", p.alias("p")), f"order-{order}"))
+        rows = rows.select("lang", "gram", "backoff", p.alias("p"))
+        out.append(stored(rows, f"order-{order}") if order < ORDER else rows)
     return out
 
 
+#: A file of a shard: the context of its first n-gram, where it is, and how many n-grams it has.
+Part = tuple[int, str, int]
+
+
+def written(rows: DataFrame, n: int, name: str) -> dict[str, list[Part]]:
+    """Per language the files of one order's n-grams, about `n` in all; a context's n-grams are in one file."""
+    folder = scratch(rows.sparkSession, name)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[pa.RecordBatch]] = {}
+        for batch in batches:
+            lang = batch.column(0).dictionary_encode()
+            which = lang.indices.to_numpy()
+            for i, one in enumerate(lang.dictionary.to_pylist()):
+                first, last = np.flatnonzero(which == i)[[0, -1]]
+                held.setdefault(one, []).append(batch.slice(first, last - first + 1))
+        for one, parts in held.items():
+            gram, p, backoff = (np.concatenate([part.column(c).to_numpy() for part in parts]) for c in ("gram", "p", "backoff"))
+            store, path = fs.FileSystem.from_uri(folder)
+            store.create_dir(path, recursive=True)
+            file = f"{uuid.uuid4().hex}.bin"  # a task that runs again writes another one
+            with store.open_output_stream(f"{path}/{file}") as out:
+                for column in (gram.astype("<i8"), np.log10(p).astype("<f8"), np.log10(backoff).astype("<f8")):
+                    out.write(column.tobytes())
+            yield pa.RecordBatch.from_pylist([{"lang": one, "first": int(gram[0]) >> BITS, "path": f"{folder}/{file}", "n": len(gram)}])
+
+    dealt = rows.repartitionByRange(math.ceil(n / PART), "lang", F.shiftright("gram", BITS)).sortWithinPartitions("lang", "gram")
+    files = dealt.select("lang", "gram", "p", "backoff").mapInArrow(run, "lang string, first bigint, path string, n bigint")
+    out: dict[str, list[Part]] = {}
+    for r in files.collect():
+        out.setdefault(r["lang"], []).append((r["first"], r["path"], r["n"]))
+    return {lang: sorted(parts) for lang, parts in out.items()}
+
+
 @dataclass(frozen=True)
 class Model:
-    """Shards by (language, order): sorted n-grams and their log10 p, sorted contexts and log10 weights."""
+    """The files of each (language, order), by the contexts they start with. They are opened where they are needed."""
+
+    shards: dict[tuple[str, int], list[Part]]
+    opened: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict, repr=False, compare=False)
+
+    def __getstate__(self) -> dict:
+        return {"shards": self.shards, "opened": {}}
 
-    shards: dict[tuple[str, int], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+    def own(self, lang: str | None) -> str:
+        """The language whose model judges texts of this one."""
+        return lang if (lang, ORDER) in self.shards else ANY
 
     def log10(self, lang: str | None, text: str) -> tuple[float, int]:
         """log10 probability of a text, and how many symbols that covers (its end is one)."""
-        lang = lang if (lang, ORDER) in self.shards else ANY
-        symbols, total = coded(text), 0.0
-        for at in range(0, len(symbols) - ORDER + 1, PIECE):
-            total += self._piece(lang, symbols[at : at + PIECE + ORDER - 1])
-        return total, len(symbols) - ORDER + 1
-
-    def _piece(self, lang: str, symbols: np.ndarray) -> float:
-        full, total = grams(symbols), 0.0
+        return self.log10s(lang, [text])[0]
+
+    def log10s(self, lang: str | None, texts: list[str]) -> list[tuple[float, int]]:
+        """`log10` of several texts of one language. A text's figure doesn't depend on the others."""
+        lang, totals, sizes = self.own(lang), [0.0] * len(texts), [0] * len(texts)
+        held: list[tuple[int, np.ndarray]] = []
+
+        def add() -> None:
+            sums = np.split(self._logs(lang, np.concatenate([g for _, g in held])), np.cumsum([len(g) for _, g in held])[:-1])
+            for (i, _), logs in zip(held, sums):
+                totals[i] += float(logs.sum())
+            held.clear()
+
+        room = PIECE
+        for i, text in enumerate(texts):
+            symbols = coded(text)
+            sizes[i] = len(symbols) - ORDER + 1
+            for at in range(0, sizes[i], PIECE):
+                held.append((i, grams(symbols[at : at + PIECE + ORDER - 1])))
+                room -= len(held[-1][1])
+                if room <= 0:
+                    add()
+                    room = PIECE
+        if held:
+            add()
+        return list(zip(totals, sizes))
+
+    def _logs(self, lang: str, full: np.ndarray) -> np.ndarray:
+        """log10 of the chance of each n-gram's last symbol after the others."""
+        out, left = np.zeros(len(full)), np.arange(len(full))
         for order in range(ORDER, 0, -1):
-            keys, logs, contexts, weights = self.shards[lang, order]
-            wanted = full & ((1 << BITS * order) - 1)
-            slot = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-            found = keys[slot] == wanted
-            total += float(logs[slot[found]].sum())
-            full = full[~found]
-            if not len(full):
-                return total
-            above = (full & ((1 << BITS * order) - 1)) >> BITS
-            slot = np.minimum(np.searchsorted(contexts, above), len(contexts) - 1)
-            total += float(weights[slot[contexts[slot] == above]].sum())
-        return total + len(full) * float(np.log10(EVEN))
+            wanted = full[left] & ((1 << BITS * order) - 1)
+            by = np.argsort(wanted)
+            left = left[by]
+            found, logs = self._find(lang, order, wanted[by])
+            out[left] += logs
+            left = left[~found]
+            if not len(left):
+                return out
+        out[left] += np.log10(EVEN)
+        return out
+
+    def _find(self, lang: str, order: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether the shard has each n-gram (sorted), and its log probability or else the log weight of its context."""
+        parts, context = self.shards[lang, order], wanted >> BITS
+        found, logs = np.zeros(len(wanted), bool), np.zeros(len(wanted))
+        cuts = [0, *np.searchsorted(context, [first for first, _, _ in parts[1:]]).tolist(), len(wanted)]
+        for (_, path, n), a, b in zip(parts, cuts, cuts[1:]):
+            if a == b:
+                continue
+            keys, p, backoff = self._open(path, n)
+            # n-grams of a context are neighbours, so where one would stand there is another before or after it.
+            after = np.searchsorted(keys, wanted[a:b])
+            before, after = np.maximum(after - 1, 0), np.minimum(after, n - 1)
+            found[a:b] = hit = keys[after] == wanted[a:b]
+            weight = np.where(keys[before] >> BITS == context[a:b], backoff[before], 0.0)
+            weight = np.where(keys[after] >> BITS == context[a:b], backoff[after], weight)
+            logs[a:b] = np.where(hit, p[after], weight)
+        return found, logs
+
+    def _open(self, path: str, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if path not in self.opened:
+            store, at = fs.FileSystem.from_uri(path)
+            if isinstance(store, fs.LocalFileSystem):
+                data = np.memmap(at, np.uint8, "r")
+            else:
+                with store.open_input_stream(at) as file:
+                    data = np.frombuffer(file.read(), np.uint8)
+            keys, p, backoff = np.split(np.asarray(data), 3)
+            self.opened[path] = keys.view("<i8"), p.view("<f8"), backoff.view("<f8")
+        return self.opened[path]
 
 
 def train(texts: DataFrame) -> Model | None:
@@ -206,18 +306,10 @@ def train(texts: DataFrame) -> Model | None:
     if texts.isEmpty():
         return None
     shards = {}
-    for order, rows in enumerate(estimated(stored(counted(texts), "counts")), 1):
-        if (n := rows.count()) > MAX_ENTRIES:
-            raise ValueError(f"{n} n-grams of order {order}: train on fewer documents")
-        got = rows.toArrow()
-        lang = got["lang"].combine_chunks().dictionary_encode()
-        gram, context, backoff, p = (got[c].to_numpy() for c in ("gram", "context", "backoff", "p"))
-        which = lang.indices.to_numpy()
-        for i, one in enumerate(lang.dictionary.to_pylist()):
-            at = np.flatnonzero(which == i)
-            at = at[np.argsort(gram[at])]
-            above, first = np.unique(context[at], return_index=True)
-            shards[one, order] = gram[at], np.log10(p[at]), above, np.log10(backoff[at][first])
+    counts = stored(counted(texts), "counts")
+    for order, rows in enumerate(estimated(counts), 1):
+        n = (counts if order == ORDER else rows).count()
+        shards |= {(lang, order): parts for lang, parts in written(rows, n, f"model-{order}").items()}
     return Model(shards)
 
 
@@ -228,20 +320,19 @@ def scored(docs: DataFrame, model: Model | None, into: str = "perplexity") -> Da
     """The rows with their perplexity, null for texts without characters."""
     if model is None:
         return docs.withColumn(into, F.lit(None).cast("double"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.withColumn("text", F.col("text").cast("string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
         for whole in batches:
             for batch in slices(whole, whole.schema.get_field_index("text"), BATCH_BYTES):
-                out = []
-                for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                    if text:
-                        total, n = own.log10(lang, text)
-                        out.append(10 ** (-total / n))
-                    else:
-                        out.append(None)
+                out: list[float | None] = [None] * batch.num_rows
+                texts, by = batch.column("text").to_pylist(), {}
+                for i, lang in enumerate(batch.column("lang").to_pylist()):
+                    if texts[i]:
+                        by.setdefault(model.own(lang), []).append(i)
+                for lang, rows_of in by.items():
+                    for i, (total, n) in zip(rows_of, model.log10s(lang, [texts[i] for i in rows_of])):
+                        out[i] = 10 ** (-total / n)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], [*batch.schema.names, into])
 
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(into, T.DoubleType())]))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import pickle
 import random
 from collections import Counter, defaultdict
 
@@ -156,3 +157,22 @@ def test_every_trusted_document_is_used(spark):
     assert texts.filter("lang = 'en'").count() == 1500
     learnt, unseen = kn.divided(texts)
     assert learnt.count() + unseen.count() == 3000
+
+
+def test_the_model_stays_out_of_the_driver(spark, monkeypatch):
+    """Any number of n-grams in files of the shared folder; what the driver and the tasks' closures hold are their names."""
+    monkeypatch.setattr(kn, "MAX_ENTRIES", 1000, raising=False)
+    monkeypatch.setattr(kn, "PART", 2000, raising=False)
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("abcdefgh é", k=200)) for _ in range(100)]
+    rows = [("xx", t) for t in texts] + [(kn.ANY, t) for t in texts]
+    model = kn.train(spark.createDataFrame(rows, "lang string, text string"))
+    p, unseen = brute(texts), ["abca", "hhhh é", "zzz abc", "".join(rng.choices("abcdefgh é", k=300))]
+    for lang in ("xx", "??"):
+        assert sum(n for _, _, n in model.shards[model.own(lang), kn.ORDER]) > 10_000 and len(model.shards[model.own(lang), kn.ORDER]) > 3
+        for t in [*unseen, *texts[:3]]:
+            s = [""] * (kn.ORDER - 1) + list(t) + [""]
+            expected = sum(math.log10(p(tuple(s[i - kn.ORDER + 1 : i + 1]))) for i in range(kn.ORDER - 1, len(s)))
+            assert model.log10(lang, t) == (pytest.approx(expected), len(t) + 1)
+    assert model.log10s("xx", [*unseen, *texts]) == [model.log10("xx", t) for t in [*unseen, *texts]]
+    assert len(pickle.dumps(model)) < 10_000
