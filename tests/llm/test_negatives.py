@@ -102,3 +102,44 @@ def test_other_columns_are_not_read(spark, tmp_path):
 
 def test_query_against_sql(spark):
     assert differences(ng.query(spark, SF_DIR), oracle_connection(SF_DIR), ng.ORACLE) == []
+
+
+def test_what_leaves_the_tasks_does_not_grow_with_the_shards(spark):
+    """200 shards of 10 rows: an anchor's first rows leave a task once, not once for each shard."""
+    rng = np.random.default_rng(5)
+    rows = ng.valid(spark.createDataFrame([(i, rng.normal(size=4).tolist(), 1) for i in range(2000)], SCHEMA)).localCheckpoint()
+    anchors = rows.filter("vec_id % 50 = 0")
+    groups = 2 * spark.sparkContext.defaultParallelism
+    left = ng.met(rows, anchors, ng.first_of_label, 5, 10, 8)
+    assert left.rdd.getNumPartitions() <= groups < 200
+    assert 40 * 5 <= left.count() <= 40 * 5 * groups
+
+
+@pytest.mark.parametrize("scale", [1.0, 100.0, 1e4, 1e6])
+def test_whole_numbers_of_every_width(spark, scale):
+    """Vectors of two, four and eight bytes, scores of floats, doubles and integers; also an array of floats."""
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in np.float32(v * scale)], int(rng.integers(3))) for i, v in enumerate(rng.normal(0.3, 1, size=(120, 3)))]
+    expected = brute(rows, {i for i in range(0, 120, 10)})
+    assert expected and mine(spark, rows, shard=30, block=5) == expected
+    odd = [(200, [1.0, None, 1.0], 1), (201, [1.0, float("nan"), 1.0], 1), (202, [float("-inf"), 1.0, 1.0], 1), (203, [None] * 3, 1)]
+    floats = spark.createDataFrame(rows + odd, SCHEMA.replace("double", "float"))
+    valid = ng.valid(floats)
+    assert valid.schema["v"].dataType.simpleString() == "array<float>"
+    assert {tuple(r) for r in ng.hard_negatives(valid, valid.filter("vec_id % 10 = 0")).collect()} == expected
+
+
+def test_the_best_of_many_tiles_is_that_of_a_sort():
+    """Ties go to the smaller id, whatever number of tiles the rows come in and whether places, scores and rows fit one number."""
+    rng = np.random.default_rng(7)
+    for factor in (1, 1 << 45):
+        found = rng.integers(-20, 20, size=(9, 1000)) * factor
+        low, high = np.array([[3, -5]] * 9) * factor, np.array([[8, 15]] * 9) * factor
+        best = ng.Best(low, high, 4)
+        for part in ng.tiles(1000, 300):
+            best.look(found[:, part], np.arange(1000)[part], lambda at, row: row % 7 == 0)
+        expected = set()
+        for i, (a, b) in ((i, w) for i in range(9) for w in zip(low[i], high[i])):
+            inside = [(-found[i, j], j) for j in range(1000) if a <= found[i, j] <= b and j % 7]
+            expected |= {(i, -s, j) for s, j in sorted(inside)[:4]}
+        assert set(zip(*(x.tolist() for x in best.found()))) == expected
