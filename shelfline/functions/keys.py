@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Code of each movement type inside a movement key.
@@ -24,11 +26,11 @@ def daily_key(day: Column, product_id: Column) -> Column:
     return F.shiftleft(F.unix_date(day).cast("bigint"), 32) + product_id.cast("bigint")
 
 
-def with_sequence(df: DataFrame, id_column: str, key_column: str, start: Column) -> DataFrame:
-    """Add keys start+1, start+2, ... in the order of a unique INT column; a NULL id gets one as well.
+def with_sequence(df: DataFrame, id_column: str, key_column: str, start: Column, then: Sequence[str] = ()) -> DataFrame:
+    """Add keys start+1, start+2, ... in the order of an INT column; a NULL id gets one as well.
 
-    Each id range is numbered on its own and shifted by the row counts of the ranges before it. A range
-    holds at most 2^16 distinct ids and there are at most 2^16 ranges, which bounds both windows and makes
+    Where ids repeat, the columns of `then` decide. Each id range is numbered on its own and shifted by the row counts of the ranges
+    before it. A range holds at most 2^16 distinct ids and there are at most 2^16 ranges, which bounds both windows and makes
     the offset table safe to broadcast. Every value depends on the data only, never on how it happened to
     be partitioned, so a task that runs twice gives the same keys.
     """
@@ -39,7 +41,7 @@ def with_sequence(df: DataFrame, id_column: str, key_column: str, start: Column)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select("_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
     )
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy(id_column))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(id_column, *then))
     shifts = F.broadcast(offsets.withColumnRenamed("_range", "_of"))
     return (
         ranged.join(shifts, F.col("_range").eqNullSafe(F.col("_of")))

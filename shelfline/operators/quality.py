@@ -144,6 +144,13 @@ def require_unique(df: DataFrame, key_columns: Sequence[str]) -> DataFrame:
     return df
 
 
+def require_keys(df: DataFrame, key_columns: Sequence[str]) -> None:
+    """Every row has a key; keys may repeat."""
+    keys = tuple(key_columns)
+    if nulls := rule_report(df, MartRules(not_null=keys)).first()["nulls"]:
+        raise DataQualityError(f"{nulls} nulls in key {keys}")
+
+
 def unique_rows(df: DataFrame, key_columns: Sequence[str]) -> int:
     """The rows of a set, counted by the check that every row has a key and no key occurs twice."""
     keys = tuple(key_columns)

@@ -114,7 +114,8 @@ def apply_changes(
     `dimension` needs to hold the current versions of the products that change; closed ones pass through, and products that
     the feed does not name stay open. Keys continue after the highest current key (`highest`, or else that of
     `dimension`), which is the highest ever given: a closed version always has a later successor. `changes` is read three
-    times, so a load stores it before (it is small beside the dimension).
+    times, so a load stores it before (it is small beside the dimension). It may name a product more than once only where the
+    load was told so: each row then opens a version, and what they supersede is a row for each of them, as in a join.
     """
     superseded = changes.filter("action = 'change'").select(
         F.col("old_sk").alias("product_sk"), F.lit(True).alias("_superseded")
@@ -128,7 +129,7 @@ def apply_changes(
     )
     if highest is None:
         highest = dimension.agg(F.coalesce(F.max("product_sk"), F.lit(0).cast("bigint"))).scalar()
-    versions = with_sequence(changes, "product_id", "product_sk", highest).withColumns(
+    versions = with_sequence(changes, "product_id", "product_sk", highest, ("product_code", *_COMPARED, "weight")).withColumns(
         {
             "effective_start_date": as_of,
             "effective_end_date": F.lit(OPEN_END).cast("timestamp_ntz"),

@@ -287,14 +287,15 @@ def load_suppliers(spark: SparkSession, config: EngineConfig) -> int:
     return count
 
 
-def load_products_scd2(spark: SparkSession, config: EngineConfig) -> int:
+def load_products_scd2(spark: SparkSession, config: EngineConfig, several: bool = False) -> int:
     """Returns the number of versions opened; without any, nothing is written.
 
     Three steps, each on less: digests of all open versions tell which products may have changed; those are compared with
     their open versions; the buckets of the products that did change are written anew.
 
     A product may occur twice in the feed as long as one of its rows, at most, opens a version: a row that says what the
-    dimension has opens none. Two that each would open one are refused, as are rows without a product.
+    dimension has opens none. Two that each would open one are refused, as are rows without a product. With `several`, for a
+    feed that is known to name products more than once, each such row opens a version of its own.
     """
     feed = raw_feed(spark, config, "products")
     if feed is None:
@@ -306,7 +307,11 @@ def load_products_scd2(spark: SparkSession, config: EngineConfig) -> int:
     opened = write_set(scd2.product_changes(dimension.filter(scd2.is_open()), feed), path)
     if not opened:
         return 0
-    changes = quality.require_unique(scan_set(spark, path, schemas.STAGING["product_changes"]), ["product_id"])
+    changes = scan_set(spark, path, schemas.STAGING["product_changes"])
+    if several:
+        quality.require_keys(changes, ["product_id"])
+    else:
+        quality.require_unique(changes, ["product_id"])
     bucket = scd2.product_bucket(F.col("product_id"), buckets)
     touched = [r[0] for r in changes.select(bucket).distinct().collect()]
     # Open versions, and those that this day has closed already: the only partitions of these buckets that can change.
