@@ -15,8 +15,8 @@ the first rows of other labels inside the window are its hard negatives. Higher
 4.  An iterator runs through the keys. A positive opens its window, a negative goes to the windows that hold its
     score and aren't full. It holds an anchor's open windows, never its rows.
 
-Scores of all rows with all anchors are the job: its time grows with the square of the table. Nothing else does: vectors are
-shuffled twice, as whole numbers in as few bytes as hold them, and anchors once for each group.
+Scores of all rows with all anchors are the job: its time grows with the square of the table. Vectors are shuffled twice, as
+whole numbers in as few bytes as hold them; anchors go to each group and their best rows come from each, which is a square too, if a small one.
 
 At one score positives come before negatives, so a window holds whatever ties with the row that opened it. A window of
 a negative score is empty. Scores are exact integers: sums that a double can't hold are formed by Python's own, and a
